@@ -20,6 +20,8 @@ def _rules(rating: Column, text: Column, likes: Column) -> list[tuple[str, Colum
     """(code, violated, message), in the order they are checked."""
     rating = rating.cast("double")
     length = F.char_length(text)
+    # Bytes are stored, characters must be counted: count only where the bytes leave it open.
+    too_long = (F.octet_length(text) > MAX_TEXT_CHARS) & (length > MAX_TEXT_CHARS)
     return [
         ("null_field", rating.isNull() | text.isNull() | likes.isNull(),
          F.lit("rating, text and likes must not be null")),
@@ -27,8 +29,8 @@ def _rules(rating: Column, text: Column, likes: Column) -> list[tuple[str, Colum
         ("rating", (rating < MIN_RATING) | (rating > MAX_RATING),
          F.concat(F.lit(f"rating must be between {MIN_RATING} and {MAX_RATING}, got "),
                   _rating_text(rating))),
-        ("empty_text", length == 0, F.lit("text must not be empty")),
-        ("long_text", length > MAX_TEXT_CHARS,
+        ("empty_text", F.octet_length(text) == 0, F.lit("text must not be empty")),
+        ("long_text", too_long,
          F.concat(F.lit("text too long: "), length.cast("string"),
                   F.lit(f" chars, max {MAX_TEXT_CHARS}"))),
         ("likes", likes < MIN_LIKES,
@@ -69,8 +71,8 @@ def register_sql_functions(spark: SparkSession) -> None:
             WHEN rating < {MIN_RATING} OR rating > {MAX_RATING}
                 THEN concat('rating must be between {MIN_RATING} and {MAX_RATING}, got ',
                             if(isnan(rating), 'nan', cast(rating AS STRING)))
-            WHEN char_length(body) = 0 THEN 'text must not be empty'
-            WHEN char_length(body) > {MAX_TEXT_CHARS}
+            WHEN octet_length(body) = 0 THEN 'text must not be empty'
+            WHEN octet_length(body) > {MAX_TEXT_CHARS} AND char_length(body) > {MAX_TEXT_CHARS}
                 THEN concat('text too long: ', char_length(body), ' chars, max {MAX_TEXT_CHARS}')
             WHEN likes < {MIN_LIKES} THEN concat('likes must be >= {MIN_LIKES}, got ', likes)
             ELSE '' END""")

@@ -1,0 +1,63 @@
+"""Hot groups and long timelines give the same numbers as the plain window."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from opinara.operators import scaling
+
+
+def plain(df):
+    upto = Window.partitionBy("k").orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    return sorted(map(tuple, df.withColumn("running_v", F.sum("v").over(upto)).collect()))
+
+
+@pytest.mark.parametrize("chunks", [2, 5, 16])
+def test_running_totals_split_a_hot_group(spark, chunks):
+    rng = random.Random(chunks)
+    rows = [("hot" if rng.random() < 0.5 else f"k{rng.randrange(20)}", rng.randrange(5), seq, rng.randrange(-9, 10))
+            for seq in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t int, seq long, v long")
+    got = scaling.running_totals(df, ["k"], ["t", "seq"], ["v"], max_group_rows=10, chunks=chunks)
+    assert sorted(map(tuple, got.collect())) == plain(df)
+    assert got.columns == [*df.columns, "running_v"]
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"))
+    sizes = (df.repartitionByRange(8, "k", "seq").groupBy(F.spark_partition_id()).count()
+             .agg(F.max("count")).first()[0])
+    assert sizes < 4000 / 2
+
+
+def test_running_totals_of_nothing(spark):
+    empty = spark.createDataFrame([], "k string, t int, seq long, v long")
+    assert scaling.running_totals(empty, ["k"], ["t", "seq"], ["v"]).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [100, 2])
+def test_attach_small_with_and_without_broadcast(spark, max_rows):
+    big = spark.range(50).withColumn("k", F.col("id") % 10)
+    small = spark.range(5).select(F.col("id").alias("k"), F.lit("yes").alias("hit"))
+    got = scaling.attach_small(big, small, ["k"], max_rows=max_rows)
+    assert got.filter("hit = 'yes'").count() == 25 and got.count() == 50
+    assert ("BroadcastHashJoin" in got._jdf.queryExecution().toString()) or max_rows == 2
+
+
+def test_timeline_total_and_lag(spark):
+    rng = random.Random(3)
+    points = sorted(rng.sample(range(10_000), 300))
+    df = spark.createDataFrame([(t, rng.randrange(10)) for t in points], "t long, v long").repartition(7)
+    block = F.floor(F.col("t") / 100)
+    whole = Window.orderBy("t")
+    expected = df.withColumns({"running_v": F.sum("v").over(whole.rowsBetween(Window.unboundedPreceding, 0)),
+                               "prev_t": F.lag("t").over(whole), "prev_v": F.lag("v").over(whole)})
+    totals = scaling.timeline_totals(df, "t", "v", block)
+    assert sorted(map(tuple, totals.select("t", "running_v").collect())) == sorted(
+        map(tuple, expected.select("t", "running_v").collect()))
+    lagged = scaling.timeline_lag(df, "t", ["t", "v"], block)
+    key = lambda r: r[0]
+    assert sorted(map(tuple, lagged.select("t", "prev_t", "prev_v").collect()), key=key) == sorted(
+        map(tuple, expected.select("t", "prev_t", "prev_v").collect()), key=key)
