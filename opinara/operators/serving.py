@@ -8,7 +8,6 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinara.schemas import WINDOW_SERVED
 
@@ -73,8 +72,7 @@ def arrow_batches(df: DataFrame, rows: int = 1000) -> Iterator[pa.RecordBatch]:
                 sent = True
                 yield batch
     if not sent:
-        schema = to_arrow_schema(df.schema, timezone=df.sparkSession.conf.get("spark.sql.session.timeZone"))
-        yield pa.RecordBatch.from_pylist([], schema=schema)
+        yield pa.RecordBatch.from_pylist([], schema=df.limit(0).toArrow().schema)
 
 
 def payload_bytes(windows: DataFrame) -> DataFrame:
