@@ -70,12 +70,11 @@ def timeline(windows: DataFrame) -> DataFrame:
 def latency_series(slides: DataFrame, last_s: int = 1800) -> DataFrame:
     """Mean latency per computed_at over the last stretch, measured back from the newest one.
 
-    The cut-off is one row, so joining it costs no shuffle of the slides; rows
-    older than it are dropped before the aggregate.
+    The cut-off is a scalar subquery: rows older than it are dropped by a plain
+    filter before the aggregate.
     """
-    newest = slides.agg(F.max("computed_at").alias("_newest"))
-    return (slides.crossJoin(F.broadcast(newest))
-            .filter(F.col("computed_at") >= F.col("_newest") - F.make_dt_interval(secs=F.lit(last_s)))
+    newest = slides.agg(F.max("computed_at")).scalar()
+    return (slides.filter(F.col("computed_at") >= newest - F.make_dt_interval(secs=F.lit(last_s)))
             .groupBy("computed_at").agg(exact_mean(F.col("latency_sec"), 2).alias("latency_sec"))
             .orderBy("computed_at"))
 

@@ -38,12 +38,19 @@ def dedup_reviews(reviews: DataFrame) -> DataFrame:
     return keep_first(reviews, ["id"], ["arrival_ts", "seq"])
 
 
-def mark_updates(batch: DataFrame, existing: DataFrame,
-                 keys: Sequence[str] = ("window_start",)) -> DataFrame:
-    """Set is_update where the window was already published. Only distinct keys of `existing` are joined."""
+def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("window_start",),
+                 corrects: str | None = None) -> DataFrame:
+    """Set is_update where the window was already published. Only distinct keys of `existing` are joined.
+
+    `corrects` names a boolean column that is dropped after use: rows where it
+    is false (windows still filling up) are never updates.
+    """
     known = existing.select(*keys).distinct().withColumn("_known", F.lit(True))
-    return (batch.drop("is_update").join(known, list(keys), "left")
-            .withColumn("is_update", F.col("_known").isNotNull()).drop("_known"))
+    flag = F.col("_known").isNotNull()
+    if corrects is not None:
+        flag = flag & F.col(corrects)
+    marked = batch.drop("is_update").join(known, list(keys), "left").withColumn("is_update", flag)
+    return marked.drop("_known", *([corrects] if corrects else []))
 
 
 def retain_last(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -42,8 +42,12 @@ def append_metrics_csv(metrics: DataFrame, path: str) -> None:
 # readers take the last version per key. Nothing that is read is ever
 # overwritten, and repeating a batch replaces only its own folder.
 
-def append_windows(windows: DataFrame, root: str, batch_id: int) -> None:
+def append_windows(windows: DataFrame, root: str, batch_id: int, files_per_day: int = 8) -> None:
+    """Write one batch. A day is spread over up to `files_per_day` tasks, so a busy day is not one task
+    and a quiet one is not hundreds of files."""
+    share = F.pmod(F.hash("product_id"), F.lit(files_per_day))
     (windows.withColumn("window_date", F.to_date("window_start"))
+     .repartition("window_date", share)
      .write.mode("overwrite").partitionBy("window_date").parquet(f"{root}/batch_id={batch_id}"))
 
 

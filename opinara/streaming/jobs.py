@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -55,13 +56,23 @@ def tumbling_stream(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFr
 
     The exact too-old rule is applied first; the watermark (width + lateness)
     then never removes an accepted review, it only frees finished windows.
+    `corrects` tells whether the totals contain a review that came after the
+    window had closed.
     """
     kept, _ = admissible(reviews, width_s, lateness_s)
     return (kept.withWatermark("date", f"{width_s + lateness_s} seconds")
             .groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
-            .agg(F.sum("rating").alias("r"), F.sum("likes").alias("l"), F.count("*").alias("c"))
+            .agg(F.sum("rating").alias("r"), F.sum("likes").alias("l"), F.count("*").alias("c"),
+                 F.max("arrival_ts").alias("last_arrival"))
             .select("product_id", F.col("w.start").alias("window_start"),
-                    *finish_tumbling(F.col("r"), F.col("l"), F.col("c"))))
+                    *finish_tumbling(F.col("r"), F.col("l"), F.col("c")),
+                    (F.col("last_arrival") > F.col("w.end")).alias("corrects")))
+
+
+def closed_windows(windows: DataFrame, width_s: int, as_of: datetime | str) -> DataFrame:
+    """Windows that had ended by `as_of`; the table also holds the ones still filling up."""
+    return windows.filter(F.col("window_start") + F.make_dt_interval(secs=F.lit(width_s))
+                          <= F.lit(as_of).cast("timestamp"))
 
 
 def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
@@ -82,7 +93,9 @@ def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
                     (F.col("batch_id") < batch_id) & (F.col("window_date") >= F.lit(oldest).cast("date")))
             except AnalysisException:
                 earlier = spark.createDataFrame([], WINDOW_AGG)
-            append_windows(mark_updates(batch, earlier).select(*WINDOW_AGG.fieldNames()), root, batch_id)
+            corrects = "corrects" if "corrects" in batch.columns else None
+            marked = mark_updates(batch, earlier, corrects=corrects)
+            append_windows(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id)
         finally:
             batch.unpersist()
     return write
