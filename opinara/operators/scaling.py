@@ -15,17 +15,21 @@ MAX_GROUP_ROWS = 5_000_000
 MAX_BROADCAST_ROWS = 200_000
 
 
-def attach_small(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join with a side that is usually small: its rows are counted first.
+def attach_small(df: DataFrame, lookup: DataFrame, on: Sequence[str],
+                 max_rows: int = MAX_BROADCAST_ROWS, salts: int = 16) -> DataFrame:
+    """Left join with a lookup that is usually small: its rows are counted first.
 
     The lookup is materialized, so counting it does not compute it twice.
-    Past `max_rows` it is an ordinary shuffled join.
+    Past `max_rows` the join is shuffled, with the rows of one key spread over
+    `salts` tasks and the lookup repeated for each of them.
     """
+    on = list(on)
     lookup = durable(lookup)
     if lookup.count() <= max_rows:
-        lookup = F.broadcast(lookup)
-    return df.join(lookup, list(on), how)
+        return df.join(F.broadcast(lookup), on, "left")
+    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    repeated = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(salts)])))
+    return spread.join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],

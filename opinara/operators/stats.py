@@ -41,7 +41,8 @@ def rating_distribution(reviews: DataFrame) -> DataFrame:
 
 def top_products(reviews: DataFrame, top: int = 5) -> DataFrame:
     """Products with most reviews, invalid ones included; ties go to the one seen first."""
-    return (reviews.groupBy("product_id").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    product = F.coalesce("product_id", F.lit("unknown")).alias("product_id")
+    return (reviews.groupBy(product).agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
             .orderBy(F.desc("n"), "first_seq").limit(top).select("product_id", "n"))
 
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.operators.scaling import attach_small
+
 WINDOW_KEY = ("product_id", "window_start")
 
 
@@ -49,7 +51,7 @@ def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("
     flag = F.col("_known").isNotNull()
     if corrects is not None:
         flag = flag & F.col(corrects)
-    marked = batch.drop("is_update").join(known, list(keys), "left").withColumn("is_update", flag)
+    marked = attach_small(batch.drop("is_update"), known, keys).withColumn("is_update", flag)
     return marked.drop("_known", *([corrects] if corrects else []))
 
 

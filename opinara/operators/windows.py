@@ -22,6 +22,11 @@ def tumbling_bucket(ts: Column | str, width_s: int) -> Column:
     return F.window(ts, f"{width_s} seconds", f"{width_s} seconds", f"{offset} seconds")
 
 
+def total(column: str) -> Column:
+    """Sum in which an absent value counts as 0."""
+    return F.sum(F.coalesce(F.col(column), F.lit(0)))
+
+
 def finish_tumbling(rating_sum: Column, likes: Column, reviews: Column) -> list[Column]:
     return [half_up(rating_sum / reviews, 2).alias("avg_rating"),
             likes.alias("total_likes"), reviews.alias("review_count")]
@@ -30,7 +35,7 @@ def finish_tumbling(rating_sum: Column, likes: Column, reviews: Column) -> list[
 def tumbling(reviews: DataFrame, width_s: int = 60) -> DataFrame:
     """Per product and window: mean rating, likes, count. Ratings are not checked here."""
     return (reviews.groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
-            .agg(F.sum("rating").alias("r"), F.sum("likes").alias("l"), F.count("*").alias("c"))
+            .agg(total("rating").alias("r"), total("likes").alias("l"), F.count("*").alias("c"))
             .select("product_id", F.col("w.start").alias("window_start"),
                     *finish_tumbling(F.col("r"), F.col("l"), F.col("c"))))
 
@@ -59,7 +64,7 @@ def tumbling_changelog(reviews: DataFrame, width_s: int, lateness_s: int,
     kept = (classify_arrival(reviews, width_s, lateness_s)
             .filter("arrival_class <> 'dropped'")
             .select("product_id", "window_start", "arrival_class", "arrival_ts", "seq",
-                    F.col("rating").cast("long").alias("r"), F.col("likes").cast("long").alias("l")))
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c[0]) for c in ("rating", "likes")]))
     closing = (kept.filter("arrival_class = 'on_time'").groupBy("product_id", "window_start")
                .agg(F.sum("r").alias("r"), F.sum("l").alias("l"), F.count("*").alias("c"),
                     F.max("seq").alias("seq"))
@@ -88,15 +93,14 @@ def sliding(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
             ts: str = "arrival_ts") -> DataFrame:
     """Overlapping windows by arrival, valid ratings only.
 
+    A review without product counts for "unknown", one without date as fresh.
     Reviews are first reduced to panes of gcd(size, slide); only those small
     rows are copied into the windows they belong to, never the reviews.
     """
     check_sliding(size_s, slide_s)
     pane_s = gcd(size_s, slide_s)
-    panes = (reviews.filter(F.col("rating").between(1, 5))
-             .groupBy("product_id", F.window(ts, f"{pane_s} seconds").alias("w"))
-             .agg(F.count("*").alias("c"), F.sum("rating").alias("r"),
-                  F.count_if(F.col("rating") < 3).alias("neg"), F.max("date").alias("newest"))
+    panes = (sliding_input(reviews, ts).groupBy("product_id", F.window(ts, f"{pane_s} seconds").alias("w"))
+             .agg(*sliding_sums())
              .select("product_id", F.col("w.start").alias("pane"), "c", "r", "neg", "newest"))
     merged = (hopping_panes(panes, "pane", pane_s, size_s, slide_s)
               .groupBy("product_id", "hop_start", "hop_end")
@@ -105,6 +109,17 @@ def sliding(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
     return finish_sliding(merged, "hop_start", "hop_end")
 
 
+def sliding_input(reviews: DataFrame, ts: str = "arrival_ts") -> DataFrame:
+    return (reviews.filter(F.col("rating").between(1, 5))
+            .withColumns({"product_id": F.coalesce("product_id", F.lit("unknown")),
+                          "date": F.coalesce("date", ts)}))
+
+
+def sliding_sums() -> list[Column]:
+    return [F.count("*").alias("c"), F.sum("rating").alias("r"),
+            F.count_if(F.col("rating") < 3).alias("neg"), F.max("date").alias("newest")]
+
+
 def check_sliding(size_s: int, slide_s: int) -> None:
     if size_s <= 0 or slide_s <= 0:
         raise ValueError("window size and slide must be positive")

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Window state can outgrow the heap on a busy stream; RocksDB keeps it on disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

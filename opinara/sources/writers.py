@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,14 +21,18 @@ def ordered_by_product(reviews: DataFrame, partitions: int | None = None) -> Dat
     return placed.sortWithinPartitions(*by)
 
 
+def publish_counters() -> list[Column]:
+    value = F.col("value")
+    return [F.count_if(value.isNotNull()).alias("published"), F.count_if(value.isNull()).alias("failed")]
+
+
 def write_messages(messages: DataFrame, transport: str, options: dict[str, str]) -> Observation:
     """Write (key, value) rows. The observation gives `published` and `failed` once written.
 
     A message without a value could not be encoded; it is counted, not written.
     """
     seen = Observation()
-    counted = messages.observe(seen, F.count_if(F.col("value").isNotNull()).alias("published"),
-                               F.count_if(F.col("value").isNull()).alias("failed"))
+    counted = messages.observe(seen, *publish_counters())
     counted.filter(F.col("value").isNotNull()).write.format(transport).options(**options).mode("append").save()
     return seen
 

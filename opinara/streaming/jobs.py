@@ -12,17 +12,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from opinara.operators.alerts import COOLDOWN_S, RECENT_S, anomalies
-from opinara.operators.stats import review_stats, valid_ratings
+from opinara.operators.stats import review_stats
 from opinara.operators.tables import mark_updates
 from opinara.operators.windows import (
     check_sliding,
     classify_arrival,
     finish_sliding,
     finish_tumbling,
+    sliding_input,
+    sliding_sums,
+    total,
     tumbling_bucket,
 )
 from opinara.schemas import WINDOW_AGG
-from opinara.sources.writers import append_windows, latest_windows, window_versions
+from opinara.sources.writers import append_windows, latest_windows, publish_counters, window_versions
 
 # Fixed values of the flush policy.
 FLUSH_ROWS = 100
@@ -62,13 +65,28 @@ def tumbling_stream(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFr
     kept, _ = admissible(reviews, width_s, lateness_s)
     return (kept.withWatermark("date", f"{width_s + lateness_s} seconds")
             .groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
-            .agg(F.sum("rating").alias("r"), F.sum("likes").alias("l"), F.count("*").alias("c"),
+            .agg(total("rating").alias("r"), total("likes").alias("l"), F.count("*").alias("c"),
                  F.max("arrival_ts").alias("last_arrival"))
             .select("product_id", F.col("w.start").alias("window_start"),
                     *finish_tumbling(F.col("r"), F.col("l"), F.col("c")),
                     (F.col("last_arrival") > F.col("w.end")).alias("corrects")))
 
 
+def closing_stream(reviews: DataFrame, width_s: int) -> DataFrame:
+    """First publication of each window, for append mode: its on-time totals once it has closed.
+
+    A review that is on time cannot follow one dated after its window's end, so
+    a watermark without delay closes windows at the right moment. Needs input
+    in arrival order, as the tumbling stream does.
+    """
+    kept, _ = admissible(reviews, width_s, 0)
+    return (kept.withWatermark("date", "0 seconds")
+            .groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
+            .agg(total("rating").alias("r"), total("likes").alias("l"), F.count("*").alias("c"))
+            .select("product_id", F.col("w.start").alias("window_start"),
+                    *finish_tumbling(F.col("r"), F.col("l"), F.col("c")), F.lit(False).alias("is_update")))
+
+
 def closed_windows(windows: DataFrame, width_s: int, as_of: datetime | str) -> DataFrame:
     """Windows that had ended by `as_of`; the table also holds the ones still filling up."""
     return windows.filter(F.col("window_start") + F.make_dt_interval(secs=F.lit(width_s))
@@ -112,10 +130,9 @@ def sliding_stream(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
                    lateness_s: int = 0) -> DataFrame:
     """Sliding windows by arrival time, for append mode: each window once, when it is complete."""
     check_sliding(size_s, slide_s)
-    sums = (valid_ratings(reviews).withWatermark("arrival_ts", f"{lateness_s} seconds")
+    sums = (sliding_input(reviews).withWatermark("arrival_ts", f"{lateness_s} seconds")
             .groupBy("product_id", F.window("arrival_ts", f"{size_s} seconds", f"{slide_s} seconds").alias("w"))
-            .agg(F.count("*").alias("c"), F.sum("rating").alias("r"),
-                 F.count_if(F.col("rating") < 3).alias("neg"), F.max("date").alias("newest")))
+            .agg(*sliding_sums()))
     return finish_sliding(sums.select("product_id", "c", "r", "neg", "newest",
                                       F.col("w.start").alias("s"), F.col("w.end").alias("e")), "s", "e")
 
@@ -130,6 +147,14 @@ def stats_stream(reviews: DataFrame) -> DataFrame:
     return review_stats(reviews)
 
 
+def publish(messages: DataFrame, transport: str, options: dict[str, str], checkpoint: str,
+            name: str = "published") -> DataStreamWriter:
+    """Stream (key, value) rows out. Progress reports count what was published and what had no value."""
+    counted = messages.observe(name, *publish_counters())
+    return (counted.filter(F.col("value").isNotNull()).writeStream.format(transport).options(**options)
+            .option("checkpointLocation", checkpoint))
+
+
 def fan_out(*writes: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """foreachBatch body that feeds one batch to several writers, computing it once."""
     def write(batch: DataFrame, batch_id: int) -> None:

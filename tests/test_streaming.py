@@ -136,6 +136,28 @@ def test_sliding_stream_equals_batch_for_complete_windows(spark, reviews, files,
     assert complete.count() > expected.count() * 0.8
 
 
+def test_closing_stream_publishes_on_time_totals(spark, reviews, files, tmp_path):
+    out = jobs.closing_stream(stream(spark, files), fx.WIDTH_S)
+    query = drain(out.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")), tmp_path)
+    assert all(o["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress for o in p["stateOperators"])
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).drop("is_update")
+    on_time = w.classify_arrival(reviews, fx.WIDTH_S, 0).filter("arrival_class = 'on_time'")
+    expected = w.tumbling(on_time, fx.WIDTH_S)
+    closed = got.agg(F.max("window_start").cast("string")).first()[0]
+    assert sorted_rows(got) == sorted_rows(expected.filter(F.col("window_start") <= F.lit(closed).cast("timestamp")))
+    assert got.count() > expected.count() * 0.9
+
+
+def test_published_messages_are_counted(spark, files, tmp_path):
+    messages = codec.encode_raw(stream(spark, files))
+    writer = jobs.publish(messages, "json", {"path": str(tmp_path / "out")}, str(tmp_path / "state"))
+    query = jobs.flush_every(writer, final=True).start()
+    query.awaitTermination()
+    counts = [p["observedMetrics"]["published"] for p in query.recentProgress if "published" in p["observedMetrics"]]
+    assert sum(c["published"] for c in counts) == 1000 and sum(c["failed"] for c in counts) == 0
+    assert spark.read.schema(readers.MESSAGE).json(str(tmp_path / "out")).count() == 1000
+
+
 def test_stats_stream_equals_batch(spark, reviews, files, tmp_path):
     seen = []
     drain(jobs.stats_stream(stream(spark, files)).writeStream.outputMode("complete")

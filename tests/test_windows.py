@@ -151,6 +151,17 @@ def test_sliding_copies_panes_not_reviews(spark):
     assert "HashAggregate" in above and "HashAggregate" in below
 
 
+def test_absent_fields(spark):
+    data = spark.createDataFrame([
+        (None, 4, None, at("2024-01-01 10:00"), at("2024-01-01 10:00"), 0),
+        ("p", None, 5, at("2024-01-01 10:00"), at("2024-01-01 10:00"), 1),
+        ("p", 2, 5, None, at("2024-01-01 10:00:30"), 2)], SCHEMA)
+    slid = {r.product_id: (r.review_count, r.latency_sec) for r in w.sliding(data, 60, 60).collect()}
+    assert slid == {"unknown": (1, 60.0), "p": (1, 30.0)}
+    tumbled = {r.product_id: (r.avg_rating, r.total_likes, r.review_count) for r in w.tumbling(data, 60).collect()}
+    assert tumbled == {None: (4.0, 0, 1), "p": (0.0, 5, 1)}
+
+
 def test_latency_is_never_negative(spark):
     # The review is dated after the window that contains its arrival.
     got = w.sliding(reviews(spark, [("p", 3, 0, "2024-01-01 11:00", "2024-01-01 10:00:30")]), 60, 60).first()
