@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,38 +44,59 @@ def append_metrics_csv(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").option("header", True).csv(path)
 
 
-# --- window table -----------------------------------------------------------
-# Each batch is written to its own batch_id folder, partitioned by day, and
-# readers take the last version per key. Nothing that is read is ever
-# overwritten, and repeating a batch replaces only its own folder.
-
-def append_windows(windows: DataFrame, root: str, batch_id: int, files_per_day: int = 8) -> None:
-    """Write one batch. A day is spread over up to `files_per_day` tasks, so a busy day is not one task
-    and a quiet one is not hundreds of files."""
-    share = F.pmod(F.hash("product_id"), F.lit(files_per_day))
-    (windows.withColumn("window_date", F.to_date("window_start"))
-     .repartition("window_date", share)
-     .write.mode("overwrite").partitionBy("window_date").parquet(f"{root}/batch_id={batch_id}"))
-
+# --- versioned tables -------------------------------------------------------
+# A batch goes to day=<day>/batch_id=<n> folders and readers take the last
+# version per key. Writing replaces only folders of the same batch, so nothing
+# another batch wrote is ever overwritten and repeating a batch is harmless.
+# Days come first, so readers of recent days list only their folders.
 
-def window_versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All versions, with batch_id and window_date as prunable partition columns."""
-    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()),
-                           T.StructField("window_date", T.DateType())])
-    return spark.read.schema(stored).option("basePath", root).parquet(root)
+# Beyond this many days a reader lists the whole table instead of naming days.
+MAX_NAMED_DAYS = 1000
 
 
-def latest_windows(spark: SparkSession, root: str, schema: T.StructType,
-                   since: str | None = None) -> DataFrame:
-    """Last version of every window; `since` (a date) prunes older days."""
-    versions = window_versions(spark, root, schema)
-    if since is not None:
-        versions = versions.filter(F.col("window_date") >= F.lit(since).cast("date"))
+def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, spread: str = "product_id",
+                 files_per_day: int = 8) -> None:
+    """Write one batch. A day is spread over up to `files_per_day` tasks, so a busy day is not one task
+    and a quiet one is not hundreds of files."""
+    (rows.withColumns({"day": F.to_date(ts), "batch_id": F.lit(batch_id).cast("long")})
+     .repartition("day", F.pmod(F.hash(spread), F.lit(files_per_day)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch_id").parquet(root))
+
+
+def read_versions(spark: SparkSession, root: str, schema: T.StructType, first_day: date | None = None,
+                  last_day: date | None = None) -> DataFrame:
+    """All versions between two days (or of all days), with day and batch_id. No rows if nothing is there yet."""
+    stored = T.StructType([*schema.fields, T.StructField("day", T.DateType()),
+                           T.StructField("batch_id", T.LongType())])
+    path = root
+    if first_day is not None and last_day is not None and 0 <= (last_day - first_day).days < MAX_NAMED_DAYS:
+        days = [str(first_day + timedelta(days=n)) for n in range((last_day - first_day).days + 1)]
+        path = f"{root}/day={{{','.join(days)}}}"
+    try:
+        versions = spark.read.schema(stored).option("basePath", root).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stored)
+    if first_day is not None:
+        versions = versions.filter(F.col("day") >= F.lit(first_day))
+    return versions if last_day is None else versions.filter(F.col("day") <= F.lit(last_day))
+
+
+def latest_windows(spark: SparkSession, root: str, schema: T.StructType, first_day: date | None = None,
+                   last_day: date | None = None) -> DataFrame:
+    """Last version of every window."""
+    versions = read_versions(spark, root, schema, first_day, last_day)
     return keep_last(versions, WINDOW_KEY, ["batch_id"]).select(*schema.fieldNames())
 
 
-def compact_windows(spark: SparkSession, root: str, schema: T.StructType, target: str) -> None:
-    """Copy the last versions to a new root, as one batch numbered like the newest one."""
-    newest = window_versions(spark, root, schema).agg(F.max("batch_id")).first()[0]
+def compact_windows(spark: SparkSession, root: str, schema: T.StructType, target: str,
+                    first_day: date | None = None) -> None:
+    """Copy the last versions to a new root, as one batch numbered like the newest one.
+
+    Days before `first_day` are left behind, which is how old windows are retired.
+    """
+    newest = read_versions(spark, root, schema).agg(F.max("batch_id")).first()[0]
     if newest is not None:
-        append_windows(latest_windows(spark, root, schema), target, newest)
+        append_batch(latest_windows(spark, root, schema, first_day), target, newest, "window_start")

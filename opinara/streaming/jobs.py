@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -25,7 +24,7 @@ from opinara.operators.windows import (
     tumbling_bucket,
 )
 from opinara.schemas import WINDOW_AGG
-from opinara.sources.writers import append_windows, latest_windows, publish_counters, window_versions
+from opinara.sources.writers import append_batch, latest_windows, publish_counters, read_versions
 
 # Fixed values of the flush policy.
 FLUSH_ROWS = 100
@@ -96,24 +95,21 @@ def closed_windows(windows: DataFrame, width_s: int, as_of: datetime | str) -> D
 def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: flag corrections, then append the batch to the window table.
 
-    Only days the batch touches or later are read back. A repeated batch
-    ignores what it wrote itself, so the flags come out the same.
+    Only the days the batch touches are read back. A repeated batch ignores
+    what it wrote itself, so the flags come out the same.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            oldest = batch.agg(F.min("window_start").cast("date").cast("string")).first()[0]
-            if oldest is None:
+            day = F.to_date("window_start")
+            first_day, last_day = batch.agg(F.min(day), F.max(day)).first()
+            if first_day is None:
                 return
-            try:
-                earlier = window_versions(spark, root, WINDOW_AGG).filter(
-                    (F.col("batch_id") < batch_id) & (F.col("window_date") >= F.lit(oldest).cast("date")))
-            except AnalysisException:
-                earlier = spark.createDataFrame([], WINDOW_AGG)
+            earlier = (read_versions(batch.sparkSession, root, WINDOW_AGG, first_day, last_day)
+                       .filter(F.col("batch_id") < batch_id))
             corrects = "corrects" if "corrects" in batch.columns else None
             marked = mark_updates(batch, earlier, corrects=corrects)
-            append_windows(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id)
+            append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start")
         finally:
             batch.unpersist()
     return write
@@ -177,24 +173,24 @@ def alert_into(window_root: str, alert_root: str, recent_s: int = RECENT_S,
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         newest = F.max("window_start")
-        as_of, since = batch.agg(
-            F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-            F.to_date(newest - F.make_dt_interval(secs=F.lit(recent_s))).cast("string")).first()
+
+        def day_before(seconds: int) -> Column:
+            return F.to_date(newest - F.make_dt_interval(secs=F.lit(seconds)))
+
+        as_of, today, recent_day, cooldown_day = batch.agg(
+            F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.to_date(newest),
+            day_before(recent_s), day_before(cooldown_s)).first()
         if as_of is None:
             return
         stamp = F.lit(as_of).cast("timestamp")
-        windows = latest_windows(spark, window_root, WINDOW_AGG, since)
-        found = anomalies(windows, as_of, recent_s).withColumn("sent_at", stamp)
-        stored = T.StructType([*ALERT.fields, T.StructField("batch_id", T.LongType())])
-        try:
-            log = spark.read.schema(stored).option("basePath", alert_root).parquet(alert_root)
-            muted = (log.filter((F.col("batch_id") < batch_id) &
-                                (F.col("sent_at") > stamp - F.make_dt_interval(secs=F.lit(cooldown_s))))
-                     .select("product_id").distinct())
-            found = found.join(muted, "product_id", "left_anti")
-        except AnalysisException:
-            pass
-        found.select(*ALERT.fieldNames()).write.mode("overwrite").parquet(f"{alert_root}/batch_id={batch_id}")
+        # A batch may end before the table does, so later days are not cut off.
+        windows = latest_windows(spark, window_root, WINDOW_AGG, recent_day)
+        sent = read_versions(spark, alert_root, ALERT, cooldown_day, today).filter(
+            (F.col("batch_id") < batch_id)
+            & (F.col("sent_at") > stamp - F.make_dt_interval(secs=F.lit(cooldown_s))))
+        due = (anomalies(windows, as_of, recent_s).withColumn("sent_at", stamp)
+               .join(sent.select("product_id").distinct(), "product_id", "left_anti"))
+        append_batch(due.select(*ALERT.fieldNames()), alert_root, batch_id, "sent_at")
     return write
 
 

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import alerts, serving, stats, tables
+from opinara.operators import alerts, serving, stats
 from opinara.operators import windows as w
 from opinara.plans import fixtures as fx
 from opinara.schemas import WINDOW_AGG
@@ -61,7 +61,7 @@ def test_tumbling_table_equals_batch(spark, reviews, files, tmp_path):
     got = writers.latest_windows(spark, str(tmp_path / "t"), WINDOW_AGG)
     kept = w.classify_arrival(reviews, fx.WIDTH_S, fx.LATENESS_S).filter("arrival_class <> 'dropped'")
     assert sorted_rows(serving.serve_projection(got)) == sorted_rows(w.tumbling(kept, fx.WIDTH_S))
-    versions = writers.window_versions(spark, str(tmp_path / "t"), WINDOW_AGG)
+    versions = writers.read_versions(spark, str(tmp_path / "t"), WINDOW_AGG)
     # An update needs an earlier version of its window and a review from after the window closed.
     first = versions.groupBy("window_start").agg(F.min("batch_id").alias("first"))
     updates = versions.filter("is_update")
@@ -178,12 +178,12 @@ def test_fan_out_feeds_every_writer(spark, files, tmp_path):
         writers.write_messages(codec.encode_raw(batch), "json", {"path": str(tmp_path / "raw")})
 
     def as_windows(batch, batch_id):
-        writers.append_windows(w.tumbling(batch, fx.WIDTH_S).withColumn("is_update", F.lit(False)),
-                               str(tmp_path / "win"), batch_id)
+        writers.append_batch(w.tumbling(batch, fx.WIDTH_S).withColumn("is_update", F.lit(False)),
+                             str(tmp_path / "win"), batch_id, "window_start")
 
     drain(stream(spark, files).writeStream.foreachBatch(jobs.fan_out(as_messages, as_windows)), tmp_path)
     assert spark.read.schema(readers.MESSAGE).json(str(tmp_path / "raw")).count() == 1000
-    assert writers.window_versions(spark, str(tmp_path / "win"), WINDOW_AGG).agg(
+    assert writers.read_versions(spark, str(tmp_path / "win"), WINDOW_AGG).agg(
         F.sum("review_count")).first()[0] == 1000
 
 
@@ -204,21 +204,26 @@ def test_alerts_follow_the_table_and_stay_silent_in_the_cooldown(spark, files, t
     both = jobs.fan_out(jobs.upsert_into(table), jobs.alert_into(table, log, fx.RECENT_S, 2 * fx.DAY))
     drain(jobs.tumbling_stream(stream(spark, files), fx.WIDTH_S, fx.LATENESS_S)
           .writeStream.outputMode("update").foreachBatch(both), tmp_path)
-    sent = spark.read.option("basePath", log).parquet(log)
+    sent = writers.read_versions(spark, log, jobs.ALERT)
     assert sent.count() > 0
     times = sent.select("product_id", F.unix_seconds("sent_at").alias("t")).distinct().collect()
     by_product = {}
     for r in times:
         by_product.setdefault(r.product_id, []).append(r.t)
     assert all(b - a >= 2 * fx.DAY for ts in by_product.values() for a, b in zip(sorted(ts), sorted(ts)[1:]))
-    versions = writers.window_versions(spark, table, WINDOW_AGG)
+    versions = writers.read_versions(spark, table, WINDOW_AGG)
     first = versions.filter("batch_id = 0")
     as_of = first.agg(F.max("window_start").cast("string")).first()[0]
     assert sorted_rows(sent.filter("batch_id = 0").select("product_id", "rule")) == sorted_rows(
         alerts.anomalies(first, as_of, fx.RECENT_S).select("product_id", "rule"))
 
 
-def test_console_and_kafka_writers_are_built(spark, files):
-    writer = jobs.show_on_console(jobs.stats_stream(stream(spark, files)), "complete")
-    assert writer is not None
-    assert tables.WINDOW_KEY == ("product_id", "window_start")
+def test_console_stream_runs(spark, files, tmp_path):
+    writer = jobs.show_on_console(jobs.stats_stream(stream(spark, files)), "complete", rows=1)
+    query = jobs.flush_every(writer.option("checkpointLocation", str(tmp_path / "state")), final=True).start()
+    assert query.awaitTermination(120)
+
+
+def test_flush_size_is_a_source_option():
+    options = readers.kafka_options("broker:9092", readers.WINDOW_TOPIC, "latest", per_batch=jobs.FLUSH_ROWS)
+    assert (options["maxOffsetsPerTrigger"], options["startingOffsets"]) == ("100", "latest")

@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from opinara.operators import tables
@@ -74,27 +76,54 @@ def window_rows(spark, items):
     return spark.createDataFrame([(p, at(w), 3.0, 1, c) for p, w, c in items], WINDOW_SERVED)
 
 
+def append(rows, root, batch_id):
+    writers.append_batch(rows, root, batch_id, "window_start")
+
+
 def test_window_table_versions_repeat_and_compact(spark, tmp_path):
     root = str(tmp_path / "table")
     read = lambda where: {(r.product_id, str(r.window_start)): r.review_count
                           for r in writers.latest_windows(spark, where, WINDOW_SERVED).collect()}
-    writers.append_windows(window_rows(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 4)]), root, 0)
-    writers.append_windows(window_rows(spark, [("a", "2024-01-01", 2)]), root, 1)
-    writers.append_windows(window_rows(spark, [("a", "2024-01-01", 3)]), root, 1)  # the batch is repeated
+    append(window_rows(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 4)]), root, 0)
+    append(window_rows(spark, [("a", "2024-01-01", 2)]), root, 1)
+    append(window_rows(spark, [("a", "2024-01-01", 3)]), root, 1)  # the batch is repeated
     expected = {("a", "2024-01-01 00:00:00"): 3, ("b", "2024-01-02 00:00:00"): 4}
     assert read(root) == expected
     target = str(tmp_path / "compacted")
     writers.compact_windows(spark, root, WINDOW_SERVED, target)
     assert read(target) == expected
-    assert writers.window_versions(spark, target, WINDOW_SERVED).count() == 2
-    writers.append_windows(window_rows(spark, [("a", "2024-01-01", 9)]), target, 2)
+    assert writers.read_versions(spark, target, WINDOW_SERVED).count() == 2
+    append(window_rows(spark, [("a", "2024-01-01", 9)]), target, 2)
     assert read(target)["a", "2024-01-01 00:00:00"] == 9
 
 
 def test_window_table_prunes_days(spark, tmp_path):
     root = str(tmp_path / "table")
-    writers.append_windows(window_rows(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 4)]), root, 0)
-    recent = writers.latest_windows(spark, root, WINDOW_SERVED, since="2024-01-02")
-    assert [r.product_id for r in recent.collect()] == ["b"]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "window_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    append(window_rows(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 4), ("c", "2024-01-05", 2)]), root, 0)
+    day = dt.date(2024, 1, 2)
+    recent = writers.latest_windows(spark, root, WINDOW_SERVED, day)
+    assert sorted(r.product_id for r in recent.collect()) == ["b", "c"]
+    assert "day" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    # With both ends given only the folders of those days are listed.
+    named = writers.read_versions(spark, root, WINDOW_SERVED, day, dt.date(2024, 1, 4))
+    assert [r.product_id for r in named.collect()] == ["b"]
+    assert all("day=2024-01-02" in f for f in named.inputFiles())
+    assert writers.read_versions(spark, root, WINDOW_SERVED, dt.date(2023, 1, 1), dt.date(2023, 1, 2)).count() == 0
+    assert writers.read_versions(spark, str(tmp_path / "nothing"), WINDOW_SERVED).count() == 0
+    target = str(tmp_path / "kept")
+    writers.compact_windows(spark, root, WINDOW_SERVED, target, first_day=day)
+    assert writers.latest_windows(spark, target, WINDOW_SERVED).count() == 2
+
+
+def test_a_busy_day_is_written_by_several_tasks(spark, tmp_path):
+    root = str(tmp_path / "table")
+    rows = spark.range(2000).select(F.concat(F.lit("p"), "id").alias("product_id"),
+                                    F.lit("2024-01-01").cast("timestamp").alias("window_start"),
+                                    F.lit(1.0).alias("avg_rating"), F.lit(1).cast("long").alias("total_likes"),
+                                    F.lit(1).cast("long").alias("review_count"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these tasks are tiny
+    try:
+        append(rows, root, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(writers.read_versions(spark, root, WINDOW_SERVED).inputFiles()) > 1
