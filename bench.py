@@ -65,6 +65,14 @@ def validation_rates(spark: SparkSession) -> dict[str, float]:
     return {"rows": n, **rates}
 
 
+def scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", spark_sql_shuffle_partitions=CPUS,
                           spark_ui_enabled="false", spark_driver_memory="8g")
@@ -72,7 +80,7 @@ def main() -> None:
     seconds = {name: timed(lambda name=name: run(CATALOG[name](spark, SF_DIR))) for name in HEADLINE}
     rates = validation_rates(spark)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
-                      "queries": seconds, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+                      "queries": seconds, "sf": scale(SF_DIR),
                       "validation_rows_per_sec": rates}))
 
 

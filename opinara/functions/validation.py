@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the review contract.
+# Fixed values of the review contract: bounds and the messages readers see.
 MIN_RATING = 1.0
 MAX_RATING = 5.0
 MAX_TEXT_CHARS = 5000
 MIN_LIKES = 0
-
-
-def _rating_text(rating: Column) -> Column:
-    return F.when(F.isnan(rating), "nan").otherwise(rating.cast("string"))
+BAD_RATING = "rating must be between 1.0 and 5.0, got "
+EMPTY_TEXT = "text must not be empty"
+LONG_TEXT = "text too long: "
+LONG_TEXT_END = " chars, max 5000"
+BAD_LIKES = "likes must be >= 0, got "
+NULL_FIELD = "rating, text and likes must not be null"
 
 
 def _rules(rating: Column, text: Column, likes: Column) -> list[tuple[str, Column, Column]]:
@@ -22,19 +24,15 @@ def _rules(rating: Column, text: Column, likes: Column) -> list[tuple[str, Colum
     length = F.char_length(text)
     # Bytes are stored, characters must be counted: count only where the bytes leave it open.
     too_long = (F.octet_length(text) > MAX_TEXT_CHARS) & (length > MAX_TEXT_CHARS)
+    got = F.when(F.isnan(rating), "nan").otherwise(rating.cast("string"))
     return [
-        ("null_field", rating.isNull() | text.isNull() | likes.isNull(),
-         F.lit("rating, text and likes must not be null")),
+        ("null_field", rating.isNull() | text.isNull() | likes.isNull(), F.lit(NULL_FIELD)),
         # NaN sorts above every number, so it fails the upper bound.
-        ("rating", (rating < MIN_RATING) | (rating > MAX_RATING),
-         F.concat(F.lit(f"rating must be between {MIN_RATING} and {MAX_RATING}, got "),
-                  _rating_text(rating))),
-        ("empty_text", F.octet_length(text) == 0, F.lit("text must not be empty")),
+        ("rating", (rating < MIN_RATING) | (rating > MAX_RATING), F.concat(F.lit(BAD_RATING), got)),
+        ("empty_text", F.octet_length(text) == 0, F.lit(EMPTY_TEXT)),
         ("long_text", too_long,
-         F.concat(F.lit("text too long: "), length.cast("string"),
-                  F.lit(f" chars, max {MAX_TEXT_CHARS}"))),
-        ("likes", likes < MIN_LIKES,
-         F.concat(F.lit(f"likes must be >= {MIN_LIKES}, got "), likes.cast("string"))),
+         F.concat(F.lit(LONG_TEXT), length.cast("string"), F.lit(LONG_TEXT_END))),
+        ("likes", likes < MIN_LIKES, F.concat(F.lit(BAD_LIKES), likes.cast("string"))),
     ]
 
 
@@ -66,15 +64,13 @@ def register_sql_functions(spark: SparkSession) -> None:
         CREATE OR REPLACE TEMPORARY FUNCTION review_error(rating DOUBLE, body STRING, likes INT)
         RETURNS STRING
         RETURN CASE
-            WHEN rating IS NULL OR body IS NULL OR likes IS NULL
-                THEN 'rating, text and likes must not be null'
+            WHEN rating IS NULL OR body IS NULL OR likes IS NULL THEN '{NULL_FIELD}'
             WHEN rating < {MIN_RATING} OR rating > {MAX_RATING}
-                THEN concat('rating must be between {MIN_RATING} and {MAX_RATING}, got ',
-                            if(isnan(rating), 'nan', cast(rating AS STRING)))
-            WHEN octet_length(body) = 0 THEN 'text must not be empty'
+                THEN concat('{BAD_RATING}', if(isnan(rating), 'nan', cast(rating AS STRING)))
+            WHEN octet_length(body) = 0 THEN '{EMPTY_TEXT}'
             WHEN octet_length(body) > {MAX_TEXT_CHARS} AND char_length(body) > {MAX_TEXT_CHARS}
-                THEN concat('text too long: ', char_length(body), ' chars, max {MAX_TEXT_CHARS}')
-            WHEN likes < {MIN_LIKES} THEN concat('likes must be >= {MIN_LIKES}, got ', likes)
+                THEN concat('{LONG_TEXT}', char_length(body), '{LONG_TEXT_END}')
+            WHEN likes < {MIN_LIKES} THEN concat('{BAD_LIKES}', likes)
             ELSE '' END""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION review_valid(rating DOUBLE, body STRING, likes INT)

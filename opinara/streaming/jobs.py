@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,9 +136,31 @@ def sliding_stream(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
                                       F.col("w.start").alias("s"), F.col("w.end").alias("e")), "s", "e")
 
 
+def first_copies(horizon_s: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per Arrow batch, drop rows that follow the first arrival of their id by less than the horizon."""
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            codes = pc.fill_null(batch.column("id").dictionary_encode().indices, -1).to_numpy() + 1
+            arrival = batch.column("arrival_ts").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            order = np.lexsort((arrival, codes))
+            heads = np.r_[True, np.diff(codes[order]) != 0]
+            since_first = arrival[order] - arrival[order][heads][np.cumsum(heads) - 1]
+            keep = np.sort(order[heads | (since_first >= horizon_s * 1_000_000)])
+            yield batch.take(pa.array(keep))
+    return reduce
+
+
 def dedup_stream(reviews: DataFrame, horizon_s: int = DEDUP_HORIZON_S) -> DataFrame:
-    """Drop reviews whose id was already seen within the horizon of arrival time."""
-    return reviews.withWatermark("arrival_ts", f"{horizon_s} seconds").dropDuplicatesWithinWatermark(["id"])
+    """Drop reviews whose id was already seen within the horizon of arrival time.
+
+    Copies are first dropped where they are read, so an id with very many of
+    them does not send them all to the task that keeps its state.
+    """
+    dated = reviews.filter(F.col("arrival_ts").isNotNull())
+    return (dated.mapInArrow(first_copies(horizon_s), reviews.schema)
+            .withWatermark("arrival_ts", f"{horizon_s} seconds").dropDuplicatesWithinWatermark(["id"]))
 
 
 def stats_stream(reviews: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import shutil
 import time
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,27 @@ def test_dedup_stream_drops_copies_inside_the_horizon(spark, files, tmp_path):
     assert (got.count(), got.select("id").distinct().count()) == (1000, 1000)
 
 
+def test_first_copies_in_a_batch():
+    second = 1_000_000
+    rows = [("a", 100), ("b", 130), ("a", 90), ("a", 209), ("a", 210), (None, 5), (None, 6), ("b", 130), ("a", 150)]
+    batch = pa.RecordBatch.from_pydict({
+        "id": [i for i, _ in rows], "n": list(range(len(rows))),
+        "arrival_ts": pa.array([t * second for _, t in rows], pa.timestamp("us", "UTC"))})
+    out = list(jobs.first_copies(120)(iter([batch, batch.slice(0, 0)])))
+    assert [b.column("n").to_pylist() for b in out] == [[1, 2, 4, 5]]
+
+
+def test_copies_shrink_before_they_are_shuffled(spark, tmp_path):
+    copies = spark.range(20_000).select(F.lit("hot").alias("id"), F.timestamp_seconds(F.lit(10**9)).alias("arrival_ts"))
+    copies.coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("id string, arrival_ts timestamp").parquet(str(tmp_path / "in"))
+    query = drain(jobs.dedup_stream(source).writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path)
+    assert spark.read.schema("id string, arrival_ts timestamp").parquet(str(tmp_path / "out")).count() == 1
+    dropped = sum(o["customMetrics"].get("numDroppedDuplicateRows", 0) for p in query.recentProgress
+                  for o in p["stateOperators"])
+    assert dropped < 100  # one row per Arrow batch reaches the state
+
+
 def test_fan_out_feeds_every_writer(spark, files, tmp_path):
     def as_messages(batch, batch_id):
         writers.write_messages(codec.encode_raw(batch), "json", {"path": str(tmp_path / "raw")})
