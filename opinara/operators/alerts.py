@@ -80,9 +80,11 @@ def anomaly_history(windows: DataFrame, recent_s: int = RECENT_S, every_s: int =
                   F.count_if(F.col("avg_rating") < NEGATIVE_BELOW).alias("neg"))
              .select("product_id", F.col("w.start").alias("pane"), "h", "c", "neg"))
     scores = (hopping_panes(panes, "pane", pane_s, recent_s, every_s)
-              .groupBy("product_id", F.col("hop_end").alias("check_at"))
+              .groupBy("product_id", "hop_start")
               .agg((F.sum("h").cast("double") / F.sum("c") / 100.0).alias("mean_rating"),
-                   F.sum("neg").alias("negative"), F.sum("c").alias("windows")))
+                   F.sum("neg").alias("negative"), F.sum("c").alias("windows"))
+              .select("product_id", (F.col("hop_start") + F.make_dt_interval(secs=F.lit(recent_s)))
+                      .alias("check_at"), "mean_rating", "negative", "windows"))
     return anomaly_messages(scores, rating_threshold, share_threshold)
 
 

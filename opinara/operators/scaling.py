@@ -72,7 +72,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def hopping_panes(df: DataFrame, pane_start: str, pane_s: int, size_s: int, slide_s: int) -> DataFrame:
-    """Assign pre-aggregated panes to the overlapping windows [hop_start, hop_start + size).
+    """Assign pre-aggregated panes to the overlapping windows [hop_start, hop_start + size_s).
 
     `pane_start` is a timestamp on a grid of `pane_s` seconds that divides both
     size and slide; windows start on multiples of `slide_s` since 1970.
@@ -81,10 +81,7 @@ def hopping_panes(df: DataFrame, pane_start: str, pane_s: int, size_s: int, slid
     first = F.ceil((at + pane_s - size_s) / slide_s) * slide_s
     last = F.floor(at / slide_s) * slide_s
     starts = F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(slide_s).cast("long")))
-    return (df.withColumn("_hop", starts)
-            .withColumns({"hop_start": F.timestamp_seconds("_hop"),
-                          "hop_end": F.timestamp_seconds(F.col("_hop") + size_s)})
-            .drop("_hop"))
+    return df.withColumn("_hop", starts).withColumn("hop_start", F.timestamp_seconds("_hop")).drop("_hop")
 
 
 def timeline_totals(df: DataFrame, at: str, column: str, block: Column) -> DataFrame:

@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.operators.scaling import attach_small
+from opinara.operators.scaling import MAX_BROADCAST_ROWS, attach_small
+from opinara.session import durable
 
 WINDOW_KEY = ("product_id", "window_start")
 
@@ -35,9 +36,23 @@ def merge_latest(existing: DataFrame, batch: DataFrame, order: Sequence[str],
     return keep_last(existing.unionByName(batch), keys, order)
 
 
-def dedup_reviews(reviews: DataFrame) -> DataFrame:
-    """First arrival per review id."""
-    return keep_first(reviews, ["id"], ["arrival_ts", "seq"])
+def dedup_reviews(reviews: DataFrame, max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """First arrival per review id.
+
+    A pass over the ids alone finds the repeated ones. If they are few enough
+    to broadcast, all other reviews pass through without a shuffle, so their
+    text is never moved; only the copies are reduced. Otherwise every review
+    is reduced by id.
+    """
+    order = ["arrival_ts", "seq"]
+    repeated = durable(reviews.groupBy("id").agg(F.count("*").alias("_n")).filter("_n > 1").select("id"))
+    if repeated.count() > max_repeated:
+        return keep_first(reviews, ["id"], order)
+    # A null id equals no other in a join, so the comparison says so explicitly.
+    same_id = reviews["id"].eqNullSafe(repeated["id"])
+    single = reviews.join(F.broadcast(repeated), same_id, "left_anti")
+    copies = reviews.join(F.broadcast(repeated), same_id, "left_semi")
+    return single.unionByName(keep_first(copies, ["id"], order))
 
 
 def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("window_start",),

@@ -103,9 +103,10 @@ def sliding(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
              .agg(*sliding_sums())
              .select("product_id", F.col("w.start").alias("pane"), "c", "r", "neg", "newest"))
     merged = (hopping_panes(panes, "pane", pane_s, size_s, slide_s)
-              .groupBy("product_id", "hop_start", "hop_end")
+              .groupBy("product_id", "hop_start")
               .agg(F.sum("c").alias("c"), F.sum("r").alias("r"), F.sum("neg").alias("neg"),
-                   F.max("newest").alias("newest")))
+                   F.max("newest").alias("newest"))
+              .withColumn("hop_end", F.col("hop_start") + F.make_dt_interval(secs=F.lit(size_s))))
     return finish_sliding(merged, "hop_start", "hop_end")
 
 

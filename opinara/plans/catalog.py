@@ -61,6 +61,12 @@ def tumbling_changelog(spark, sf):
     return windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S)
 
 
+@query
+def tumbling_changelog_split(spark, sf):
+    """The same changelog by the way that hot groups take."""
+    return windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S, max_group_rows=1)
+
+
 # --- quality ----------------------------------------------------------------
 
 @query
@@ -378,6 +384,12 @@ def dedup_reviews(spark, sf):
     return tables.dedup_reviews(fx.reviews_replayed(spark, sf)).drop("rating_f")
 
 
+@query
+def dedup_reviews_by_id(spark, sf):
+    """The same dedup by the way taken when very many ids repeat."""
+    return tables.dedup_reviews(fx.reviews_replayed(spark, sf), max_repeated=0).drop("rating_f")
+
+
 @query
 def retain_last_n(spark, sf):
     return tables.retain_last(fx.windows(spark, sf), 100, ["window_start", "product_id"])

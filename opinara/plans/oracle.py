@@ -314,7 +314,8 @@ ORACLE: dict[str, str] = {
         select h.* from hits h join sent s using (product_id, check_at)""",
 
     "stream_tumbling_table": f"with {_FINAL_KEPT} select * from windows",
-    "stream_review_stats": "",
     "stream_dedup": f"with {_REVIEWS} select id, product_id, rating, arrival_ts from reviews",
 }
 ORACLE["stream_review_stats"] = ORACLE["review_stats"]
+ORACLE["tumbling_changelog_split"] = ORACLE["tumbling_changelog"]
+ORACLE["dedup_reviews_by_id"] = ORACLE["dedup_reviews"]

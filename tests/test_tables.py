@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators import tables
@@ -35,11 +36,23 @@ def test_keep_last_reduces_before_the_shuffle(spark):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
-def test_dedup_keeps_first_arrival(spark):
+@pytest.mark.parametrize("max_repeated", [100, 0])
+def test_dedup_keeps_first_arrival(spark, max_repeated):
     df = spark.createDataFrame([("x", at("2024-01-01 00:02"), 1, "late"), ("x", at("2024-01-01 00:01"), 2, "first"),
-                                ("x", at("2024-01-01 00:01"), 3, "tie"), ("y", at("2024-01-01"), 4, "only")],
+                                ("x", at("2024-01-01 00:01"), 3, "tie"), ("y", at("2024-01-01"), 4, "only"),
+                                (None, at("2024-01-01"), 5, "none"), (None, at("2024-01-02"), 6, "none again")],
                                "id string, arrival_ts timestamp, seq long, what string")
-    assert {r.id: r.what for r in tables.dedup_reviews(df).collect()} == {"x": "first", "y": "only"}
+    got = tables.dedup_reviews(df, max_repeated)
+    assert sorted((r.id or "", r.what) for r in got.collect()) == [("", "none"), ("x", "first"), ("y", "only")]
+    assert got.columns == df.columns
+
+
+def test_dedup_does_not_shuffle_single_reviews(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit(at("2024-01-01")).alias("arrival_ts"),
+                                 F.col("id").alias("seq"), F.lit("text").alias("text"))
+    single, copies = tables.dedup_reviews(df)._jdf.queryExecution().executedPlan().toString().split("LeftSemi")
+    assert "LeftAnti" in single and "Exchange hashpartitioning" not in single.split("LeftAnti")[1].split("Sort")[0]
+    assert "BroadcastHashJoin" in single
 
 
 def test_updates_are_flagged_per_window(spark):
