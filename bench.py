@@ -31,7 +31,7 @@ HEADLINE = [
     "validate_reviews", "validation_summary", "error_breakdown", "json_quarantine", "encode_raw",
     "review_stats", "rating_distribution", "top_products", "throughput", "moving_rps",
     "kpi_windows", "kpi_latest", "latency_series", "top20_latest", "filter_prefix",
-    "dedup_reviews", "paths_equal", "anomalies", "anomaly_history", "alert_cooldown",
+    "dedup_reviews", "dedup_within_horizon", "paths_equal", "anomalies", "anomaly_history", "alert_cooldown",
     "stream_tumbling_table", "stream_dedup",
 ]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.operators.scaling import MAX_BROADCAST_ROWS, attach_small
+from opinara.operators.spacing import keep_spaced
 from opinara.session import durable
 
 WINDOW_KEY = ("product_id", "window_start")
@@ -36,23 +37,43 @@ def merge_latest(existing: DataFrame, batch: DataFrame, order: Sequence[str],
     return keep_last(existing.unionByName(batch), keys, order)
 
 
-def dedup_reviews(reviews: DataFrame, max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """First arrival per review id.
+def split_repeated(reviews: DataFrame, key: str = "id",
+                   max_repeated: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame | None, DataFrame]:
+    """(rows whose key occurs once, the other rows), from a pass over the keys alone.
 
-    A pass over the ids alone finds the repeated ones. If they are few enough
-    to broadcast, all other reviews pass through without a shuffle, so their
-    text is never moved; only the copies are reduced. Otherwise every review
-    is reduced by id.
+    If the repeated keys are few enough to broadcast, the single rows need no
+    shuffle, so their text is never moved. Otherwise nothing is split off.
     """
-    order = ["arrival_ts", "seq"]
-    repeated = durable(reviews.groupBy("id").agg(F.count("*").alias("_n")).filter("_n > 1").select("id"))
+    repeated = durable(reviews.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key))
     if repeated.count() > max_repeated:
-        return keep_first(reviews, ["id"], order)
-    # A null id equals no other in a join, so the comparison says so explicitly.
-    same_id = reviews["id"].eqNullSafe(repeated["id"])
-    single = reviews.join(F.broadcast(repeated), same_id, "left_anti")
-    copies = reviews.join(F.broadcast(repeated), same_id, "left_semi")
-    return single.unionByName(keep_first(copies, ["id"], order))
+        return None, reviews
+    # A null key equals no other in a plain join.
+    same = reviews[key].eqNullSafe(repeated[key])
+    return (reviews.join(F.broadcast(repeated), same, "left_anti"),
+            reviews.join(F.broadcast(repeated), same, "left_semi"))
+
+
+def dedup_reviews(reviews: DataFrame, max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """First arrival per review id, over all time."""
+    single, copies = split_repeated(reviews, "id", max_repeated)
+    first = keep_first(copies, ["id"], ["arrival_ts", "seq"])
+    return first if single is None else single.unionByName(first)
+
+
+def dedup_within(reviews: DataFrame, horizon_s: int = 120,
+                 max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Drop a review whose id was accepted less than `horizon_s` earlier.
+
+    Dropped copies do not extend the horizon, so an id that is used again
+    later counts as a new review.
+    """
+    single, copies = split_repeated(reviews, "id", max_repeated)
+    at_once = keep_first(copies, ["id", "arrival_ts"], ["seq"])
+    accepted = keep_spaced(copies, "id", "arrival_ts", horizon_s).withColumnsRenamed(
+        {"id": "_id", "arrival_ts": "_at"})
+    kept = at_once.join(accepted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")),
+                        "left_semi")
+    return kept if single is None else single.unionByName(kept)
 
 
 def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("window_start",),

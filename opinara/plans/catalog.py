@@ -390,6 +390,11 @@ def dedup_reviews_by_id(spark, sf):
     return tables.dedup_reviews(fx.reviews_replayed(spark, sf), max_repeated=0).drop("rating_f")
 
 
+@query
+def dedup_within_horizon(spark, sf):
+    return tables.dedup_within(fx.reviews_refetched(spark, sf), 6 * HOUR).select("id", "arrival_ts", "seq", "rating")
+
+
 @query
 def retain_last_n(spark, sf):
     return tables.retain_last(fx.windows(spark, sf), 100, ["window_start", "product_id"])

@@ -80,6 +80,11 @@ def reviews_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
                            .otherwise(F.array(F.lit(0)))).withColumn("_", F.explode("copies")).drop("copies", "_")
 
 
+def reviews_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews whose ids are a product and a position, used again by every fetch."""
+    return reviews(spark, sf_dir).withColumn("id", F.concat_ws("-", "product_id", (F.col("seq") % 3).cast("string")))
+
+
 def review_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as JSON; every fiftieth message is cut in half."""
     base = reviews_with_text(spark, sf_dir)

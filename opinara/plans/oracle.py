@@ -291,6 +291,16 @@ ORACLE: dict[str, str] = {
         select window_start from classed where arrival_class = 'on_time') as is_update
         from classed where arrival_class = 'late'""",
     "dedup_reviews": f"with {_REVIEWS} select * exclude (rating_f) from reviews",
+    "dedup_within_horizon": f"""with recursive {_REVIEWS},
+        fetched as (select product_id || '-' || (seq % 3)::varchar as id, arrival_ts, min(seq) as seq,
+                    arg_min(rating, seq) as rating from reviews group by all),
+        accepted(id, arrival_ts) as (
+            select id, min(arrival_ts) from fetched group by 1
+            union all
+            select a.id, (select min(f.arrival_ts) from fetched f where f.id = a.id
+                          and f.arrival_ts >= a.arrival_ts + interval 6 hours)
+            from accepted a where a.arrival_ts is not null)
+        select f.* from fetched f join accepted using (id, arrival_ts)""",
     "retain_last_n": f"with {_WINDOWS} select * from windows order by window_start desc, product_id desc limit 100",
     "retain_24h": f"""with {_WINDOWS} select * from windows
         where window_start >= (select max(window_start) from windows) - interval 24 hours""",
