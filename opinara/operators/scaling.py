@@ -34,16 +34,20 @@ def attach_small(df: DataFrame, lookup: DataFrame, on: Sequence[str],
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS,
-                   chunks: int | None = None) -> DataFrame:
+                   chunks: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Add `running_<c>`: the sum of `c` over its group, in `order`, up to and including the row.
 
     `order` must be total inside a group. If no group is large this is one
     window. Otherwise rows are range-partitioned by (keys, order), which also
     splits a hot group; each piece is summed on its own, and what came before
     is added from a table with at most one row per piece.
+
+    `sizes` may give the group sizes (column `_n`) where the caller has a
+    cheaper way to count them.
     """
     keys, order = list(keys), list(order)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     peak, total = sizes.agg(F.coalesce(F.max("_n"), F.lit(0)), F.coalesce(F.sum("_n"), F.lit(0))).first()
     if peak <= max_group_rows:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -80,8 +80,11 @@ def tumbling_changelog(reviews: DataFrame, width_s: int, lateness_s: int,
                .filter("on_time = 0")
                .select("window_start", F.col("first.arrival_ts").alias("emitted_at"),
                        F.col("first.seq").alias("seq"), F.lit(True).alias("opens")))
-    emissions = running_totals(closing.unionByName(late), ["product_id", "window_start"],
-                               ["emitted_at", "seq"], ["r", "l", "c"], max_group_rows)
+    group = ["product_id", "window_start"]
+    sizes = (kept.filter("arrival_class = 'late'").groupBy(*group)
+             .agg((F.count("*") + 1).alias("_n")))  # its late reviews and one closing row
+    emissions = running_totals(closing.unionByName(late), group, ["emitted_at", "seq"], ["r", "l", "c"],
+                               max_group_rows, sizes=sizes)
     flagged = attach_small(emissions, openers, ["window_start", "emitted_at", "seq"])
     return flagged.select(
         "product_id", "window_start", "emitted_at", "seq",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from opinara.functions import parse_instant, register_sql_functions, strip_prefix
 from opinara.operators import alerts, dashboards, quality, serving, stats, tables, windows
 from opinara.plans import fixtures as fx
-from opinara.schemas import REVIEW, RUN_SUMMARY, WINDOW_AGG
+from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
 from opinara.session import shared_dir
 from opinara.sources import codec, writers
 from opinara.streaming import jobs
@@ -448,6 +448,17 @@ def stream_tumbling_table(spark, sf):
     return serving.serve_projection(writers.latest_windows(spark, f"{root}/table", WINDOW_AGG))
 
 
+@query
+def stream_sliding(spark, sf):
+    """Append-mode sliding windows: those complete by the last arrival."""
+    root = _fresh(spark)
+    out = jobs.sliding_stream(_event_stream(spark, sf), fx.SIZE_S, fx.SLIDE_S)
+    stream = jobs.flush_every(out.writeStream.format("parquet").option("path", f"{root}/out")
+                              .option("checkpointLocation", f"{root}/state"), final=True)
+    stream.start().awaitTermination()
+    return spark.read.schema(SLIDING_AGG).parquet(f"{root}/out")
+
+
 @query
 def stream_review_stats(spark, sf):
     root = _fresh(spark)

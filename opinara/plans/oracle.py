@@ -324,6 +324,8 @@ ORACLE: dict[str, str] = {
         select h.* from hits h join sent s using (product_id, check_at)""",
 
     "stream_tumbling_table": f"with {_FINAL_KEPT} select * from windows",
+    "stream_sliding": f"""with {_SLIDES} select * from slides
+        where window_end <= (select max(arrival_ts) from reviews where rating between 1 and 5)""",
     "stream_dedup": f"with {_REVIEWS} select id, product_id, rating, arrival_ts from reviews",
 }
 ORACLE["stream_review_stats"] = ORACLE["review_stats"]

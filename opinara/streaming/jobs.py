@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import datetime
+from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -127,11 +128,18 @@ def run_tumbling_table(reviews: DataFrame, root: str, checkpoint: str, width_s:
 
 def sliding_stream(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
                    lateness_s: int = 0) -> DataFrame:
-    """Sliding windows by arrival time, for append mode: each window once, when it is complete."""
+    """Sliding windows by arrival time, for append mode: each window once, when it is complete.
+
+    As in batch, reviews go to panes first and only closed panes are copied
+    into windows.
+    """
     check_sliding(size_s, slide_s)
-    sums = (sliding_input(reviews).withWatermark("arrival_ts", f"{lateness_s} seconds")
-            .groupBy("product_id", F.window("arrival_ts", f"{size_s} seconds", f"{slide_s} seconds").alias("w"))
-            .agg(*sliding_sums()))
+    panes = (sliding_input(reviews).withWatermark("arrival_ts", f"{lateness_s} seconds")
+             .groupBy("product_id", F.window("arrival_ts", f"{gcd(size_s, slide_s)} seconds").alias("pane"))
+             .agg(*sliding_sums()))
+    sums = (panes.groupBy("product_id", F.window("pane", f"{size_s} seconds", f"{slide_s} seconds").alias("w"))
+            .agg(F.sum("c").alias("c"), F.sum("r").alias("r"), F.sum("neg").alias("neg"),
+                 F.max("newest").alias("newest")))
     return finish_sliding(sums.select("product_id", "c", "r", "neg", "newest",
                                       F.col("w.start").alias("s"), F.col("w.end").alias("e")), "s", "e")
 
