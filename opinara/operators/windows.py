@@ -54,7 +54,7 @@ def classify_arrival(reviews: DataFrame, width_s: int, lateness_s: int) -> DataF
 
 
 def tumbling_changelog(reviews: DataFrame, width_s: int, lateness_s: int,
-                       max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                       max_group_rows: int = MAX_GROUP_ROWS, chunks: int | None = None) -> DataFrame:
     """Everything a window ever emits: its totals at closing, then one row per late review.
 
     is_update is false for the emission that first publishes a window (of any
@@ -84,7 +84,7 @@ def tumbling_changelog(reviews: DataFrame, width_s: int, lateness_s: int,
     sizes = (kept.filter("arrival_class = 'late'").groupBy(*group)
              .agg((F.count("*") + 1).alias("_n")))  # its late reviews and one closing row
     emissions = running_totals(closing.unionByName(late), group, ["emitted_at", "seq"], ["r", "l", "c"],
-                               max_group_rows, sizes=sizes)
+                               max_group_rows, chunks, sizes)
     flagged = attach_small(emissions, openers, ["window_start", "emitted_at", "seq"])
     return flagged.select(
         "product_id", "window_start", "emitted_at", "seq",

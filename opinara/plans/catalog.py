@@ -64,7 +64,8 @@ def tumbling_changelog(spark, sf):
 @query
 def tumbling_changelog_split(spark, sf):
     """The same changelog by the way that hot groups take."""
-    return windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S, max_group_rows=1)
+    return windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S,
+                                      max_group_rows=1, chunks=16)
 
 
 # --- quality ----------------------------------------------------------------
