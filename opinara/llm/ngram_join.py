@@ -8,8 +8,8 @@
    the parts are kept modulo 2, and the parts that differ bound the symmetric difference from below.
 4. What is left is compared once per pair, on the full sets.
 
-A list of m members, all alike, has m * m / 2 links. They are not listed: a list gives at most m - 1 pairs that
-connect what passed its filters. If some of these pairs turn out to be too different, a second round gives every
+A list of m members, all alike, has m * m / 2 links. They are not listed: a list of over SHORT_LIST members gives at
+most m - 1 pairs, which connect what passed its filters. If some of these pairs turn out to be too different, a second round gives every
 pair that passed the filters and is not connected yet. So components are exact, and no link between different
 components is left out.
 """
@@ -32,6 +32,8 @@ from opinara.llm.shingles import WordHashes, shingle_set
 BUCKET_BITS = 20
 #: A prefix list beyond this many members is worked on as pairs of blocks, each by another task.
 LIST_BLOCK = 16_384
+#: Lists of up to so many members are worked on together, and give every pair that passes.
+SHORT_LIST = 16
 
 
 def least_overlap(total: int | np.ndarray, percent: int):
@@ -111,53 +113,89 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-class _List:
-    """The members of one prefix list, ordered by size."""
+class _Lists:
+    """Whole prefix lists, one after the other, each ordered by size."""
 
-    def __init__(self, table: pa.Table):
-        self.sid, self.n, self.pos, self.comp, self.block = (
-            table[c].to_numpy().astype(np.int64) for c in ("sid", "n", "pos", "comp", "block"))
-        self.cross = table["cross"][0].as_py()
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent = percent
+        self.sid, self.n, self.pos, self.comp, self.block, self.cross = (
+            table[c].to_numpy().astype(np.int64) for c in ("sid", "n", "pos", "comp", "block", "cross"))
         raw = table["bits"].to_pylist()
-        size = np.array([len(x) for x in raw])
-        self.bits, self.place, self.width = {}, np.zeros(len(raw), np.int64), size // 8
-        for w in np.unique(size):
-            at = np.flatnonzero(size == w)
+        self.width = np.array([len(x) for x in raw]) // 8
+        self.bits: dict[int, np.ndarray] = {}
+        self.place = np.zeros(len(raw), np.int64)
+        for w in np.unique(self.width):
+            at = np.flatnonzero(self.width == w)
             self.place[at] = np.arange(len(at))
-            self.bits[w // 8] = np.frombuffer(b"".join(raw[i] for i in at), np.uint64).reshape(len(at), w // 8)
-
-    def matches(self, i: int, percent: int) -> np.ndarray:
-        """Members before i (so of at most its size) that pass all filters with it."""
-        first = np.searchsorted(self.n, -(-percent * self.n[i] // 100))
-        js = np.arange(first, i)
-        js = js[self.comp[js] != self.comp[i]]
-        if self.cross:
-            js = js[self.block[js] != self.block[i]]
-        total = self.n[js] + self.n[i]
-        need = least_overlap(total, percent)
-        most = np.minimum(self.pos[js], self.pos[i]) + np.minimum(self.n[js] - self.pos[js], self.n[i] - self.pos[i])
-        near = most >= need
-        js, room = js[near], (total - 2 * need)[near]
-        apart = np.zeros(len(js), np.int64)
-        for w in np.unique(self.width[js]) if len(js) else ():
-            of = np.flatnonzero(self.width[js] == w)
-            both = min(w, self.width[i])
-            mine = _folded(self.bits[self.width[i]][self.place[i]][None, :], both)
-            theirs = _folded(self.bits[w][self.place[js[of]]], both)
-            apart[of] = np.bitwise_count(theirs ^ mine).sum(axis=1)
-        return js[apart <= room]
-
-    def pairs(self, percent: int, forest: bool) -> Iterator[tuple[int, int]]:
-        label = np.arange(len(self.sid))
-        for i in range(1, len(self.sid)):
-            js = self.matches(i, percent)
-            if not forest:
-                yield from ((int(self.sid[j]), int(self.sid[i])) for j in js)
-                continue
-            for other in np.unique(label[js]):
-                if other != label[i]:
-                    yield int(self.sid[js[label[js] == other][0]]), int(self.sid[i])
-                    label[label == other] = label[i]
+            self.bits[w] = np.frombuffer(b"".join(raw[i] for i in at), np.uint64).reshape(len(at), w)
+
+    def passing(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of rows (i, j) pass all filters."""
+        ok = self.comp[i] != self.comp[j]
+        ok &= (self.cross[i] == 0) | (self.block[i] != self.block[j])
+        ok &= 100 * self.n[j] >= self.percent * self.n[i]
+        ok &= 100 * self.n[i] >= self.percent * self.n[j]
+        total = self.n[i] + self.n[j]
+        room = total - 2 * least_overlap(total, self.percent)
+        most = np.minimum(self.pos[i], self.pos[j]) + np.minimum(self.n[i] - self.pos[i], self.n[j] - self.pos[j])
+        ok &= 2 * most >= total - room
+        left = np.flatnonzero(ok)
+        wi, wj = self.width[i[left]], self.width[j[left]]
+        for a in np.unique(wi):
+            for b in np.unique(wj):
+                of = left[(wi == a) & (wj == b)]
+                if len(of):
+                    x, y = (_folded(self.bits[w][self.place[r[of]]], min(a, b)) for w, r in ((a, i), (b, j)))
+                    ok[of] = np.bitwise_count(x ^ y).sum(axis=1) <= room[of]
+        return ok
+
+    def pairs(self, starts: np.ndarray, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of sids found in the lists that begin at `starts`; short lists are worked on together."""
+        sizes = np.diff(np.append(starts, len(self.sid)))
+        number = np.repeat(np.arange(len(starts)), sizes)
+        short = np.repeat(sizes <= SHORT_LIST, sizes)
+        for gap in range(1, min(SHORT_LIST, sizes.max())):
+            i = np.flatnonzero((number[gap:] == number[:-gap]) & short[gap:])
+            ok = self.passing(i, i + gap)
+            yield self.sid[i[ok]], self.sid[i[ok] + gap]
+        for start, size in zip(starts[sizes > SHORT_LIST], sizes[sizes > SHORT_LIST]):
+            yield from self._long(start, start + size, forest)
+
+    def _long(self, start: int, stop: int, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        label = np.arange(stop - start)
+        for i in range(start + 1, stop):
+            least = -(-self.percent * self.n[i] // 100)
+            js = np.arange(start + np.searchsorted(self.n[start:i], least), i)
+            js = js[self.passing(np.full(len(js), i), js)]
+            if forest and len(js):  # one pair for each tree that it connects
+                trees, first = np.unique(label[js - start], return_index=True)
+                label[np.isin(label, trees)] = label[i - start]
+                js = js[first]
+            if len(js):
+                yield self.sid[js], np.full(len(js), self.sid[i])
+
+
+def _whole_lists(parts) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole lists and the rows at which the lists begin, from batches sorted by list."""
+    held: list[pa.RecordBatch] = []
+
+    def starts(table):
+        keys = np.stack([table[c].to_numpy().astype(np.int64) for c in ("key", "p", "q")])
+        return np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1)
+
+    for batch in parts:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch])
+        at = starts(table)
+        if len(at) == 1:  # one list so far
+            held.append(batch)
+            continue
+        yield table.slice(0, at[-1]), at[:-1]
+        held = table.slice(at[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, starts(table)
 
 
 def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
@@ -173,23 +211,12 @@ def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame
              .withColumn("cross", F.col("p") != F.col("q")).drop("other", "c"))
 
     def find(parts):
-        def lists() -> Iterator[pa.Table]:
-            held, key = [], None
-            for batch in parts:
-                if not batch.num_rows:
-                    continue
-                keys = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("key", "p", "q")])
-                cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), batch.num_rows]
-                for a, b in zip(cuts, cuts[1:]):
-                    if key != (key := tuple(keys[:, a])) and held:
-                        yield pa.Table.from_batches(held)
-                        held = []
-                    held.append(batch.slice(a, b - a))
-            if held:
-                yield pa.Table.from_batches(held)
-
-        found = (pair for t in lists() if len(t) > 1 for pair in _List(t).pairs(percent, forest))
-        yield from batches(({"a": min(p), "b": max(p)} for p in found), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        for table, starts in _whole_lists(parts):
+            found = [np.stack(p) for p in _Lists(table, percent).pairs(starts, forest)]
+            if found:
+                a, b = np.concatenate(found, axis=1)
+                ends = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
 
     return (dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "n", "sid")
             .mapInArrow(find, "a long, b long").distinct())
