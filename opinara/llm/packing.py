@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, stored, texts_of
@@ -195,7 +195,6 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
 
 def _numbered(rows: DataFrame, key: str) -> DataFrame:
     """Number the rows of each key from 0. A slice numbers its own rows; counts per slice give where it begins."""
-    from pyspark.sql import Window
     sizes = rows.groupBy(key, "slice").agg(F.count("*").alias("n"))
     begins = sizes.select(key, "slice", (F.sum("n").over(Window.partitionBy(key).orderBy("slice")) - F.col("n"))
                           .alias("begin"))
@@ -206,14 +205,9 @@ def _numbered(rows: DataFrame, key: str) -> DataFrame:
 
 def _placed(spark: SparkSession, rest: DataFrame, uses: list) -> DataFrame:
     """Look up each numbered piece in the plan (as ranges of numbers per length, sorted)."""
-    held: dict[int, tuple] = {}
-    for length in {u[0] for u in uses}:
-        mine = sorted(u[1:] for u in uses if u[0] == length) if len(uses) < 1000 else None
-        held[length] = mine
-    if uses and len(uses) >= 1000:
-        held = {}
-        for u in sorted(uses):
-            held.setdefault(u[0], []).append(u[1:])
+    held: dict[int, list] = {}
+    for use in sorted(uses):
+        held.setdefault(use[0], []).append(use[1:])
     table = spark.sparkContext.broadcast({k: np.array(v, np.int64) for k, v in held.items()})
 
     def place(parts):

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from opinara.llm import exact_dedup, packing
 from opinara.llm.common import documents
 from opinara.llm.ngram_join import near_duplicates
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -41,3 +46,19 @@ ORACLE["op1_ngram_jaccard_join"] = """
         select doc_id, doc_id from documents
         union select l.b, reach.r from reach join links l on l.a = reach.doc_id)
     select doc_id, n as n_shingles, min(r) as component_id from reach join sizes using (doc_id) group by 1, 2"""
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(documents(spark, sf_dir)).drop("file", "row")
+
+
+ORACLE["op6_exact_dedup"] = """
+    with texts as (select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as t from documents)
+    select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+           doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from texts"""
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), WORD_BPE, capacity=4096, end_id=1)

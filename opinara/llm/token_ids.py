@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 
+#: Latin letters, then ASCII punctuation: such a chunk is one word, or one word and one run of signs.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)").fullmatch
+
 
 class ChunkIds:
     """Encode texts (bytes) as the tokenizer of `path` does, without special tokens being added.
 
-    For tokenizers that drop white space and treat what stands between independently: a text is then the
-    concatenation of its chunks, the maximal runs without ASCII white space. The ids of chunks are kept and
-    forgotten in two generations, so memory is bounded: `limit` chunks in each.
+    For tokenizers that drop white space, treat what stands between independently and mark the end of a word in its
+    last token: a text is then the concatenation of its chunks, the maximal runs without ASCII white space. The ids
+    of chunks are kept and forgotten in two generations of up to `limit` chunks, so memory is bounded.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
@@ -22,27 +27,47 @@ class ChunkIds:
         self.limit = limit
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, chunks: list[str], words: list[int]) -> list[np.ndarray]:
+        """Chunks of known numbers of words, encoded as one text and cut at the ends of words."""
+        ids = self._ids([" ".join(chunks)])[0]
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        last = np.cumsum(words)
+        if len(ends) != last[-1]:
+            return self._ids(chunks)
+        return np.split(ids, ends[last[:-1] - 1])
 
     def _learn(self, chunks: set[bytes]) -> None:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        fresh = []
-        for c in chunks:
+        plain, other = [], []
+        for c in chunks.difference(self.young):
             if c in self.old:
                 self.young[c] = self.old[c]
             else:
-                fresh.append(c)
-        for at in range(0, len(fresh), 2000):
-            some = fresh[at:at + 2000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in some],
-                                                                   add_special_tokens=False)):
-                self.young[c] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes], group: int = 200):
-        """Yields an array of ids for each text."""
+                text = c.decode("utf-8", "replace")
+                if m := PLAIN(text):
+                    plain.append((c, text, 1 + bool(m[2])))
+                else:
+                    other.append((c, text))
+        for at in range(0, len(plain), 500):
+            keys, texts, words = zip(*plain[at:at + 500])
+            self.young.update((c, i.tobytes()) for c, i in zip(keys, self._plain(list(texts), list(words))))
+        for at in range(0, len(other), 500):
+            keys, texts = zip(*other[at:at + 500])
+            self.young.update((c, i.tobytes()) for c, i in zip(keys, self._ids(list(texts))))
+
+    def encode(self, texts: list[bytes], group: int = 200) -> Iterator[np.ndarray]:
+        """An array of ids for each text."""
         for at in range(0, len(texts), group):
             split = [t.split() for t in texts[at:at + group]]
-            self._learn(set().union(*split).difference(self.young))
+            self._learn(set().union(*split))
             of = self.young.__getitem__
             for chunks in split:
                 yield np.frombuffer(b"".join(map(of, chunks)), "<u4")
