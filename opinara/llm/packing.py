@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, stored, texts_of
-from opinara.llm.token_ids import ChunkIds
+from opinara.llm.token_ids import chunk_ids
 
 #: A use of the plan: `times` sequences, each holding one piece of every length in `lengths`.
 Use = tuple[int, tuple[int, ...]]
@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> Data
                         ("ids_crc32", pa.int64())])
 
     def cut(parts):
-        ids_of = ChunkIds(vocabulary)
+        ids_of = chunk_ids(vocabulary)
 
         def rows() -> Iterator[dict]:
             for batch in parts:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections.abc import Iterator
@@ -71,3 +72,9 @@ class ChunkIds:
             of = self.young.__getitem__
             for chunks in split:
                 yield np.frombuffer(b"".join(map(of, chunks)), "<u4")
+
+
+@functools.lru_cache(1)
+def chunk_ids(path: str) -> ChunkIds:
+    """One for each worker process, with what it has learnt so far."""
+    return ChunkIds(path)
