@@ -99,10 +99,16 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def likely_members(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
-    """Rows of `docs` whose doc_id may be in `ids` (one long column): a first pass that spares shuffling the rest.
+def likely_members(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id may be in `ids` (one long column): a first pass that spares shuffling the rest."""
+    return split_by(docs, ids)[0]
 
-    The filter is a bit array of fixed size. It may let others through, never keeps a member back; join afterwards.
+
+def split_by(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> tuple[DataFrame, DataFrame]:
+    """Rows of `docs` whose doc_id may be in `ids` (one long column), and those where it is not.
+
+    The filter is a bit array of fixed size. It may let others through, never takes a member for another; join the first
+    part afterwards. A null doc_id is never a member.
     """
     name = ids.columns[0]
 
@@ -113,11 +119,21 @@ def likely_members(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> Data
 
     flags = docs.sparkSession.sparkContext.broadcast(fixed_array(ids, fill, bits // 32, "or"))
 
-    def keep(parts):
-        for batch in parts:
-            ids = batch["doc_id"]
-            at = mixed(ids.fill_null(0).to_numpy(zero_copy_only=False)) % np.uint64(bits)
-            hit = flags.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)
-            yield batch.filter(pa.array((hit & np.uint32(1)).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)))
+    def keep(likely: bool):
+        def some(parts):
+            for batch in parts:
+                ids = batch["doc_id"].cast(pa.int64())
+                at = mixed(ids.fill_null(0).to_numpy(zero_copy_only=False)) % np.uint64(bits)
+                hit = flags.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)
+                member = (hit & np.uint32(1)).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(member == likely))
+        return docs.mapInArrow(some, docs.schema)
+
+    return keep(True), keep(False)
+
 
-    return docs.mapInArrow(keep, docs.schema)
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have yet."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm.common import likely_members, stored
+from opinara.llm.common import likely_members, split_by, stored, unused_name
 from opinara.session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -107,6 +107,18 @@ def copies(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
         F.col("digest").alias("text_sha256"), "file", "row")
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` (a file scan) that stay, all columns unchanged: one of each group of equal texts."""
+    gone = stored(copies(docs).where("not kept").select("doc_id", "file", "row"))
+    file, row = unused_name(docs, "file"), unused_name(docs, "row")
+    rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    maybe, others = split_by(rows, gone.select("doc_id"))
+    both = gone.select(F.col("file").alias(file), F.col("row").alias(row))
+    if not gone.where("doc_id is null").isEmpty():  # cannot be told by id
+        maybe, others = rows, rows.limit(0)
+    return maybe.join(both, [file, row], "left_anti").select(rows.columns).union(others).drop(file, row)
+
+
 def _compared(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """file, row and whether the bytes of the row equal those of the record its digest keeps."""
     wanted = hits.select(F.coalesce("doc_id", F.lit(0)).alias("id")).distinct()

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches, fixed_array, likely_members, mixed, stored, texts_of
+from opinara.llm.common import batches, fixed_array, likely_members, mixed, split_by, stored, texts_of
 from opinara.llm.components import components
 from opinara.llm.shingles import WordHashes, shingle_set
 
@@ -288,6 +288,13 @@ def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Rows of `docs` that stay, all columns unchanged: of each component the document with the smallest doc_id."""
+    gone = stored(near_duplicates(docs, words, percent).where("doc_id <> component_id").select("doc_id").distinct())
+    maybe, others = split_by(docs, gone)
+    return maybe.join(gone, "doc_id", "left_anti").select(docs.columns).union(others)
+
+
 def _class_texts(texts: DataFrame, involved: DataFrame, words: int) -> DataFrame:
     """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest."""
     def check(parts):

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opinara.llm import exact_dedup, packing
+from opinara.llm import byte_bpe, exact_dedup, fingerprints, language, licenses, packing, quality, token_counts, toxicity
 from opinara.llm.common import documents
 from opinara.llm.ngram_join import near_duplicates
 
@@ -18,6 +19,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def fold(of: int) -> Column:
+    """The documents' fold: crc32 of the doc_id as text, modulo `of`."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """doc_id and label of the rows that may be learnt from."""
+    return (spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(5) != 0)
+            .select("doc_id", F.col(column).cast("int").alias("label")))
+
+
+def dictionaries(docs: DataFrame) -> dict[str, bytes]:
+    return language.learn(docs.where(fold(4) != 2))
+
+
 def query(build):
     QUERIES[build.__name__] = build
     return build
@@ -62,3 +78,45 @@ ORACLE["op6_exact_dedup"] = """
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), WORD_BPE, capacity=4096, end_id=1)
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.learn(docs, labels(spark, sf_dir, "quality"))
+    return quality.scored(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                                              (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, dictionaries(docs)).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "margin")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE, budget=2048, keep_prefixes=False)
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encoded(documents(spark, sf_dir), BYTE_BPE, public_tokenizers.PATTERN, keep_ids=False)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs, labels(spark, sf_dir, "toxic"))
+    return toxicity.scored(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                                               (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
