@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from opinara.llm.common import likely_members, split_by, stored, unused_name
 from opinara.session import shared_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = "spark.sql.streaming.stateStore."
+#: State on disk; no file space reserved ahead in every partition; only changes are written per batch.
+STATE_STORE = {STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               STATE + "rocksdb.allowFAllocate": "false", STATE + "rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def normalised(text: Column) -> Column:
@@ -61,13 +63,15 @@ def drain(spark: SparkSession, path: str, schema, root: str, files_per_batch: in
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("version", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/states/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         (keepers(reader.parquet(path)).writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
          .foreachBatch(keep).trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     empty = spark.createDataFrame([], "digest string, first struct<none:boolean,doc_id:long,file:string,row:long>, "
                                       "copies long, version long")
     try:
