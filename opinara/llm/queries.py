@@ -54,9 +54,9 @@ ORACLE["op1_ngram_jaccard_join"] = """
         from words),
     shingles as (select doc_id, unnest(s) as g from sets),
     sizes as (select doc_id, len(s) as n from sets),
-    both as (select x.doc_id as a, y.doc_id as b, count(*) as c from shingles x join shingles y
+    common as (select x.doc_id as a, y.doc_id as b, count(*) as c from shingles x join shingles y
              on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
-    links as (select a, b from both join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    links as (select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
               where 100 * c >= 90 * (p.n + q.n - c)),
     reach(doc_id, r) as (
         select doc_id, doc_id from documents
