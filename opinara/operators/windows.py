@@ -53,6 +53,20 @@ def classify_arrival(reviews: DataFrame, width_s: int, lateness_s: int) -> DataF
                         .when(age_us <= total_us, "late").otherwise("dropped")))
 
 
+def reviews_by_fate(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFrame:
+    """How many reviews a window job accepts (on_time, late), drops as too old (dropped) or cannot place (no_date,
+    no_arrival): fate, n. The counts add up to the input."""
+    dated = reviews.filter("date is not null and arrival_ts is not null")
+    fates = classify_arrival(dated, width_s, lateness_s).select(F.col("arrival_class").alias("fate"))
+    return fates.unionByName(unplaced(reviews).select(F.col("reason").alias("fate"))).groupBy("fate").agg(F.count("*").alias("n"))
+
+
+def unplaced(reviews: DataFrame) -> DataFrame:
+    """Reviews that belong to no window, with the reason."""
+    reason = F.when(F.col("date").isNull(), "no_date").when(F.col("arrival_ts").isNull(), "no_arrival")
+    return reviews.withColumn("reason", reason).filter("reason is not null")
+
+
 def tumbling_changelog(reviews: DataFrame, width_s: int, lateness_s: int,
                        max_group_rows: int = MAX_GROUP_ROWS, chunks: int | None = None) -> DataFrame:
     """Everything a window ever emits: its totals at closing, then one row per late review.
@@ -102,9 +116,18 @@ def sliding(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
     """
     check_sliding(size_s, slide_s)
     pane_s = gcd(size_s, slide_s)
-    panes = (sliding_input(reviews, ts).groupBy("product_id", F.window(ts, f"{pane_s} seconds").alias("w"))
-             .agg(*sliding_sums())
-             .select("product_id", F.col("w.start").alias("pane"), "c", "r", "neg", "newest"))
+    return slide_panes(sliding_panes(reviews, pane_s, ts), pane_s, size_s, slide_s)
+
+
+def sliding_panes(reviews: DataFrame, pane_s: int, ts: str = "arrival_ts") -> DataFrame:
+    """Sums of valid ratings per product and pane of arrival time."""
+    return (sliding_input(reviews, ts).groupBy("product_id", F.window(ts, f"{pane_s} seconds").alias("w"))
+            .agg(*sliding_sums())
+            .select("product_id", F.col("w.start").alias("pane"), "c", "r", "neg", "newest"))
+
+
+def slide_panes(panes: DataFrame, pane_s: int, size_s: int, slide_s: int) -> DataFrame:
+    """Windows from panes; a pane may come in several rows."""
     merged = (hopping_panes(panes, "pane", pane_s, size_s, slide_s)
               .groupBy("product_id", "hop_start")
               .agg(F.sum("c").alias("c"), F.sum("r").alias("r"), F.sum("neg").alias("neg"),

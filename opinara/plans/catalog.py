@@ -13,7 +13,7 @@ from opinara.functions import parse_instant, register_sql_functions, strip_prefi
 from opinara.operators import alerts, dashboards, quality, serving, stats, tables, windows
 from opinara.plans import fixtures as fx
 from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
-from opinara.session import shared_dir
+from opinara.session import durable, shared_dir
 from opinara.sources import codec, writers
 from opinara.streaming import jobs
 
@@ -365,7 +365,7 @@ def json_payload_bytes(spark, sf):
 @query
 def upsert_windows(spark, sf):
     """First publications as the table, corrections as the batch."""
-    changes = windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S)
+    changes = durable(windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S))
     merged = tables.merge_latest(changes.filter(~F.col("is_update")), changes.filter("is_update"),
                                  ["emitted_at", "seq"])
     return serving.serve_projection(merged)
@@ -431,33 +431,84 @@ def alert_cooldown(spark, sf):
 
 # --- streams, drained once --------------------------------------------------
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.as_reviews(spark.readStream.schema(fx.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf))
+def _event_stream(spark: SparkSession, sf: str, files_per_batch: int = 1) -> DataFrame:
+    """The events table as a stream. A pattern matches both one file and a folder of files; a plain path must be a folder."""
+    return fx.as_reviews(_source(spark, f"{sf}/event[s].parquet", fx.EVENTS, files_per_batch))
+
+
+def _source(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def _dealt(spark: SparkSession, sf: str, *by: str) -> DataFrame:
+    """The events as a stream of several files, each with other products: not in the order of arrival."""
+    root = _fresh(spark)
+    placed = fx.reviews(spark, sf).repartition(6, *by).sortWithinPartitions("arrival_ts")
+    placed.write.parquet(root)
+    return _source(spark, root, placed.schema)
+
+
+def _in_order(spark: SparkSession, reviews: DataFrame, files: int = 5) -> DataFrame:
+    """Reviews as a stream of files in the order of arrival: a file per batch, named by a range of arrival."""
+    root = _fresh(spark)
+    cuts = reviews.select(F.unix_micros("arrival_ts").alias("t")).approxQuantile("t", [i / files for i in range(1, files)], 0.01)
+    stretch = sum((F.unix_micros("arrival_ts") > c).cast("int") for c in cuts)
+    for i in range(files):  # written one after the other, so their times give the order
+        reviews.filter(stretch == i).coalesce(1).write.mode("append").parquet(root)
+    return _source(spark, root, reviews.schema)
 
 
 def _fresh(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
+def _window_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    root = _fresh(spark)
+    jobs.run_tumbling_table(stream, f"{root}/table", f"{root}/state", fx.WIDTH_S, fx.LATENESS_S, final=True).awaitTermination()
+    return serving.serve_projection(writers.latest_windows(spark, f"{root}/table", WINDOW_AGG))
+
+
 @query
 def stream_tumbling_table(spark, sf):
-    """Update-mode stream into the window table, then the last version of every window."""
+    """A stream into the window table, then the last version of every window."""
+    return _window_table(spark, _event_stream(spark, sf))
+
+
+@query
+def stream_tumbling_shuffled(spark, sf):
+    """The same from files that hold the products one after the other."""
+    return _window_table(spark, _dealt(spark, sf, "product_id"))
+
+
+@query
+def stream_tumbling_future(spark, sf):
+    """Some reviews are dated after their arrival; they count like others."""
+    return _window_table(spark, fx.dated_ahead(_event_stream(spark, sf)))
+
+
+@query
+def stream_restart_table(spark, sf):
+    """Two runs with checkpoints of their own into one table: the later run's versions win, others stay."""
     root = _fresh(spark)
-    stream = jobs.run_tumbling_table(_event_stream(spark, sf), f"{root}/table", f"{root}/state",
-                                     fx.WIDTH_S, fx.LATENESS_S, final=True)
-    stream.awaitTermination()
+    for name, kept in (("a", "true"), ("b", "seq % 2 = 0")):
+        jobs.run_tumbling_table(_event_stream(spark, sf).filter(kept), f"{root}/table", f"{root}/state-{name}",
+                                fx.WIDTH_S, fx.LATENESS_S, final=True).awaitTermination()
     return serving.serve_projection(writers.latest_windows(spark, f"{root}/table", WINDOW_AGG))
 
 
 @query
 def stream_sliding(spark, sf):
-    """Append-mode sliding windows: those complete by the last arrival."""
+    """Sliding windows from stored panes, with those still open when the stream stops."""
     root = _fresh(spark)
-    out = jobs.sliding_stream(_event_stream(spark, sf), fx.SIZE_S, fx.SLIDE_S)
-    stream = jobs.flush_every(out.writeStream.format("parquet").option("path", f"{root}/out")
-                              .option("checkpointLocation", f"{root}/state"), final=True)
-    stream.start().awaitTermination()
-    return spark.read.schema(SLIDING_AGG).parquet(f"{root}/out")
+    jobs.run_sliding_panes(_event_stream(spark, sf), f"{root}/panes", f"{root}/state", fx.SIZE_S, fx.SLIDE_S,
+                           final=True).awaitTermination()
+    return jobs.sliding_windows(spark, f"{root}/panes", writers.run_of(spark, f"{root}/state"), fx.SIZE_S, fx.SLIDE_S)
+
+
+@query
+def quarantine_counts(spark, sf):
+    """What becomes of reviews, some of which lack a date or an arrival."""
+    return windows.reviews_by_fate(fx.reviews_undated(spark, sf), fx.WIDTH_S, fx.LATENESS_S)
 
 
 @query
@@ -473,13 +524,40 @@ def stream_review_stats(spark, sf):
     return spark.read.schema("total long, valid long, invalid long, avg_rating double").parquet(f"{root}/out")
 
 
+def _complete(spark: SparkSession, build, schema: str, sf: str) -> DataFrame:
+    """The last result of an aggregate over the event stream."""
+    root = _fresh(spark)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out")
+
+    stream = jobs.flush_every(build(_event_stream(spark, sf)).writeStream.outputMode("complete")
+                              .option("checkpointLocation", f"{root}/state").foreachBatch(keep), final=True)
+    stream.start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/out")
+
+
+@query
+def stream_rating_counts(spark, sf):
+    """Reviews per rating and per product so far, as the running statistics of the stream."""
+    counts = lambda r: r.filter("rating between 1 and 5").groupBy("product_id", "rating").agg(F.count("*").alias("n"))
+    return _complete(spark, counts, "product_id string, rating int, n long", sf)
+
+
+def _accepted(spark: SparkSession, stream: DataFrame, horizon_s: int) -> DataFrame:
+    root = _fresh(spark)
+    jobs.run_dedup(stream, f"{root}/dedup", f"{root}/state", horizon_s, final=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/dedup/accepted")
+
+
 @query
 def stream_dedup(spark, sf):
     """Every event read twice; the horizon covers the delay between the copies."""
-    root = _fresh(spark)
     twice = _event_stream(spark, sf).withColumn("_", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_")
-    out = jobs.dedup_stream(twice.select("id", "product_id", "rating", "arrival_ts"))
-    stream = jobs.flush_every(out.writeStream.format("parquet").option("path", f"{root}/out")
-                              .option("checkpointLocation", f"{root}/state"), final=True)
-    stream.start().awaitTermination()
-    return spark.read.schema("id string, product_id string, rating int, arrival_ts timestamp").parquet(f"{root}/out")
+    return _accepted(spark, twice, jobs.DEDUP_HORIZON_S).select("id", "product_id", "rating", "arrival_ts")
+
+
+@query
+def stream_dedup_refetched(spark, sf):
+    """Ids that are used again after the horizon, over several batches in the order of arrival."""
+    return _accepted(spark, _in_order(spark, fx.reviews_refetched(spark, sf)), 6 * HOUR).select("id", "arrival_ts", "seq", "rating")

@@ -49,6 +49,18 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_reviews(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
+def dated_ahead(reviews: DataFrame) -> DataFrame:
+    """Every fiftieth review arrived an hour before its date."""
+    early = F.col("date") - F.make_dt_interval(hours=F.lit(1))
+    return reviews.withColumn("arrival_ts", F.when(F.col("seq") % 50 == 0, early).otherwise(F.col("arrival_ts")))
+
+
+def reviews_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews where some dates and arrivals are missing."""
+    return reviews(spark, sf_dir).withColumns({"date": F.when(F.col("seq") % 19 != 0, F.col("date")),
+                                               "arrival_ts": F.when(F.col("seq") % 23 != 0, F.col("arrival_ts"))})
+
+
 def reviews_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("body"))
     n_docs = documents.count()

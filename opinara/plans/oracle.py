@@ -324,10 +324,32 @@ ORACLE: dict[str, str] = {
         select h.* from hits h join sent s using (product_id, check_at)""",
 
     "stream_tumbling_table": f"with {_FINAL_KEPT} select * from windows",
-    "stream_sliding": f"""with {_SLIDES} select * from slides
-        where window_end <= (select max(arrival_ts) from reviews where rating between 1 and 5)""",
+    "stream_sliding": f"with {_SLIDES} select * from slides",
+    "stream_tumbling_future": f"""with {_REVIEWS}, ahead as (
+        select * replace (case when seq % 50 = 0 then date - interval 1 hour else arrival_ts end as arrival_ts) from reviews),
+        placed as (select *, time_bucket(interval 6 hours, date, timestamp '1970-01-01') as window_start from ahead)
+        select product_id, window_start, round(sum(rating)::double / count(*) * 100) / 100 as avg_rating,
+               sum(likes)::bigint as total_likes, count(*) as review_count
+        from placed where arrival_ts <= window_start + interval 18 hours group by all""",
+    "stream_restart_table": f"""with {_FINAL_KEPT}, halves as (
+        select product_id, window_start, round(sum(rating)::double / count(*) * 100) / 100 as avg_rating,
+               sum(likes)::bigint as total_likes, count(*) as review_count
+        from classed where arrival_class <> 'dropped' and seq % 2 = 0 group by all)
+        select * from halves union all
+        select w.* from windows w anti join halves h using (product_id, window_start)""",
+    "quarantine_counts": f"""with {_REVIEWS}, gaps as (
+        select case when seq % 19 <> 0 then date end as date, case when seq % 23 <> 0 then arrival_ts end as arrival_ts from reviews),
+        aged as (select *, time_bucket(interval 6 hours, date, timestamp '1970-01-01') as s from gaps)
+        select case when date is null then 'no_date' when arrival_ts is null then 'no_arrival'
+                    when arrival_ts <= s + interval 6 hours then 'on_time'
+                    when arrival_ts <= s + interval 18 hours then 'late' else 'dropped' end as fate, count(*) as n
+        from aged group by 1""",
+    "stream_rating_counts": f"""with {_REVIEWS} select product_id, rating, count(*) as n from reviews
+        where rating between 1 and 5 group by all""",
     "stream_dedup": f"with {_REVIEWS} select id, product_id, rating, arrival_ts from reviews",
 }
 ORACLE["stream_review_stats"] = ORACLE["review_stats"]
 ORACLE["tumbling_changelog_split"] = ORACLE["tumbling_changelog"]
 ORACLE["dedup_reviews_by_id"] = ORACLE["dedup_reviews"]
+ORACLE["stream_tumbling_shuffled"] = ORACLE["stream_tumbling_table"]
+ORACLE["stream_dedup_refetched"] = ORACLE["dedup_within_horizon"]

@@ -39,10 +39,10 @@ def encode_sliding(slides: DataFrame) -> DataFrame:
 
 
 def decode_json(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Parse every message; `_corrupt_record` holds the text of the ones that are not valid JSON.
+    """Parse every message; `_corrupt_record` holds the text of the unreadable ones.
 
-    Timestamps may be ISO text or nanoseconds since 1970. Messages without a
-    value are skipped. Other columns are kept.
+    Unreadable: not valid JSON, a timestamp that is neither ISO text nor nanoseconds since 1970, or no content at all
+    (an empty or missing value, for which the text is empty). Other columns are kept.
     """
     instants = {f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)}
     wire = T.StructType([T.StructField(f.name, T.StringType() if f.name in instants else f.dataType)
@@ -55,8 +55,13 @@ def decode_json(messages: DataFrame, schema: T.StructType, value: str = "value")
         raw = F.col(f"_json.{name}")
         return (parse_instant(raw) if name in instants else raw).alias(name)
 
-    return (messages.filter(F.col(value).isNotNull()).withColumn("_json", parsed)
-            .select(*kept, *[field(f.name) for f in wire.fields]))
+    text = F.coalesce(F.col(value).cast("string"), F.lit(""))
+    unreadable = F.col("_json").isNull()
+    for name in instants:
+        unreadable = unreadable | (F.col(f"_json.{name}").isNotNull() & parse_instant(F.col(f"_json.{name}")).isNull())
+    corrupt = F.when(unreadable, text).otherwise(F.col(f"_json.{CORRUPT}")).alias(CORRUPT)
+    return (messages.withColumn("_json", parsed)
+            .select(*kept, *[field(f.name) for f in schema.fields], corrupt))
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

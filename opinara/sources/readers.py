@@ -21,9 +21,12 @@ MAX_POLL_RECORDS = 500
 MESSAGE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
-def kafka_options(servers: str, topic: str, start: str, per_batch: int = MAX_POLL_RECORDS) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start,
-            "maxOffsetsPerTrigger": str(per_batch), "failOnDataLoss": "false"}
+def kafka_options(servers: str, topic: str, start: str, per_batch: int | None = None,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """A micro-batch takes all there is unless `per_batch` bounds it (the contract's poll size is MAX_POLL_RECORDS)."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start,
+               "failOnDataLoss": str(fail_on_data_loss).lower()}
+    return options | ({"maxOffsetsPerTrigger": str(per_batch)} if per_batch else {})
 
 
 def message_stream(spark: SparkSession, transport: str, options: dict[str, str]) -> DataFrame:

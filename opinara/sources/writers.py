@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -45,32 +47,42 @@ def append_metrics_csv(metrics: DataFrame, path: str) -> None:
 
 
 # --- versioned tables -------------------------------------------------------
-# A batch goes to day=<day>/batch_id=<n> folders and readers take the last
-# version per key. Writing replaces only folders of the same batch, so nothing
-# another batch wrote is ever overwritten and repeating a batch is harmless.
-# Days come first, so readers of recent days list only their folders.
+# A batch goes to day=<day>/run=<run>/batch_id=<n> folders and readers take the last version per key, by run and then
+# batch. A run is what one checkpoint belongs to; its name begins with the time it started, so names sort by start.
+# Writing replaces only folders of the same run and batch: nothing that another batch or run wrote is ever overwritten,
+# and repeating a batch is harmless. Days come first, so readers of recent days list only their folders.
 
-# Beyond this many days a reader lists the whole table instead of naming days.
-MAX_NAMED_DAYS = 1000
+VERSION = ("run", "batch_id")
 
 
-def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, spread: str = "product_id",
-                 files_per_day: int = 8) -> None:
-    """Write one batch. A day is spread over up to `files_per_day` tasks, so a busy day is not one task
-    and a quiet one is not hundreds of files."""
-    (rows.withColumns({"day": F.to_date(ts), "batch_id": F.lit(batch_id).cast("long")})
-     .repartition("day", F.pmod(F.hash(spread), F.lit(files_per_day)))
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that owns a checkpoint; kept beside it, so a restart goes on with the same name."""
+    path = f"{checkpoint}/run_name"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
+    return name
+
+
+def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, run: str = "0") -> None:
+    """Write one batch. Files per day follow from the size of the day's rows: large days are split, small ones joined."""
+    (rows.withColumns({"day": F.to_date(ts), "run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+     .hint("rebalance", F.col("day"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day", "batch_id").parquet(root))
+     .partitionBy("day", *VERSION).parquet(root))
 
 
 def read_versions(spark: SparkSession, root: str, schema: T.StructType, first_day: date | None = None,
                   last_day: date | None = None) -> DataFrame:
-    """All versions between two days (or of all days), with day and batch_id. No rows if nothing is there yet."""
-    stored = T.StructType([*schema.fields, T.StructField("day", T.DateType()),
+    """All versions between two days (or of all days), with day, run and batch_id. No rows if nothing is there yet."""
+    stored = T.StructType([*schema.fields, T.StructField("day", T.DateType()), T.StructField("run", T.StringType()),
                            T.StructField("batch_id", T.LongType())])
     path = root
-    if first_day is not None and last_day is not None and 0 <= (last_day - first_day).days < MAX_NAMED_DAYS:
+    if first_day is not None and last_day is not None and first_day <= last_day:
         days = [str(first_day + timedelta(days=n)) for n in range((last_day - first_day).days + 1)]
         path = f"{root}/day={{{','.join(days)}}}"
     try:
@@ -84,11 +96,16 @@ def read_versions(spark: SparkSession, root: str, schema: T.StructType, first_da
     return versions if last_day is None else versions.filter(F.col("day") <= F.lit(last_day))
 
 
+def before(versions: DataFrame, run: str, batch_id: int) -> DataFrame:
+    """Versions written before a batch of a run; what a repeated batch wrote itself is left out."""
+    return versions.filter((F.col("run") < F.lit(run)) | ((F.col("run") == F.lit(run)) & (F.col("batch_id") < batch_id)))
+
+
 def latest_windows(spark: SparkSession, root: str, schema: T.StructType, first_day: date | None = None,
                    last_day: date | None = None) -> DataFrame:
     """Last version of every window."""
     versions = read_versions(spark, root, schema, first_day, last_day)
-    return keep_last(versions, WINDOW_KEY, ["batch_id"]).select(*schema.fieldNames())
+    return keep_last(versions, WINDOW_KEY, VERSION).select(*schema.fieldNames())
 
 
 def compact_windows(spark: SparkSession, root: str, schema: T.StructType, target: str,
@@ -97,6 +114,6 @@ def compact_windows(spark: SparkSession, root: str, schema: T.StructType, target
 
     Days before `first_day` are left behind, which is how old windows are retired.
     """
-    newest = read_versions(spark, root, schema).agg(F.max("batch_id")).first()[0]
+    newest = read_versions(spark, root, schema).agg(F.max(F.struct(*VERSION))).first()[0]
     if newest is not None:
-        append_batch(latest_windows(spark, root, schema, first_day), target, newest, "window_start")
+        append_batch(latest_windows(spark, root, schema, first_day), target, newest.batch_id, "window_start", newest.run)

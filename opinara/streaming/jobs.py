@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import datetime
 from math import gcd
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from opinara.operators.alerts import COOLDOWN_S, RECENT_S, anomalies
 from opinara.operators.stats import review_stats
-from opinara.operators.tables import mark_updates
+from opinara.operators.tables import dedup_within, mark_updates
 from opinara.operators.windows import (
     check_sliding,
     classify_arrival,
-    finish_sliding,
     finish_tumbling,
-    sliding_input,
-    sliding_sums,
+    slide_panes,
+    sliding_panes,
     total,
-    tumbling_bucket,
+    unplaced,
 )
 from opinara.schemas import WINDOW_AGG
-from opinara.sources.writers import append_batch, latest_windows, publish_counters, read_versions
+from opinara.session import durable
+from opinara.sources.writers import append_batch, before, latest_windows, publish_counters, read_versions, run_of
 
 # Fixed values of the flush policy.
 FLUSH_ROWS = 100
@@ -49,45 +46,69 @@ def flush_every(writer: DataStreamWriter, seconds: int = FLUSH_S, final: bool =
 
 
 def admissible(reviews: DataFrame, width_s: int, lateness_s: int) -> tuple[DataFrame, DataFrame]:
-    """(reviews the windows accept, future-dated reviews for quarantine)"""
-    future = reviews.filter(F.col("date") > F.col("arrival_ts"))
-    on_clock = reviews.filter(F.col("date") <= F.col("arrival_ts"))
-    kept = (classify_arrival(on_clock, width_s, lateness_s).filter("arrival_class <> 'dropped'")
-            .drop("window_start", "arrival_class"))
-    return kept, future
+    """(reviews the windows accept, reviews without date or arrival, with the reason)
 
+    Too old ones are in neither; reviews dated after their arrival are accepted like others.
+    """
+    dated = reviews.filter("date is not null and arrival_ts is not null")
+    return classify_arrival(dated, width_s, lateness_s).filter("arrival_class <> 'dropped'").drop("arrival_class"), unplaced(reviews)
 
-def tumbling_stream(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFrame:
-    """Running window totals, for update mode.
 
-    The exact too-old rule is applied first; the watermark (width + lateness)
-    then never removes an accepted review, it only frees finished windows.
-    `corrects` tells whether the totals contain a review that came after the
-    window had closed.
-    """
+PARTIAL = T.StructType([
+    T.StructField("product_id", T.StringType()), T.StructField("window_start", T.TimestampType()),
+    T.StructField("r", T.LongType()), T.StructField("l", T.LongType()), T.StructField("c", T.LongType()),
+    T.StructField("last_arrival", T.TimestampType())])
+
+
+def tumbling_partials(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFrame:
+    """What some reviews add to each window. The order in which reviews are read does not matter."""
     kept, _ = admissible(reviews, width_s, lateness_s)
-    return (kept.withWatermark("date", f"{width_s + lateness_s} seconds")
-            .groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
-            .agg(total("rating").alias("r"), total("likes").alias("l"), F.count("*").alias("c"),
-                 F.max("arrival_ts").alias("last_arrival"))
-            .select("product_id", F.col("w.start").alias("window_start"),
-                    *finish_tumbling(F.col("r"), F.col("l"), F.col("c")),
-                    (F.col("last_arrival") > F.col("w.end")).alias("corrects")))
+    return (kept.groupBy("product_id", "window_start")
+            .agg(total("rating").cast("long").alias("r"), total("likes").cast("long").alias("l"), F.count("*").alias("c"),
+                 F.max("arrival_ts").alias("last_arrival")))
 
 
-def closing_stream(reviews: DataFrame, width_s: int) -> DataFrame:
-    """First publication of each window, for append mode: its on-time totals once it has closed.
+def add_partials(root: str, run: str, width_s: int, lateness_s: int) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: store what the batch adds, then publish the new totals of the windows it touched.
 
-    A review that is on time cannot follow one dated after its window's end, so
-    a watermark without delay closes windows at the right moment. Needs input
-    in arrival order, as the tumbling stream does.
+    Totals are sums over the run's stored partials, so there is no state, no watermark and no need of any order. Only
+    the days that the batch touches are read. A version is an update if its window was published before and the
+    batch has a review that came after the window had closed. Reviews that cannot be placed go to `root`/_quarantine.
     """
-    kept, _ = admissible(reviews, width_s, 0)
-    return (kept.withWatermark("date", "0 seconds")
-            .groupBy("product_id", tumbling_bucket("date", width_s).alias("w"))
-            .agg(total("rating").alias("r"), total("likes").alias("l"), F.count("*").alias("c"))
-            .select("product_id", F.col("w.start").alias("window_start"),
-                    *finish_tumbling(F.col("r"), F.col("l"), F.col("c")), F.lit(False).alias("is_update")))
+    publish_versions = upsert_into(root, run)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            append_batch(unplaced(batch).withColumn("seen", F.coalesce("arrival_ts", "date", F.lit(0).cast("timestamp"))),
+                         f"{root}/_quarantine", batch_id, "seen", run)
+            partials = tumbling_partials(batch, width_s, lateness_s)
+            append_batch(partials.select(*PARTIAL.fieldNames()), f"{root}/_partials", batch_id, "window_start", run)
+            day = F.to_date("window_start")
+            first, last = partials.agg(F.min(day), F.max(day)).first()
+            if first is None:
+                return
+            known = (read_versions(spark, f"{root}/_partials", PARTIAL, first, last)
+                     .filter((F.col("run") == F.lit(run)) & (F.col("batch_id") <= batch_id)))
+            own = F.col("batch_id") == batch_id
+            totals = (known.groupBy("product_id", "window_start")
+                      .agg(F.sum("r").alias("r"), F.sum("l").alias("l"), F.sum("c").alias("c"),
+                           F.max(F.when(own, F.col("last_arrival"))).alias("last_arrival"), F.bool_or(own).alias("own"))
+                      .filter("own"))
+            closed = F.col("window_start") + F.make_dt_interval(secs=F.lit(width_s))
+            publish_versions(totals.select("product_id", "window_start",
+                                           *finish_tumbling(F.col("r"), F.col("l"), F.col("c")),
+                                           (F.col("last_arrival") > closed).alias("corrects")), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def closing_windows(spark: SparkSession, root: str, width_s: int, as_of: datetime | str | None = None) -> DataFrame:
+    """Windows of the table that had ended by `as_of`; all of them, open ones too, when the stream has stopped (None)."""
+    windows = latest_windows(spark, root, WINDOW_AGG)
+    return windows if as_of is None else closed_windows(windows, width_s, as_of)
 
 
 def closed_windows(windows: DataFrame, width_s: int, as_of: datetime | str) -> DataFrame:
@@ -96,7 +117,7 @@ def closed_windows(windows: DataFrame, width_s: int, as_of: datetime | str) -> D
                           <= F.lit(as_of).cast("timestamp"))
 
 
-def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
+def upsert_into(root: str, run: str = "0") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: flag corrections, then append the batch to the window table.
 
     Only the days the batch touches are read back. A repeated batch ignores
@@ -109,11 +130,10 @@ def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
             first_day, last_day = batch.agg(F.min(day), F.max(day)).first()
             if first_day is None:
                 return
-            earlier = (read_versions(batch.sparkSession, root, WINDOW_AGG, first_day, last_day)
-                       .filter(F.col("batch_id") < batch_id))
+            earlier = before(read_versions(batch.sparkSession, root, WINDOW_AGG, first_day, last_day), run, batch_id)
             corrects = "corrects" if "corrects" in batch.columns else None
             marked = mark_updates(batch, earlier, corrects=corrects)
-            append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start")
+            append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start", run)
         finally:
             batch.unpersist()
     return write
@@ -121,54 +141,81 @@ def upsert_into(root: str) -> Callable[[DataFrame, int], None]:
 
 def run_tumbling_table(reviews: DataFrame, root: str, checkpoint: str, width_s: int, lateness_s: int,
                        final: bool = False) -> StreamingQuery:
-    writer = (tumbling_stream(reviews, width_s, lateness_s).writeStream.outputMode("update")
-              .option("checkpointLocation", checkpoint).foreachBatch(upsert_into(root)))
+    run = run_of(reviews.sparkSession, checkpoint)
+    writer = (reviews.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(add_partials(root, run, width_s, lateness_s)))
     return flush_every(writer, final=final).start()
 
 
-def sliding_stream(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
-                   lateness_s: int = 0) -> DataFrame:
-    """Sliding windows by arrival time, for append mode: each window once, when it is complete.
+PANE = T.StructType([
+    T.StructField("product_id", T.StringType()), T.StructField("pane", T.TimestampType()),
+    T.StructField("c", T.LongType()), T.StructField("r", T.LongType()), T.StructField("neg", T.LongType()),
+    T.StructField("newest", T.TimestampType())])
 
-    As in batch, reviews go to panes first and only closed panes are copied
-    into windows.
-    """
+
+def run_sliding_panes(reviews: DataFrame, root: str, checkpoint: str, size_s: int = 300, slide_s: int = 60,
+                      final: bool = False) -> StreamingQuery:
+    """Store what each batch adds to the panes of the sliding windows; any order of reading gives the same windows."""
     check_sliding(size_s, slide_s)
-    panes = (sliding_input(reviews).withWatermark("arrival_ts", f"{lateness_s} seconds")
-             .groupBy("product_id", F.window("arrival_ts", f"{gcd(size_s, slide_s)} seconds").alias("pane"))
-             .agg(*sliding_sums()))
-    sums = (panes.groupBy("product_id", F.window("pane", f"{size_s} seconds", f"{slide_s} seconds").alias("w"))
-            .agg(F.sum("c").alias("c"), F.sum("r").alias("r"), F.sum("neg").alias("neg"),
-                 F.max("newest").alias("newest")))
-    return finish_sliding(sums.select("product_id", "c", "r", "neg", "newest",
-                                      F.col("w.start").alias("s"), F.col("w.end").alias("e")), "s", "e")
-
-
-def first_copies(horizon_s: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per Arrow batch, drop rows that follow the first arrival of their id by less than the horizon."""
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            codes = pc.fill_null(batch.column("id").dictionary_encode().indices, -1).to_numpy() + 1
-            arrival = batch.column("arrival_ts").cast(pa.int64()).to_numpy(zero_copy_only=False)
-            order = np.lexsort((arrival, codes))
-            heads = np.r_[True, np.diff(codes[order]) != 0]
-            since_first = arrival[order] - arrival[order][heads][np.cumsum(heads) - 1]
-            keep = np.sort(order[heads | (since_first >= horizon_s * 1_000_000)])
-            yield batch.take(pa.array(keep))
-    return reduce
-
-
-def dedup_stream(reviews: DataFrame, horizon_s: int = DEDUP_HORIZON_S) -> DataFrame:
-    """Drop reviews whose id was already seen within the horizon of arrival time.
-
-    Copies are first dropped where they are read, so an id with very many of
-    them does not send them all to the task that keeps its state.
+    run = run_of(reviews.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(sliding_panes(batch, gcd(size_s, slide_s)).select(
+            *[F.col(f.name).cast(f.dataType) for f in PANE.fields]), root, batch_id, "pane", run)
+
+    return flush_every(reviews.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), final=final).start()
+
+
+def sliding_windows(spark: SparkSession, root: str, run: str, size_s: int = 300, slide_s: int = 60,
+                    closed_by: datetime | str | None = None) -> DataFrame:
+    """Windows from the stored panes of a run: those closed by a time, or with None all, as published on stop."""
+    panes = read_versions(spark, root, PANE).filter(F.col("run") == F.lit(run)).select(*PANE.fieldNames())
+    windows = slide_panes(panes, gcd(size_s, slide_s), size_s, slide_s)
+    return windows if closed_by is None else windows.filter(F.col("window_end") <= F.lit(closed_by).cast("timestamp"))
+
+
+SEEN = T.StructType([T.StructField("id", T.StringType()), T.StructField("arrival_ts", T.TimestampType()),
+                     T.StructField("seq", T.LongType())])
+
+
+def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: accept reviews whose id was not accepted within the horizon before, as `dedup_within` does.
+
+    The log of accepted (id, arrival_ts, seq) is the memory; only its days that reach into the batch's horizon are read.
+    The rule works on these three columns, the accepted rows are joined last. Accepted rows go to `root`/accepted,
+    reviews without arrival to `root`/quarantine. Ids that come back are told apart exactly if batches come in the order
+    of arrival; an id that occurs once is accepted in any order.
     """
-    dated = reviews.filter(F.col("arrival_ts").isNotNull())
-    return (dated.mapInArrow(first_copies(horizon_s), reviews.schema)
-            .withWatermark("arrival_ts", f"{horizon_s} seconds").dropDuplicatesWithinWatermark(["id"]))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            lost = batch.filter("arrival_ts is null").withColumn("seen", F.lit(0).cast("timestamp"))
+            append_batch(lost, f"{root}/quarantine", batch_id, "seen", run)
+            dated = batch.filter("arrival_ts is not null")
+            reach = F.min("arrival_ts") - F.make_dt_interval(secs=F.lit(horizon_s))
+            first, last = dated.agg(F.to_date(reach), F.to_date(F.max("arrival_ts"))).first()
+            if first is None:
+                return
+            own = F.lit(True).alias("own")
+            past = (before(read_versions(spark, f"{root}/log", SEEN, first, last), run, batch_id)
+                    .filter(F.col("run") == F.lit(run)).select(*SEEN.fieldNames(), F.lit(False).alias("own")))
+            both = durable(dated.select(*SEEN.fieldNames(), own).unionByName(past))
+            fresh = durable(dedup_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
+            same = dated["id"].eqNullSafe(fresh["id"]) & (dated["arrival_ts"] == fresh["arrival_ts"]) & (dated["seq"] == fresh["seq"])
+            accepted = dated.join(fresh, same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
+            append_batch(accepted, f"{root}/accepted", batch_id, "arrival_ts", run)
+            append_batch(fresh, f"{root}/log", batch_id, "arrival_ts", run)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def run_dedup(reviews: DataFrame, root: str, checkpoint: str, horizon_s: int = DEDUP_HORIZON_S,
+              final: bool = False) -> StreamingQuery:
+    run = run_of(reviews.sparkSession, checkpoint)
+    writer = reviews.writeStream.option("checkpointLocation", checkpoint).foreachBatch(dedup_into(root, run, horizon_s))
+    return flush_every(writer, final=final).start()
 
 
 def stats_stream(reviews: DataFrame) -> DataFrame:
@@ -197,7 +244,7 @@ def fan_out(*writes: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, i
 
 
 def alert_into(window_root: str, alert_root: str, recent_s: int = RECENT_S,
-               cooldown_s: int = COOLDOWN_S) -> Callable[[DataFrame, int], None]:
+               cooldown_s: int = COOLDOWN_S, run: str = "0") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: check the window table as of the batch's newest window, log alerts sent.
 
     The alert log is the cooldown memory: only its last `cooldown_s` seconds are
@@ -218,12 +265,11 @@ def alert_into(window_root: str, alert_root: str, recent_s: int = RECENT_S,
         stamp = F.lit(as_of).cast("timestamp")
         # A batch may end before the table does, so later days are not cut off.
         windows = latest_windows(spark, window_root, WINDOW_AGG, recent_day)
-        sent = read_versions(spark, alert_root, ALERT, cooldown_day, today).filter(
-            (F.col("batch_id") < batch_id)
-            & (F.col("sent_at") > stamp - F.make_dt_interval(secs=F.lit(cooldown_s))))
+        sent = before(read_versions(spark, alert_root, ALERT, cooldown_day, today), run, batch_id).filter(
+            (F.col("sent_at") > stamp - F.make_dt_interval(secs=F.lit(cooldown_s))))
         due = (anomalies(windows, as_of, recent_s).withColumn("sent_at", stamp)
                .join(sent.select("product_id").distinct(), "product_id", "left_anti"))
-        append_batch(due.select(*ALERT.fieldNames()), alert_root, batch_id, "sent_at")
+        append_batch(due.select(*ALERT.fieldNames()), alert_root, batch_id, "sent_at", run)
     return write
 
 

@@ -12,8 +12,8 @@ def one(spark, column, **values):
 
 
 @pytest.mark.parametrize("value, expected", [
-    (3.14159, 3.14), (2.71828, 2.72), (4.999, 5.0), (1.234, 1.23), (2.0, 2.0), (0.0, 0.0),
-    (1.0, 1.0), (5.0, 5.0), (1.005, 1.0), (0.125, 0.13), (-0.125, -0.13)])
+    (0.125, 0.13), (-0.125, -0.13), (0.375, 0.38), (2.625, 2.63), (1.005, 1.0), (7.0, 7.0), (0.004, 0.0), (0.006, 0.01),
+    (4.9949, 4.99), (4.9951, 5.0), (-3.333, -3.33)])
 def test_half_up(spark, value, expected):
     assert one(spark, fn.half_up(F.col("x"), 2), x=value) == expected
 

@@ -5,11 +5,10 @@ import shutil
 import time
 from pathlib import Path
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import alerts, serving, stats
+from opinara.operators import alerts, serving, stats, tables
 from opinara.operators import windows as w
 from opinara.plans import fixtures as fx
 from opinara.schemas import WINDOW_AGG
@@ -58,7 +57,6 @@ def test_tumbling_table_equals_batch(spark, reviews, files, tmp_path):
                                     fx.WIDTH_S, fx.LATENESS_S, final=True)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == N_FILES
-    assert all(o["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress for o in p["stateOperators"])
     got = writers.latest_windows(spark, str(tmp_path / "t"), WINDOW_AGG)
     kept = w.classify_arrival(reviews, fx.WIDTH_S, fx.LATENESS_S).filter("arrival_class <> 'dropped'")
     assert sorted_rows(serving.serve_projection(got)) == sorted_rows(w.tumbling(kept, fx.WIDTH_S))
@@ -80,11 +78,36 @@ def test_open_windows_can_be_left_out(spark, reviews):
     assert got == "2024-01-10 06:00:00"
 
 
-def test_watermark_frees_state(spark, files, tmp_path):
-    query = jobs.run_tumbling_table(stream(spark, files), str(tmp_path / "t"), str(tmp_path / "s"),
-                                    fx.WIDTH_S, fx.LATENESS_S, final=True)
-    query.awaitTermination()
-    assert any(o["numRowsRemoved"] > 0 for p in query.recentProgress for o in p["stateOperators"])
+def test_order_of_reading_does_not_matter(spark, reviews, tmp_path):
+    """Files that hold the products one after the other, one per trigger."""
+    reviews.repartition(6, "product_id").sortWithinPartitions("arrival_ts").write.parquet(str(tmp_path / "in"))
+    jobs.run_tumbling_table(stream(spark, str(tmp_path / "in")), str(tmp_path / "t"), str(tmp_path / "s"),
+                            fx.WIDTH_S, fx.LATENESS_S, final=True).awaitTermination()
+    kept = w.classify_arrival(reviews, fx.WIDTH_S, fx.LATENESS_S).filter("arrival_class <> 'dropped'")
+    got = jobs.closing_windows(spark, str(tmp_path / "t"), fx.WIDTH_S)
+    assert sorted_rows(serving.serve_projection(got)) == sorted_rows(w.tumbling(kept, fx.WIDTH_S))
+    closed = jobs.closing_windows(spark, str(tmp_path / "t"), fx.WIDTH_S, "2024-01-10 13:00:00")
+    assert 0 < closed.count() < got.count()
+
+
+def test_a_new_run_wins_only_where_it_writes(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def batch(*rows):
+        return spark.createDataFrame([(p, f"2024-01-0{d} 00:00:00", float(v), 0, 1) for p, d, v in rows],
+                                     "product_id string, start string, avg_rating double, total_likes long, review_count long") \
+            .select("product_id", F.col("start").cast("timestamp").alias("window_start"), "avg_rating", "total_likes", "review_count")
+
+    first, second = (jobs.upsert_into(root, writers.run_of(spark, str(tmp_path / name))) for name in ("a", "b"))
+    first(batch(("y", 1, 5), ("x", 1, 1)), 0)
+    first(batch(("z", 2, 6), ("x", 1, 2)), 1)
+    second(batch(("x", 1, 9)), 0)
+    got = {r.product_id: r.avg_rating for r in writers.latest_windows(spark, root, WINDOW_AGG).collect()}
+    assert got == {"y": 5, "z": 6, "x": 9}
+    assert writers.run_of(spark, str(tmp_path / "a")) == writers.run_of(spark, str(tmp_path / "a")) < writers.run_of(spark, str(tmp_path / "b"))
+    writers.compact_windows(spark, root, WINDOW_AGG, str(tmp_path / "small"))
+    again = writers.latest_windows(spark, str(tmp_path / "small"), WINDOW_AGG)
+    assert {r.product_id: r.avg_rating for r in again.collect()} == got
 
 
 def test_repeated_batch_changes_nothing(spark, reviews, tmp_path):
@@ -100,12 +123,24 @@ def test_repeated_batch_changes_nothing(spark, reviews, tmp_path):
     assert sorted_rows(writers.latest_windows(spark, root, WINDOW_AGG)) == before
 
 
-def test_future_dated_reviews_are_set_apart(spark, reviews):
-    odd = reviews.withColumn("arrival_ts", F.when(F.col("seq") % 100 == 0, F.col("date") - F.expr("interval 1 hour"))
-                             .otherwise(F.col("arrival_ts")))
-    kept, future = jobs.admissible(odd, fx.WIDTH_S, fx.LATENESS_S)
-    assert future.count() == 10
-    assert kept.filter("date > arrival_ts").count() == 0
+def test_reviews_without_dates_are_set_apart_and_future_ones_kept(spark, reviews):
+    odd = reviews.withColumns({
+        "arrival_ts": F.when(F.col("seq") % 100 == 0, F.col("date") - F.expr("interval 1 hour"))
+                       .when(F.col("seq") % 100 == 1, F.lit(None)).otherwise(F.col("arrival_ts")),
+        "date": F.when(F.col("seq") % 100 != 2, F.col("date"))})
+    kept, unplaced = jobs.admissible(odd, fx.WIDTH_S, fx.LATENESS_S)
+    assert kept.filter("date > arrival_ts").count() == 10
+    assert {(r.reason, r["count"]) for r in unplaced.groupBy("reason").count().collect()} == {("no_date", 10), ("no_arrival", 10)}
+    fates = {r.fate: r.n for r in w.reviews_by_fate(odd, fx.WIDTH_S, fx.LATENESS_S).collect()}
+    assert sum(fates.values()) == odd.count() and fates["on_time"] + fates["late"] == kept.count()
+
+
+def test_unplaced_reviews_reach_the_quarantine(spark, reviews, tmp_path):
+    reviews.withColumn("date", F.when(F.col("seq") % 10 != 0, F.col("date"))).write.parquet(str(tmp_path / "in"))
+    jobs.run_tumbling_table(stream(spark, str(tmp_path / "in")), str(tmp_path / "t"), str(tmp_path / "s"),
+                            fx.WIDTH_S, fx.LATENESS_S, final=True).awaitTermination()
+    lost = spark.read.parquet(str(tmp_path / "t" / "_quarantine"))
+    assert lost.count() == 100 and {r.reason for r in lost.select("reason").distinct().collect()} == {"no_date"}
 
 
 def test_restart_continues_from_the_checkpoint(spark, files, tmp_path):
@@ -126,27 +161,16 @@ def test_restart_continues_from_the_checkpoint(spark, files, tmp_path):
     assert read("t") == read("t2")
 
 
-def test_sliding_stream_equals_batch_for_complete_windows(spark, reviews, files, tmp_path):
-    out = jobs.sliding_stream(stream(spark, files), fx.SIZE_S, fx.SLIDE_S)
-    drain(out.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")), tmp_path)
+def test_sliding_panes_give_all_windows(spark, reviews, tmp_path):
+    reviews.repartition(5, "product_id").write.parquet(str(tmp_path / "in"))
+    jobs.run_sliding_panes(stream(spark, str(tmp_path / "in")), str(tmp_path / "panes"), str(tmp_path / "s"), fx.SIZE_S, fx.SLIDE_S,
+                           final=True).awaitTermination()
+    run = writers.run_of(spark, str(tmp_path / "s"))
     expected = w.sliding(reviews, fx.SIZE_S, fx.SLIDE_S)
-    got = spark.read.schema(expected.schema).parquet(str(tmp_path / "out"))
-    closed = got.agg(F.max("window_end").cast("string")).first()[0]
-    complete = expected.filter(F.col("window_end") <= F.lit(closed).cast("timestamp"))
-    assert sorted_rows(got) == sorted_rows(complete)
-    assert complete.count() > expected.count() * 0.8
-
-
-def test_closing_stream_publishes_on_time_totals(spark, reviews, files, tmp_path):
-    out = jobs.closing_stream(stream(spark, files), fx.WIDTH_S)
-    query = drain(out.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")), tmp_path)
-    assert all(o["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress for o in p["stateOperators"])
-    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).drop("is_update")
-    on_time = w.classify_arrival(reviews, fx.WIDTH_S, 0).filter("arrival_class = 'on_time'")
-    expected = w.tumbling(on_time, fx.WIDTH_S)
-    closed = got.agg(F.max("window_start").cast("string")).first()[0]
-    assert sorted_rows(got) == sorted_rows(expected.filter(F.col("window_start") <= F.lit(closed).cast("timestamp")))
-    assert got.count() > expected.count() * 0.9
+    got = jobs.sliding_windows(spark, str(tmp_path / "panes"), run, fx.SIZE_S, fx.SLIDE_S)
+    assert sorted_rows(got) == sorted_rows(expected)
+    closed = jobs.sliding_windows(spark, str(tmp_path / "panes"), run, fx.SIZE_S, fx.SLIDE_S, "2024-01-10 13:00:00")
+    assert 0 < closed.count() < expected.count()
 
 
 def test_published_messages_are_counted(spark, files, tmp_path):
@@ -167,32 +191,31 @@ def test_stats_stream_equals_batch(spark, reviews, files, tmp_path):
     assert seen[-1] == tuple(stats.review_stats(reviews).first())
 
 
+def dedup(spark, source, path, horizon_s=jobs.DEDUP_HORIZON_S):
+    jobs.run_dedup(source, str(path / "d"), str(path / "s"), horizon_s, final=True).awaitTermination()
+    return spark.read.parquet(str(path / "d" / "accepted"))
+
+
 def test_dedup_stream_drops_copies_inside_the_horizon(spark, files, tmp_path):
     twice = stream(spark, files).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    drain(jobs.dedup_stream(twice).writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path)
-    got = spark.read.schema(SCHEMA).parquet(str(tmp_path / "out"))
+    got = dedup(spark, twice, tmp_path)
     assert (got.count(), got.select("id").distinct().count()) == (1000, 1000)
 
 
-def test_first_copies_in_a_batch():
-    second = 1_000_000
-    rows = [("a", 100), ("b", 130), ("a", 90), ("a", 209), ("a", 210), (None, 5), (None, 6), ("b", 130), ("a", 150)]
-    batch = pa.RecordBatch.from_pydict({
-        "id": [i for i, _ in rows], "n": list(range(len(rows))),
-        "arrival_ts": pa.array([t * second for _, t in rows], pa.timestamp("us", "UTC"))})
-    out = list(jobs.first_copies(120)(iter([batch, batch.slice(0, 0)])))
-    assert [b.column("n").to_pylist() for b in out] == [[1, 2, 4, 5]]
+def test_dedup_stream_keeps_single_ids_in_any_order(spark, reviews, tmp_path):
+    odd = reviews.withColumn("arrival_ts", F.when(F.col("seq") != 7, F.col("arrival_ts")))
+    odd.repartition(6, "product_id").write.parquet(str(tmp_path / "in"))
+    assert dedup(spark, stream(spark, str(tmp_path / "in")), tmp_path).count() == 999
+    assert spark.read.parquet(str(tmp_path / "d" / "quarantine")).count() == 1
 
 
-def test_copies_shrink_before_they_are_shuffled(spark, tmp_path):
-    copies = spark.range(20_000).select(F.lit("hot").alias("id"), F.timestamp_seconds(F.lit(10**9)).alias("arrival_ts"))
-    copies.coalesce(1).write.parquet(str(tmp_path / "in"))
-    source = spark.readStream.schema("id string, arrival_ts timestamp").parquet(str(tmp_path / "in"))
-    query = drain(jobs.dedup_stream(source).writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path)
-    assert spark.read.schema("id string, arrival_ts timestamp").parquet(str(tmp_path / "out")).count() == 1
-    dropped = sum(o["customMetrics"].get("numDroppedDuplicateRows", 0) for p in query.recentProgress
-                  for o in p["stateOperators"])
-    assert dropped < 100  # one row per Arrow batch reaches the state
+def test_dedup_of_a_repeated_batch_changes_nothing(spark, reviews, tmp_path):
+    again = reviews.withColumn("id", F.concat_ws("-", "product_id", (F.col("seq") % 3).cast("string")))
+    write = jobs.dedup_into(str(tmp_path / "d"), "r", 6 * fx.HOUR)
+    for n in (0, 1, 1):
+        write(again.filter((F.col("arrival_ts") >= "2024-01-15") == F.lit(bool(n))), n)
+    got = spark.read.parquet(str(tmp_path / "d" / "accepted")).select("id", "arrival_ts")
+    assert sorted_rows(got) == sorted_rows(tables.dedup_within(again, 6 * fx.HOUR).select("id", "arrival_ts"))
 
 
 def test_fan_out_feeds_every_writer(spark, files, tmp_path):
@@ -209,23 +232,26 @@ def test_fan_out_feeds_every_writer(spark, files, tmp_path):
         F.sum("review_count")).first()[0] == 1000
 
 
-def test_message_streams_decode_and_skip_empty(spark, reviews, tmp_path):
+def test_message_streams_decode_and_set_empty_apart(spark, reviews, tmp_path):
     messages = codec.encode_windowed(w.tumbling(reviews, fx.WIDTH_S))
     messages.unionByName(spark.createDataFrame([("k", "{broken"), ("k", None)], readers.MESSAGE)) \
         .coalesce(2).write.json(str(tmp_path / "in"))
     decoded = readers.window_stream(spark, "json", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"})
     drain(decoded.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path)
     good, bad = codec.split_corrupt(spark.read.schema(decoded.schema).parquet(str(tmp_path / "out")))
-    assert bad.count() == 1
+    assert sorted(r.value for r in bad.collect()) == ["", "{broken"]
     expected = w.tumbling(reviews, fx.WIDTH_S)
     assert sorted_rows(good.select(*expected.columns)) == sorted_rows(expected)
 
 
 def test_alerts_follow_the_table_and_stay_silent_in_the_cooldown(spark, files, tmp_path):
     table, log = str(tmp_path / "t"), str(tmp_path / "alerts")
-    both = jobs.fan_out(jobs.upsert_into(table), jobs.alert_into(table, log, fx.RECENT_S, 2 * fx.DAY))
-    drain(jobs.tumbling_stream(stream(spark, files), fx.WIDTH_S, fx.LATENESS_S)
-          .writeStream.outputMode("update").foreachBatch(both), tmp_path)
+    def alert(batch, batch_id):
+        windows = w.classify_arrival(batch, fx.WIDTH_S, fx.LATENESS_S).filter("arrival_class <> 'dropped'")
+        jobs.alert_into(table, log, fx.RECENT_S, 2 * fx.DAY)(windows, batch_id)
+
+    both = jobs.fan_out(jobs.add_partials(table, "0", fx.WIDTH_S, fx.LATENESS_S), alert)
+    drain(stream(spark, files).writeStream.foreachBatch(both), tmp_path)
     sent = writers.read_versions(spark, log, jobs.ALERT)
     assert sent.count() > 0
     times = sent.select("product_id", F.unix_seconds("sent_at").alias("t")).distinct().collect()
@@ -248,4 +274,5 @@ def test_console_stream_runs(spark, files, tmp_path):
 
 def test_flush_size_is_a_source_option():
     options = readers.kafka_options("broker:9092", readers.WINDOW_TOPIC, "latest", per_batch=jobs.FLUSH_ROWS)
-    assert (options["maxOffsetsPerTrigger"], options["startingOffsets"]) == ("100", "latest")
+    assert (options["maxOffsetsPerTrigger"], options["startingOffsets"], options["failOnDataLoss"]) == ("100", "latest", "true")
+    assert "maxOffsetsPerTrigger" not in readers.kafka_options("broker:9092", readers.RAW_TOPIC, "earliest")

@@ -34,8 +34,9 @@ def test_single_and_multiple_reviews(spark):
 
 
 def test_no_review_is_lost(spark):
-    rows = [("WB-002" if i % 2 == 0 else "WB-001", 1 + i % 5, 2 * i, "2024-01-01 10:00:00") for i in range(100)]
-    assert w.tumbling(reviews(spark, rows)).agg(F.sum("review_count"), F.sum("total_likes")).first()[:] == (100, 9900)
+    rows = [(f"p{i * i % 7}", i % 4 + 1, i % 9, f"2024-03-0{1 + i % 3} 05:{i % 60:02d}:00") for i in range(173)]
+    got = w.tumbling(reviews(spark, rows)).agg(F.sum("review_count"), F.sum("total_likes")).first()
+    assert got[:] == (len(rows), sum(r[2] for r in rows))
 
 
 def test_invalid_ratings_are_not_filtered_by_tumbling(spark):
