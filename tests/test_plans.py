@@ -5,12 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from opinara.plans.catalog import CATALOG
 from opinara.operators import dashboards, quality, stats, tables
 from opinara.operators import windows as w
 from opinara.plans import fixtures as fx
 
-QUERIES = contract.queries()
+QUERIES = CATALOG  # the review queries
 
 
 def plan_of(df) -> str:
