@@ -5,7 +5,9 @@
    n - ceil(t * n) + 1 shingles, so only these prefixes are joined.
 3. In a prefix list, pairs pass a length filter, a positional filter (how many common shingles can still lie before
    and behind the shared one) and a suffix filter: the sets are cut at fixed points of the hash order, the sizes of
-   the parts are kept modulo 2, and the parts that differ bound the symmetric difference from below.
+   the parts are kept modulo 2, and the parts that differ bound the symmetric difference from below. A pair that
+   also shares the shingle just before, in both prefixes, met in that list already, where the same filters give the
+   same answer; it is not looked at again. So a run of common shingles gives a pair once.
 4. What is left is compared once per pair, on the full sets.
 
 A list of m members, all alike, has m * m / 2 links. They are not listed: a list of over SHORT_LIST members gives at
@@ -91,19 +93,21 @@ def signatures(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) ->
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """A row per shingle of each prefix: key, sid, n, pos."""
+    """A row per shingle of each prefix: key, the key before it (none where pos is 0), sid, n, pos."""
     def spread(parts):
         for batch in parts:
             prefixes = [np.frombuffer(p, np.uint64) for p in batch["prefix"].to_pylist()]
             sizes = [len(p) for p in prefixes]
             if sum(sizes):
+                keys = np.concatenate(prefixes).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(prefixes).view(np.int64)),
+                    pa.array(keys),
+                    pa.array(np.append(0, keys[:-1])),
                     pa.array(np.repeat(batch["sid"].to_numpy(), sizes)),
                     pa.array(np.repeat(batch["n"].to_numpy().astype(np.int32), sizes)),
                     pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]))],
-                    ["key", "sid", "n", "pos"])
-    return classes.select("sid", "n", "prefix").mapInArrow(spread, "key long, sid long, n int, pos int")
+                    ["key", "before", "sid", "n", "pos"])
+    return classes.select("sid", "n", "prefix").mapInArrow(spread, "key long, before long, sid long, n int, pos int")
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
@@ -118,8 +122,8 @@ class _Lists:
 
     def __init__(self, table: pa.Table, percent: int):
         self.percent = percent
-        self.sid, self.n, self.pos, self.comp, self.block, self.cross = (
-            table[c].to_numpy().astype(np.int64) for c in ("sid", "n", "pos", "comp", "block", "cross"))
+        self.sid, self.n, self.pos, self.before, self.comp, self.block, self.cross = (
+            table[c].to_numpy().astype(np.int64) for c in ("sid", "n", "pos", "before", "comp", "block", "cross"))
         raw = table["bits"].to_pylist()
         self.width = np.array([len(x) for x in raw]) // 8
         self.bits: dict[int, np.ndarray] = {}
@@ -130,8 +134,9 @@ class _Lists:
             self.bits[w] = np.frombuffer(b"".join(raw[i] for i in at), np.uint64).reshape(len(at), w)
 
     def passing(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs of rows (i, j) pass all filters."""
+        """Which pairs of rows (i, j) pass all filters and did not meet in the list before."""
         ok = self.comp[i] != self.comp[j]
+        ok &= (self.before[i] != self.before[j]) | (self.pos[i] == 0) | (self.pos[j] == 0)
         ok &= (self.cross[i] == 0) | (self.block[i] != self.block[j])
         ok &= 100 * self.n[j] >= self.percent * self.n[i]
         ok &= 100 * self.n[i] >= self.percent * self.n[j]
@@ -201,7 +206,7 @@ def _whole_lists(parts) -> Iterator[tuple[pa.Table, np.ndarray]]:
 def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs (a, b) that pass the filters in some prefix list and belong to different components.
 
-    members: key, sid, n, pos, c (length of the list), bits, comp. forest: only pairs that connect.
+    members: key, before, sid, n, pos, c (length of the list), bits, comp. forest: only pairs that connect.
     """
     blocks = F.ceil(F.col("c") / LIST_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -328,3 +329,14 @@ def test_pipeline_keeps_one_of_each_and_all_that_is_clean(spark, sf_small):
     assert sorted(apart.doc_id) == sorted(set(parents.values()))
     packed = corpus_pipeline.STAGES[-1][1](spark, held[-1], sf_small).toPandas()
     assert set(packed.doc_id) == set(apart.doc_id)
+
+
+def test_a_run_of_common_shingles_gives_a_pair_once():
+    def found(before):
+        rows = {"sid": [1, 2] * 3, "n": [50] * 6, "pos": [0, 0, 1, 1, 2, 2], "before": before, "comp": [1, 2] * 3,
+                "block": [0] * 6, "cross": [0] * 6, "bits": [bytes(64)] * 6}
+        return sum(len(a) for a, _ in ngram_join._Lists(pa.table(rows), 80).pairs(np.array([0, 2, 4]), True))
+
+    assert found([0, 0, 10, 10, 11, 11]) == 1
+    assert found([0, 0, 10, 9, 11, 11]) == 2  # another shingle lies between in one of them
+    assert found([0, 0, 0, 0, 11, 12]) == 2
