@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, fixed_array, likely_members, mixed, split_by, stored, texts_of
 from opinara.llm.components import components
-from opinara.llm.shingles import WordHashes, shingle_set
+from opinara.llm.shingles import distinct, shingle_set
 
 #: The order needs only to tell common shingles from rare ones: they are counted in so many buckets.
 BUCKET_BITS = 20
@@ -46,8 +46,7 @@ def least_overlap(total: int | np.ndarray, percent: int):
 def rank_order(texts: DataFrame, words: int) -> np.ndarray:
     """By bucket of hash: the number of documents with such shingles, on a logarithmic scale of a byte."""
     def fill(batch, total):
-        memo = WordHashes()
-        sets = [shingle_set(t, words, memo) for t in batch["text"].to_pylist()]
+        sets = [shingle_set(t, words) for t in batch["text"].to_pylist()]
         at = (np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
         total += np.bincount(at, minlength=1 << BUCKET_BITS).astype(np.uint32)
 
@@ -75,12 +74,10 @@ def signatures(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) ->
                         ("prefix", pa.binary()), ("bits", pa.binary())])
 
     def sign(parts):
-        memo = WordHashes()
-
         def rows() -> Iterator[dict]:
             for batch in parts:
                 for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                    s = shingle_set(text, words, memo)
+                    s = shingle_set(text, words)
                     row = {"doc_id": doc_id, "n": len(s), "digest": b"", "prefix": b"", "bits": b""}
                     if len(s) and doc_id is not None:
                         keep = len(s) - -(-percent * len(s) // 100) + 1
@@ -232,13 +229,11 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
     def compare(parts):
-        memo = WordHashes()
-
         def rows():
             for batch in parts:
                 for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "x", "y"))):
-                    s, t = shingle_set(x, words, memo), shingle_set(y, words, memo)
-                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    s, t = shingle_set(x, words), shingle_set(y, words)
+                    both = len(s) + len(t) - len(distinct(np.concatenate([s, t])))
                     yield {"a": a, "b": b, "linked": 100 * both >= percent * (len(s) + len(t) - both)}
         yield from batches(rows(), schema)
 
@@ -303,9 +298,8 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _class_texts(texts: DataFrame, involved: DataFrame, words: int) -> DataFrame:
     """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest."""
     def check(parts):
-        memo = WordHashes()
         for batch in parts:
-            same = [xxhash.xxh3_128_digest(shingle_set(t, words, memo).tobytes()) == d
+            same = [xxhash.xxh3_128_digest(shingle_set(t, words).tobytes()) == d
                     for t, d in zip(batch["text"].to_pylist(), batch["digest"].to_pylist())]
             yield batch.select(["sid", "text"]).filter(pa.array(same, pa.bool_()))
 
