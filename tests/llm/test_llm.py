@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from opinara.llm import (byte_bpe, components, exact_dedup, fingerprints, language, licenses, ngram_join, packing, quality,
                          queries, token_counts, toxicity)
-from opinara.llm.shingles import WordHashes
+from opinara.llm.shingles import LONG_WORD, STRETCH, WordHashes, shingle_set, word_hashes
 from tests.duck import connect, difference
 
 SCHEMA = "doc_id long, text string, digest string, key int, stats int, score string, file string"
@@ -340,3 +340,26 @@ def test_a_run_of_common_shingles_gives_a_pair_once():
     assert found([0, 0, 10, 10, 11, 11]) == 1
     assert found([0, 0, 10, 9, 11, 11]) == 2  # another shingle lies between in one of them
     assert found([0, 0, 0, 0, 11, 12]) == 2
+
+
+def test_word_hashes_do_not_depend_on_place_or_neighbours():
+    """Words keep their hash wherever a stretch of a long text ends, and different words differ."""
+    random.seed(5)
+    words = [bytes(random.choices(b"ABab\x00\xc3\xa9.1", k=random.randint(1, 9))) for _ in range(60_000)]
+    words += [b"q" * n for n in (LONG_WORD - 1, LONG_WORD, LONG_WORD + 1, STRETCH - 1, STRETCH, STRETCH + 1, 3 * STRETCH)]
+    seen: dict[bytes, int] = {}
+    for gap in (b" ", b"\t\n", b" \x0b\x0c\r "):
+        random.shuffle(words)
+        for text in (gap.join(words), gap + gap.join(words[:50]) + gap, words[0], b"", gap):
+            split = text.lower().split()
+            hashes = word_hashes(text).tolist()
+            assert len(hashes) == len(split)
+            assert all(seen.setdefault(w, h) == h for w, h in zip(split, hashes))
+    assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("text,size", [(b"", 0), (b" \n", 0), (b"one", 1), (b"a b", 1), (b"a b c", 1), (b"a a a a", 1),
+                                       (b"a b c a b c", 3), (b"A b C a B c", 3)])
+def test_shingle_sets(text, size):
+    found = shingle_set(text, 3)
+    assert len(found) == size and (np.diff(found.astype(object)) > 0).all()
