@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import exact_mean, fixed_text, percent_text, rating_band
+from opinara.operators.scaling import timeline_totals
 
 
 def kpi_windows(windows: DataFrame, approximate: bool = False) -> DataFrame:
@@ -118,6 +119,18 @@ def windows_newest(windows: DataFrame) -> DataFrame:
                     F.date_format("window_start", "HH:mm:ss").alias("window_time")))
 
 
+def emissions_newest(emissions: DataFrame, order: tuple[str, str] = ("emitted_at", "seq"), block_s: int = 3600) -> DataFrame:
+    """Display table of emitted windows in the order of their arrival, latest first; position counts from the first.
+
+    Emissions are numbered per block of time plus the counts of the blocks before, so no task gets all of them.
+    """
+    placed = emissions.withColumns({"_at": F.struct(*order), "emission": F.lit(1).cast("long")})
+    numbered = timeline_totals(placed, "_at", "emission", F.floor(F.unix_seconds(order[0]) / block_s))
+    return (numbered.orderBy(F.desc("running_emission"))
+            .select(F.col("running_emission").alias("position"), "product_id", "avg_rating", "total_likes", "review_count",
+                    F.date_format("window_start", "HH:mm:ss").alias("window_time")))
+
+
 def windows_sorted(windows: DataFrame, head: int | None = None) -> DataFrame:
     ordered = windows.orderBy("window_start", "product_id")
     return ordered if head is None else ordered.limit(head)

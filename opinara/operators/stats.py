@@ -87,8 +87,10 @@ def moving_rate(reviews: DataFrame, span_s: int = 5, step_s: int = 1, ts: str =
 
     Growth since the oldest sample still inside the span, over the time since
     then; 0 with a single sample. Per-step counts are copied forward into the
-    few samples they matter to, so no window spans the timeline.
+    few samples they matter to, so no window spans the timeline. The span must be a multiple of the step.
     """
+    if span_s % step_s:
+        raise ValueError(f"span of {span_s} s is not a multiple of the step of {step_s} s")
     steps = span_s // step_s
     counts = (reviews.groupBy(F.floor(F.unix_seconds(ts) / step_s).alias("src"))
               .agg(F.count("*").alias("n")))

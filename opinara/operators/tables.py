@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators.scaling import MAX_BROADCAST_ROWS, attach_small
@@ -96,6 +96,15 @@ def retain_last(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)
 
 
+def retain_last_emitted(emissions: DataFrame, n: int, order: Sequence[str] = ("emitted_at", "seq")) -> DataFrame:
+    """The `n` emissions that arrived last, with their position in the store (1 for the oldest kept).
+
+    The position is a window over the n rows that are left, not over the input.
+    """
+    kept = emissions.orderBy(*[F.desc(c) for c in order]).limit(n)
+    return kept.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
 def retain_since(df: DataFrame, as_of: datetime | str, max_age_s: int, ts: str = "window_start") -> DataFrame:
     """Rows not older than `max_age_s` at `as_of`. A plain comparison, so it reaches the file scan."""
     oldest = F.lit(as_of).cast("timestamp") - F.make_dt_interval(secs=F.lit(max_age_s))

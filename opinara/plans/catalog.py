@@ -296,6 +296,12 @@ def windows_newest(spark, sf):
     return dashboards.windows_newest(fx.windows(spark, sf))
 
 
+@query
+def emissions_newest(spark, sf):
+    """Everything the windows emitted, numbered in the order of arrival."""
+    return dashboards.emissions_newest(windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S))
+
+
 @query
 def windows_sorted(spark, sf):
     return dashboards.windows_sorted(fx.windows(spark, sf))
@@ -401,6 +407,12 @@ def retain_last_n(spark, sf):
     return tables.retain_last(fx.windows(spark, sf), 100, ["window_start", "product_id"])
 
 
+@query
+def retain_last_emitted(spark, sf):
+    """The last 100 emissions that a bounded store keeps."""
+    return tables.retain_last_emitted(windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S), 100)
+
+
 @query
 def retain_24h(spark, sf):
     return tables.retain_since(fx.windows(spark, sf), fx.newest_window(spark, sf), DAY)

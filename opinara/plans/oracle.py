@@ -255,6 +255,8 @@ ORACLE: dict[str, str] = {
         from slides order by computed_at desc, product_id limit 50""",
     "windows_newest": f"""with {_WINDOWS} select product_id, avg_rating, total_likes, review_count,
         strftime(window_start, '%H:%M:%S') as window_time from windows""",
+    "emissions_newest": f"""with {_CHANGES} select row_number() over (order by emitted_at, seq) as position, product_id,
+        avg_rating, total_likes, review_count, strftime(window_start, '%H:%M:%S') as window_time from changes""",
     "windows_sorted": f"with {_WINDOWS} select * from windows",
     "parse_window_start": f"""with {_WINDOWS} select product_id, review_count, case review_count % 4
         when 0 then strftime(window_start, '%Y-%m-%dT%H:%M:%SZ')
@@ -302,6 +304,8 @@ ORACLE: dict[str, str] = {
             from accepted a where a.arrival_ts is not null)
         select f.* from fetched f join accepted using (id, arrival_ts)""",
     "retain_last_n": f"with {_WINDOWS} select * from windows order by window_start desc, product_id desc limit 100",
+    "retain_last_emitted": f"""with {_CHANGES}, newest as (select * from changes order by emitted_at desc, seq desc limit 100)
+        select *, row_number() over (order by emitted_at, seq)::int as position from newest""",
     "retain_24h": f"""with {_WINDOWS} select * from windows
         where window_start >= (select max(window_start) from windows) - interval 24 hours""",
     "recent_windows": f"""with {_WINDOWS} select * from windows

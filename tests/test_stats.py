@@ -113,3 +113,10 @@ def test_backlog_joins_distinct_ids(spark):
     products = spark.createDataFrame([("a",), ("b",), ("c",)], "product_id string")
     taken = spark.createDataFrame([("a",)] * 100 + [("z",)], "product_id string")
     assert sorted(r[0] for r in stats.product_backlog(products, taken).collect()) == ["b", "c"]
+
+
+def test_moving_rate_refuses_a_span_between_steps(spark):
+    empty = spark.createDataFrame([], "arrival_ts timestamp")
+    with pytest.raises(ValueError):
+        stats.moving_rate(empty, span_s=5, step_s=2)
+    assert stats.moving_rate(empty, span_s=6, step_s=2).count() == 0

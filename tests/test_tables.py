@@ -62,6 +62,15 @@ def test_updates_are_flagged_per_window(spark):
     assert [r.is_update for r in got] == [True, False]
 
 
+def test_emissions_are_kept_in_the_order_of_arrival(spark):
+    """An old window that is corrected late counts as new; equal instants go by number."""
+    df = spark.createDataFrame([(1, "10:00", 1), (2, "10:05", 2), (1, "10:05", 3), (0, "10:04", 9)],
+                               "w int, emitted_at string, seq int")
+    kept = tables.retain_last_emitted(df, 3).orderBy("position").collect()
+    assert [(r.w, r.seq, r.position) for r in kept] == [(0, 9, 1), (2, 2, 2), (1, 3, 3)]
+    assert tables.retain_last_emitted(df.limit(0), 3).count() == 0
+
+
 def test_retention_by_count_and_age(spark):
     df = rows(spark, [("a", f"2024-01-0{d}", d, d) for d in range(1, 10)])
     assert [r.v for r in tables.retain_last(df, 5, ["v"]).collect()] == [5, 6, 7, 8, 9]
