@@ -32,17 +32,18 @@ class ChunkIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, chunks: list[str], words: list[int]) -> list[np.ndarray]:
+    def _plain(self, chunks: list[str], words: list[int]) -> list[bytes]:
         """Chunks of known numbers of words, encoded as one text and cut at the ends of words."""
         ids = self._ids([" ".join(chunks)])[0]
-        ends = np.flatnonzero(self.ends[ids]) + 1
+        ends = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
         last = np.cumsum(words)
         if len(ends) != last[-1]:
             return self._ids(chunks)
-        return np.split(ids, ends[last[:-1] - 1])
+        cuts = [*(4 * ends[last[:-1] - 1]).tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def _learn(self, chunks: set[bytes]) -> None:
         if len(self.young) > self.limit:
@@ -59,10 +60,10 @@ class ChunkIds:
                     other.append((c, text))
         for at in range(0, len(plain), 500):
             keys, texts, words = zip(*plain[at:at + 500])
-            self.young.update((c, i.tobytes()) for c, i in zip(keys, self._plain(list(texts), list(words))))
+            self.young.update(zip(keys, self._plain(list(texts), list(words))))
         for at in range(0, len(other), 500):
             keys, texts = zip(*other[at:at + 500])
-            self.young.update((c, i.tobytes()) for c, i in zip(keys, self._ids(list(texts))))
+            self.young.update(zip(keys, self._ids(list(texts))))
 
     def encode(self, texts: list[bytes], group: int = 200) -> Iterator[np.ndarray]:
         """An array of ids for each text."""
