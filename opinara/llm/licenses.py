@@ -46,7 +46,9 @@ TEMPLATES = {
     "mpl-2.0-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "public-domain": "this is free and unencumbered software released into the public domain",
 }
-WIDTH = 1.5
+#: Words in a block per word of the template. Published notices spread a template's words: the Apache header puts a web
+#: address between them (51 words for 29), a copyright line puts years and a holder (14 words for 4).
+WIDTH = 3.5
 #: Bytes to words: A-Z becomes a-z, other ASCII signs separate, bytes of other characters belong to words.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 

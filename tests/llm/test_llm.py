@@ -290,6 +290,41 @@ def test_template_scan_equals_brute_force(spark):
         assert (got[i].first_word, got[i].last_word) == ((base[0][0], base[-1][0]) if base else (None, None))
 
 
+PUBLISHED = {
+    "apache-2.0-terms": """Copyright 2024 Example Authors
+
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+        License. You may obtain a copy of the License at
+
+            http://www.apache.org/licenses/LICENSE-2.0
+
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+        "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "bsd-terms": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice.""",
+    "all-rights-reserved": "Copyright (c) 1990, 1993 The Regents of the University of California. All rights reserved.",
+    "gpl-terms": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version.""",
+    "isc-terms": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "mit-terms": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software""",
+    "mpl-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+        was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "cc-long-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "public-domain": "This is free and unencumbered software released into the public domain.",
+}
+
+
+def test_published_notices_are_found_at_the_threshold_of_op4(spark):
+    rows = [(i, "Some prose before. " + text + " And some after.") for i, text in enumerate(PUBLISHED.values())]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [label for i, label in enumerate(PUBLISHED) if label not in got[i]] == []
+
+
 def test_fingerprints_add_up_in_any_order():
     memo, of = WordHashes(), fingerprints.Fingerprint.of
     parts = [b"one two three four", b"five", b"six seven eight", b"one two three four"]
