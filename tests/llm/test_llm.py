@@ -325,6 +325,39 @@ def test_published_notices_are_found_at_the_threshold_of_op4(spark):
     assert [label for i, label in enumerate(PUBLISHED) if label not in got[i]] == []
 
 
+def test_every_notice_of_a_text_is_a_block(spark):
+    notice, filler = PUBLISHED["apache-2.0-terms"], "foo bar baz " * 40
+    docs = spark.createDataFrame([(1, filler + notice + filler + notice + filler + PUBLISHED["isc-terms"]), (2, filler), (3, None)],
+                                 "doc_id long, text string")
+    rows = sorted(licenses.blocks(docs).collect(), key=lambda r: r.start)
+    assert [(r.label, r.containment) for r in rows if r.label in PUBLISHED] == [
+        ("apache-2.0-terms", 1.0), ("apache-2.0-terms", 1.0), ("isc-terms", 1.0)]
+    words = licenses.words_of(docs.where("doc_id = 1").first().text.encode())
+    for r in rows:
+        assert {w.encode() for w in licenses.TEMPLATES[r.label].split()} <= set(words[r.start:r.end])
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert (got[1].n_blocks, got[1].first_block, got[1].last_block) == (len(rows), rows[0].start, rows[-1].start)
+    assert got[1].blocks_sha256 == licenses.digest_of([(r.label, r.start, r.end, r.containment) for r in rows])
+    assert got[2].n_blocks == got[3].n_blocks == 0 and got[3].first_block is None
+
+
+def test_blocks_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(3000):
+        size, width = rng.randint(1, 5), rng.randint(5, 9)
+        need = rng.randint(1, size)
+        words = [rng.choice("abcdexyz").encode() for _ in range(rng.randint(0, 30))]
+        template = {c.encode() for c in "abcde"[:size]}
+        got = list(licenses._blocks(words, [i for i, w in enumerate(words) if w in template], need, width))
+        share = lambda i, j: len(template & set(words[i:j]))
+        most = [0] * (len(words) + 1)  # most blocks side by side in the first words
+        for j in range(1, len(words) + 1):
+            most[j] = max([most[j - 1]] + [most[i] + 1 for i in range(max(0, j - width), j) if share(i, j) >= need])
+        assert len(got) == most[-1]
+        assert all(need <= n == share(i, j) and j - i <= width for i, j, n in got)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+
+
 def test_fingerprints_add_up_in_any_order():
     memo, of = WordHashes(), fingerprints.Fingerprint.of
     parts = [b"one two three four", b"five", b"six seven eight", b"one two three four"]
