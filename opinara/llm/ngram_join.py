@@ -13,7 +13,7 @@
 A list of m members, all alike, has m * m / 2 links. They are not listed: a list of over SHORT_LIST members gives at
 most m - 1 pairs, which connect what passed its filters. If some of these pairs turn out to be too different, a second round gives every
 pair that passed the filters and is not connected yet. So components are exact, and no link between different
-components is left out.
+components is left out. The number of links of each document, if asked for, comes from all pairs within each component.
 """
 
 from __future__ import annotations
@@ -34,6 +34,10 @@ from opinara.llm.shingles import distinct, shingle_set
 BUCKET_BITS = 20
 #: A prefix list beyond this many members is worked on as pairs of blocks, each by another task.
 LIST_BLOCK = 16_384
+#: Classes of a component are compared in blocks of so many, all pairs of two blocks at once.
+LINK_BLOCK = 256
+#: So many different shingles are looked at together there.
+LINK_COLUMNS = 4096
 #: Lists of up to so many members are worked on together, and give every pair that passes.
 SHORT_LIST = 16
 
@@ -241,14 +245,75 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, linked boolean")
 
 
-def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Common shingles of every set of `x` with every set of `y`."""
+    out = np.zeros((len(x), len(y)), np.int64)
+    keys = [np.concatenate(s) if s else np.zeros(0, np.uint64) for s in (x, y)]
+    rows = [np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (x, y)]
+    both = np.intersect1d(distinct(keys[0]), distinct(keys[1]), assume_unique=True)
+    if not len(both):
+        return out
+    held = []
+    for k, r in zip(keys, rows):
+        at = np.minimum(np.searchsorted(both, k), len(both) - 1)
+        hit = both[at] == k
+        order = np.argsort(at[hit], kind="stable")
+        held.append((at[hit][order], r[hit][order]))
+    for start in range(0, len(both), LINK_COLUMNS):
+        parts = []
+        for (at, r), n in zip(held, out.shape):
+            lo, hi = np.searchsorted(at, (start, start + LINK_COLUMNS))
+            has = np.zeros((n, min(LINK_COLUMNS, len(both) - start)), np.float32)
+            has[r[lo:hi], at[lo:hi] - start] = 1
+            parts.append(has)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def link_counts(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(sid, links): how many documents of other classes each class is linked to.
+
+    groups: sid, component, docs (documents of the class); texts: sid, text. Linked classes are in one component, so
+    within each all pairs of classes are compared on their full sets, in pairs of blocks that go to different tasks. A
+    task sends one number per class; pairs are never listed. The comparisons of a component grow with its square.
+    """
+    sizes = groups.groupBy("component").agg(F.count("*").alias("c")).where("c > 1")
+    blocks = F.ceil(F.col("c") / LINK_BLOCK).cast("int")
+    dealt = (groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
+             .join(texts, "sid").select(F.col("component").alias("key"), "p", "q", "block", "sid", "docs", "text"))
+
+    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        first, second = (table["block"].to_numpy() == table[c].to_numpy() for c in ("p", "q"))
+        sid, docs = table["sid"].to_numpy(), table["docs"].to_numpy().astype(np.int64)
+        sets = [shingle_set(t, words) for t in table["text"].to_pylist()]
+        n = np.array([len(s) for s in sets])
+        a, b = np.flatnonzero(first), np.flatnonzero(second)
+        both = _overlaps([sets[i] for i in a], [sets[i] for i in b])
+        linked = (100 * both >= percent * (n[a][:, None] + n[b][None, :] - both)) & (sid[a][:, None] != sid[b][None, :])
+        yield pa.RecordBatch.from_arrays([pa.array(sid[a]), pa.array(linked @ docs[b])], ["sid", "links"])
+        if len(table) and not first[b].any():  # two different blocks
+            yield pa.RecordBatch.from_arrays([pa.array(sid[b]), pa.array(docs[a] @ linked)], ["sid", "links"])
+
+    def count(parts):
+        for table, starts in _whole_lists(parts):
+            for lo, hi in zip(starts, np.append(starts[1:], len(table))):
+                yield from compare(table.slice(lo, hi - lo))
+
+    return (dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+            .mapInArrow(count, "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links")))
+
+
+def near_duplicates(docs: DataFrame, words: int, percent: int, count_links: bool = False) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of `percent` / 100 or more.
 
     docs: doc_id, text; other columns are ignored. Returns doc_id, n_shingles, class_id (smallest doc_id with
     the same set) and component_id (smallest doc_id reachable by links), one row per row of `docs`.
 
     A text without words (or null) has an empty set and is alone; repeated rows give repeated results; equal sets are
-    one class; a row without doc_id gets its n_shingles, null ids, and links nothing. Rows that repeat a doc_id
+    one class; count_links adds n_links, the number of other rows with a doc_id that a row is linked to, equal sets
+    included (0 for an empty set or without doc_id); a row without doc_id gets its n_shingles, null ids, and links nothing. Rows that repeat a doc_id
     with another text link by each text; all texts of one doc_id should then be read as one document. An empty
     table gives an empty result.
     """
@@ -282,10 +347,19 @@ def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .withColumn("component", F.coalesce("component", "sid"))
     smallest = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     by_digest = named.join(smallest, "component").select("digest", "class_id", "component_id")
+    links = []
+    if count_links:
+        docs_of = whole.groupBy("digest").agg(F.count("*").alias("docs"))
+        linked = found.withColumnRenamed("node", "sid").join(classes.select("sid", "digest"), "sid").join(docs_of, "digest")
+        counted = link_counts(linked.select("sid", "component", "docs"), bodies, words, percent)
+        per_class = (docs_of.join(classes.select("sid", "digest").join(counted, "sid"), "digest", "left")
+                     .select("digest", (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+        by_digest = by_digest.join(per_class, "digest")
+        links = [F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")]
     return (signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
             .join(by_digest, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), *links))
 
 
 def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:

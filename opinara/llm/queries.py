@@ -64,6 +64,35 @@ ORACLE["op1_ngram_jaccard_join"] = """
     select doc_id, n as n_shingles, min(r) as component_id from reach join sizes using (doc_id) group by 1, 2"""
 
 
+@query
+def op1_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words=3, percent=90, count_links=True)
+
+
+ORACLE["op1_ngram_jaccard_links"] = """
+    with recursive words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    sets as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+               else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s
+        from words),
+    shingles as (select doc_id, unnest(s) as g from sets),
+    sizes as (select doc_id, len(s) as n from sets),
+    common as (select x.doc_id as a, y.doc_id as b, count(*) as c from shingles x join shingles y
+             on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
+    links as (select a, b, c = p.n and c = q.n as equal from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+              where 100 * c >= 90 * (p.n + q.n - c)),
+    counts as (select a as doc_id, count(*) as n_links, min(b) filter (where equal) as first from links group by 1),
+    reach(doc_id, r) as (
+        select doc_id, doc_id from documents
+        union select l.b, reach.r from reach join links l on l.a = reach.doc_id),
+    parts as (select doc_id, min(r) as component_id from reach group by 1)
+    select doc_id, n as n_shingles, least(doc_id, coalesce(first, doc_id)) as class_id, component_id,
+           coalesce(n_links, 0) as n_links
+    from parts join sizes using (doc_id) left join counts using (doc_id)"""
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(documents(spark, sf_dir)).drop("file", "row")

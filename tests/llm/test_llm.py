@@ -130,6 +130,24 @@ def test_one_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in rows} == brute_components(texts, 3, 90)[0]
 
 
+@pytest.mark.parametrize("block, columns", [(256, 4096), (7, 50)])
+def test_links_are_counted_as_brute_force_does(spark, monkeypatch, block, columns):
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    monkeypatch.setattr(ngram_join, "LINK_COLUMNS", columns)
+    texts = near_copies(4, groups=4, size=60)
+    texts |= {1000 + i: t for i, t in list(texts.items())[::5]} | {2000: "", 2001: None, 2002: "alone here"}
+    sets = {i: {tuple(w[j:j + 3]) for j in range(max(1, len(w) - 2))} if (w := (t or "").split()) else set() for i, t in texts.items()}
+    expected = Counter()
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            expected.update((a, b))
+    rows = ngram_join.near_duplicates(spark.createDataFrame([*texts.items(), (None, "alone here")], "doc_id long, text string"), 3, 80, True)
+    got = {r.doc_id: r.n_links for r in rows.collect()}
+    assert max(expected.values()) > ngram_join.SHORT_LIST
+    assert got == {i: expected[i] for i in texts} | {None: 0}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r.node: r.component for r in components.components(edges).collect()}
