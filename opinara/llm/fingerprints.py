@@ -4,7 +4,7 @@ A paragraph is a line that is not empty. Its vector has two parts:
 
 * identity: 32 numbers of 64 bits, drawn from a hash of the paragraph, added modulo 2**64. Two texts have the same sum
   only if they have the same paragraphs as often, in any order;
-* content: 256 counters modulo 2**16. Every run of three words adds +1 or -1 to one of them, both by hash. The cosine of
+* content: 256 counters modulo 2**32, more than a text of 2 GB has runs of words. Every run of three words adds +1 or -1 to one of them, both by hash. The cosine of
   two such sums estimates how much text is shared, also where the paragraphs themselves differ a little.
 
 Both sums are homomorphic: the fingerprint of a text is that of its parts added, in any order, and removing a paragraph
@@ -33,7 +33,7 @@ class Fingerprint:
 
     def __init__(self, identity: np.ndarray | None = None, content: np.ndarray | None = None):
         self.identity = np.zeros(LANES, np.uint64) if identity is None else identity
-        self.content = np.zeros(CONTENT, np.uint16) if content is None else content
+        self.content = np.zeros(CONTENT, np.uint32) if content is None else content
 
     @classmethod
     def of(cls, text: bytes, memo: WordHashes) -> Fingerprint:
@@ -49,13 +49,13 @@ class Fingerprint:
         return Fingerprint(self.identity - other.identity, self.content - other.content)
 
     def __str__(self) -> str:
-        return self.identity.astype("<u8").tobytes().hex() + self.content.astype("<u2").tobytes().hex()
+        return self.identity.astype("<u8").tobytes().hex() + self.content.astype("<u4").tobytes().hex()
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal fingerprints; else the cosine of the content counters, from 0 to 1."""
         if np.array_equal(self.identity, other.identity) and np.array_equal(self.content, other.content):
             return 1.0
-        a, b = (x.content.view(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.content.view(np.int32).astype(np.float64) for x in (self, other))
         size = float(np.sqrt((a @ a) * (b @ b)))
         return min(1.0, max(0.0, float(a @ b) / size)) if size else 0.0
 
@@ -63,7 +63,7 @@ class Fingerprint:
 def _content(lines: list[bytes], memo: WordHashes) -> np.ndarray:
     words = ((b" " + EDGE + b" ").join([b"", *lines, b""])).split()
     if len(words) < 3:
-        return np.zeros(CONTENT, np.uint16)
+        return np.zeros(CONTENT, np.uint32)
     h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     edge = h == np.uint64(memo[EDGE])
     one, two, three = h[:-2], h[1:-1], h[2:]
@@ -71,7 +71,7 @@ def _content(lines: list[bytes], memo: WordHashes) -> np.ndarray:
     runs = mixed((one * np.uint64(3) + two) * np.uint64(0x9E3779B97F4A7C15) + three)[inside]
     lane = (runs % np.uint64(CONTENT)).astype(np.int64)
     sign = np.where(runs >> np.uint64(63), 1, -1)
-    return np.bincount(lane, sign, CONTENT).astype(np.int64).astype(np.uint16)
+    return np.bincount(lane, sign, CONTENT).astype(np.int64).astype(np.uint32)
 
 
 def edited(text: str, following: str) -> str:

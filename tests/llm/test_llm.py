@@ -385,6 +385,15 @@ def test_fingerprints_add_up_in_any_order():
     assert str(whole) != str(of(b"\n".join(parts[:3]), memo)) and whole.likeness(whole) == 1.0
 
 
+def test_likeness_of_texts_with_very_many_equal_runs():
+    memo, of, rng = WordHashes(), fingerprints.Fingerprint.of, random.Random(7)
+    other = " ".join(f"w{rng.randrange(5000)}" for _ in range(100_000))
+    for n in (20_000, 50_000, 70_000, 200_000):
+        text = "spam " * n
+        changed = fingerprints.edited(text, other)
+        assert 0.9 < of(text.encode(), memo).likeness(of(changed.encode(), memo)) <= 1.0
+
+
 def test_edited_texts_follow_descending_ids(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").toPandas().sort_values("doc_id", ascending=False)
     texts = docs.text.tolist()
