@@ -426,6 +426,16 @@ def test_pipeline_keeps_one_of_each_and_all_that_is_clean(spark, sf_small):
     assert set(packed.doc_id) == set(apart.doc_id)
 
 
+def test_short_documents_of_a_learnt_language_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    short = docs.where("length(text) between 4 and 60 and lang is not null").cache()
+    known = queries.dictionaries(docs)
+    for some in (short, short.where(queries.fold(4) == 2)):  # the second: not learnt from
+        assert language.accepted(some, known, corpus_pipeline.LEAST_MARGIN).count() == some.count() > 0
+    other = spark.createDataFrame([(1, "中文字"), (2, "1 2 3"), (3, None)], "doc_id long, text string")
+    assert language.accepted(other, known, corpus_pipeline.LEAST_MARGIN).count() == 0
+
+
 def test_a_run_of_common_shingles_gives_a_pair_once():
     def found(before):
         rows = {"sid": [1, 2] * 3, "n": [50] * 6, "pos": [0, 0, 1, 1, 2, 2], "before": before, "comp": [1, 2] * 3,
