@@ -3,7 +3,7 @@
 Documents longer than a sequence are cut into full pieces and a rest; full pieces are sequences of their own. How
 the rests are combined depends only on how many there are of each length, a table of at most `capacity` rows
 whatever the input has. The plan is made on that table: combinations that fill a sequence exactly are found by
-looking up the complement of a length among single lengths, sums of pairs and sums of triples, and each is consumed
+looking up the complement of a length among single lengths, sums of pairs, and pairs beside a third, and each is consumed
 as often as the counts allow. What is left over is placed best fit, longest first.
 
 The plan says which numbers of which length go to which sequences. Rows get their number within their length in
@@ -31,8 +31,9 @@ Use = tuple[int, tuple[int, ...]]
 def exact_fills(counts: dict[int, int], capacity: int) -> list[Use]:
     """Consume combinations of two, three and four lengths that sum to `capacity`, under the counts.
 
-    The longest length looks for its complement: a single length, then a pair, then a triple. The pair sums are
-    indexed once over the lengths there were, and entries whose counts are used up are passed over.
+    The longest length looks for its complement: a single length, then a pair, then a triple: a length of a loop over
+    all and a pair. The pair sums are indexed once over the lengths there were; entries whose counts are used up are
+    taken out, those that cannot be used now are stepped over.
     """
     uses: list[Use] = []
     left = dict(counts)
@@ -61,15 +62,16 @@ def exact_fills(counts: dict[int, int], capacity: int) -> list[Use]:
         """Use pairs that fill the gap beside `first` until it or they are used up."""
         if gap < 2:
             return False
-        got = False
-        while pairs[gap] and left[first[0]] > 0:
-            a, b = pairs[gap][-1]
+        got, at = False, len(pairs[gap]) - 1
+        while at >= 0 and all(left[x] > 0 for x in first):
+            a, b = pairs[gap][at]
             if left[a] <= 0 or left[b] <= 0:
-                pairs[gap].pop()
-                continue
-            if not take((*first, a, b)):  # needs two of a length of which one is left
-                break
-            got = True
+                del pairs[gap][at]
+                at -= 1
+            elif take((*first, a, b)):
+                got = True
+            else:  # needs two of a length of which one is left; another pair of the same sum may do
+                at -= 1
         return got
 
     for a in alive:

@@ -239,6 +239,10 @@ def test_packing_plan_uses_every_piece_once():
         assert used == Counter(counts)
 
 
+def test_a_pair_that_cannot_be_used_does_not_hide_others():
+    assert packing.exact_fills({60: 1, 25: 1, 20: 1, 15: 1}, 100) == [(1, (60, 25, 15))]
+
+
 # --- models -------------------------------------------------------------------------------------------------------
 
 def test_models_on_held_out_documents(spark):
