@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, exact_dedup, fingerprints, language, licenses, packing, quality, token_counts, toxicity
+from opinara.llm import (alignment, byte_bpe, exact_dedup, fingerprints, language, licenses, packing, quality, search, token_counts,
+                         toxicity, warc)
 from opinara.llm.common import documents
 from opinara.llm.ngram_join import near_duplicates
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,3 +152,49 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
+ORACLE["op11_ranked_search"] = """
+    with docs as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+    totals as (select count(*) filter (len(w) > 0)::bigint as n_docs, sum(len(w))::bigint as n_terms from docs),
+    asked as (
+        select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as t from benchmark),
+    uses as (select item_id, t, count(*) as times from asked group by 1, 2),
+    spread as (select doc_id, len(w) as n, unnest(w) as t from docs),
+    counts as (select doc_id, n, t, count(*) as tf from spread group by 1, 2, 3),
+    weights as (
+        select t, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+        from counts, totals group by t, n_docs),
+    scored as (
+        select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms)))))::bigint as score
+        from uses join counts using (t) join weights using (t), totals group by 1, 2),
+    ranked as (
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+        from scored where score > 0)
+    select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20"""
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(documents(spark, sf_dir), BYTE_BPE_JSON, PIECE_BPE)
+
+
+@query
+def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+ORACLE["op13_warc_archive"] = """
+    with sizes as (select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as n from pages),
+    heads as (select *, min(page_id) over (partition by body) as head from sizes)
+    select page_id, n::bigint as payload_bytes, sha256(body) as payload_digest,
+           case when n >= 100 and page_id <> head then 'revisit' else 'response' end as record_type,
+           case when n >= 100 and page_id <> head then head end as refers_to from heads"""
