@@ -1,10 +1,10 @@
 """Two tokenizers over the same bytes: where their tokens meet, which overlap, and which pairs are usual in a corpus.
 
-A text is cut before every run of ASCII white space that follows something else; neither tokenizer has a token across such a
+A text is cut before every run of spaces, tabs and line feeds that follows something else; neither tokenizer has a token across such a
 cut (the vocabulary is checked for that), so a text is the sequence of its stretches. Each distinct stretch is encoded and
-aligned once per worker, many at a time: all tokens of both kinds as byte intervals, sorted by start; the
-running maximum of their ends breaks them into groups where a start reaches it; inside a group, the
-B tokens that an A token overlaps are a range. Stretches are kept in two generations bounded by bytes.
+aligned once per worker, many in a row: all tokens of both kinds as byte intervals, sorted by start; the
+running maximum of their ends breaks them into groups where a start reaches it; the B tokens that an A token
+overlaps are a range. What a worker keeps is bounded by bytes.
 
 How many documents hold an id pair is counted per task, then by pair. This table of pairs is read by the second pass in blocks
 of counted size, and each document's sums over its pairs are added up block by block.
@@ -14,26 +14,30 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import stored, texts_of
 
-#: A stretch: white space of ASCII and what follows it.
-STRETCHES = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+").findall
-#: White space that the tokenizers may join with that of ASCII: such a text is one stretch.
-OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+#: A stretch: spaces, tabs and line feeds, and what follows them.
+STRETCHES = re.compile(rb"[ \t\n]*[^ \t\n]+|[ \t\n]+").findall
+#: White space that the tokenizers may join with these, or with letters: a text that has any is one stretch.
+OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, [0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                                                    0x202F, 0x205F, 0x3000]))).search
-#: Stretches beyond this are encoded anew each time.
-LONGEST_KEPT = 64
-#: A worker keeps so many bytes of stretches, counted with their results, in each of two generations.
-KEPT_BYTES = 96 << 20
+#: Stretches are encoded in runs of about so many bytes.
+UNIT_BYTES = 4096
+#: A worker forgets what it knows of stretches when that takes so many bytes.
+KEPT_BYTES = 192 << 20
+#: Documents are worked on in groups of so many, or so many bytes.
+GROUP_TEXTS, GROUP_BYTES = 200, 1 << 20
 #: Counts of pairs leave a task when it holds this many.
 PAIRS_PER_TASK = 1 << 20
 #: The second pass holds so many pairs at once (24 bytes each).
@@ -47,18 +51,6 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Stretch:
-    """One aligned stretch: counts, its groups as text, and per linked id pair how often."""
-
-    __slots__ = ("ok", "n_a", "n_b", "n_groups", "groups", "pairs")
-
-    def __init__(self, ok: bool, n_a: int = 0, n_b: int = 0, n_groups: int = 0, groups: bytes = b"", pairs: np.ndarray = None):
-        self.ok, self.n_a, self.n_b, self.n_groups, self.groups, self.pairs = ok, n_a, n_b, n_groups, groups, pairs
-
-    def __len__(self) -> int:
-        return 400 + len(self.groups) + 8 * (0 if self.pairs is None else len(self.pairs))
-
-
 def coalesced(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Group number of each interval, intervals sorted by start: a group ends where a start reaches the running maximum of ends."""
     if not len(start):
@@ -75,7 +67,11 @@ def overlapping(a_start, a_end, b_start, b_end) -> tuple[np.ndarray, np.ndarray]
 
 
 class Aligner:
-    """Aligns texts under a byte-level BPE (tokenizers, A) and a piece model with byte fallback (sentencepiece, B)."""
+    """Aligns texts under a byte-level BPE (tokenizers, A) and a piece model with byte fallback (sentencepiece, B).
+
+    What is known of a stretch stands at its number: ok, tokens of A and B, groups, place and number of its linked pairs in
+    `pairs`, and its groups as text. All is forgotten once it takes `kept_bytes`.
+    """
 
     def __init__(self, path_a: str, path_b: str, kept_bytes: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each Spark task
@@ -92,97 +88,137 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
                         for p in pieces]
-        self.space = self.b.piece_to_id("▁")
-        #: No token goes over a cut, so stretches may be encoded one by one.
-        inner = re.compile(rb"[^ \t\n\r\x0b\x0c][ \t\n\r\x0b\x0c]").search
-        self.cuts = not any(map(inner, self.a_bytes)) and not any(map(inner, self.b_bytes))
+        #: No token goes over a cut, so stretches may be encoded one by one, or many in a row.
+        over = re.compile(rb"[^ \t\n][ \t\n]").search
+        self.cuts = all(OTHER_SPACE(x.decode("utf-8", "replace")) for x in filter(over, self.a_bytes + self.b_bytes))
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
-        self.kept_bytes, self.size = kept_bytes, 0
-        self.young: dict[bytes, Stretch] = {}
-        self.old: dict[bytes, Stretch] = {}
-
-    def _pieces(self, stretches: list[str]) -> list[list[int]]:
-        """B's ids. The model puts a space in front: it takes the place of a stretch's own, or is dropped again."""
-        ids = self.b.encode([s[1:] if s.startswith(" ") else s for s in stretches], num_threads=1)
-        return [x if s.startswith(" ") else x[1:] if x[:1] == [self.space] else None for s, x in zip(stretches, ids)]
-
-    def _aligned(self, stretches: list[bytes]) -> list[Stretch]:
-        texts = [s.decode("utf-8", "replace") for s in stretches]
-        of_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        of_b = self._pieces(texts)
-        ok = [b is not None and b"".join(map(self.a_bytes.__getitem__, a)) == s == b"".join(map(self.b_bytes.__getitem__, b))
-              for s, a, b in zip(stretches, of_a, of_b)]
-        good = [i for i, x in enumerate(ok) if x]
-        out = [Stretch(False)] * len(stretches)
-        if not good:
-            return out
-        ids, starts, ends, owner = [], [], [], []
-        for of, size in ((of_a, self.a_size), (of_b, self.b_size)):
-            n = [len(of[i]) for i in good]
-            flat = np.fromiter((t for i in good for t in of[i]), np.int64, sum(n))
-            end = np.cumsum(size[flat])  # stretches lie one after the other, so no group goes over two
-            ids.append(flat)
-            ends.append(end)
-            starts.append(end - size[flat])
-            owner.append(np.repeat(np.arange(len(good)), n))
-        kind = np.repeat([0, 1], [len(x) for x in ids])
-        flat, start, end, own = (np.concatenate(x) for x in (ids, starts, ends, owner))
+        self.kept_bytes = kept_bytes
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.groups: list[bytes] = []
+        self.facts = np.zeros((0, 6), np.int64)
+        self.pairs = np.zeros(0, np.int64)
+        self.size = 0
+
+    def _pieces(self, text: str) -> list[int] | None:
+        """B's ids. The model puts a space in front: it takes the place of the text's own, or goes with a helper word."""
+        if text.startswith(" ") and len(text) > 1:
+            return self.b.encode(text[1:])
+        ids, size = self.b.encode("a" + text), 0
+        while size < 2 and ids:
+            size += len(self.b_bytes[ids.pop(0)])
+        return ids if size == 2 else None
+
+    def _encoded(self, units: list[list[bytes]]) -> Iterator[tuple[list[bytes], list[int] | None, list[int] | None]]:
+        """(stretches, A ids, B ids) of runs of stretches; a stretch that is not given back byte by byte comes alone, without ids."""
+        while units:
+            whole = [b"".join(u) for u in units]
+            texts = [w.decode("utf-8", "replace") for w in whole]
+            again = []
+            for u, w, t, e in zip(units, whole, texts, self.a.encode_batch_fast(texts, add_special_tokens=False)):
+                a, b = e.ids, self._pieces(t)
+                if b is not None and b"".join(map(self.a_bytes.__getitem__, a)) == w == b"".join(map(self.b_bytes.__getitem__, b)):
+                    yield u, a, b
+                elif len(u) == 1:
+                    yield u, None, None
+                else:
+                    again += [u[:len(u) // 2], u[len(u) // 2:]]
+            units = again
+
+    def _learn(self, stretches: list[bytes], alone: set[bytes]) -> None:
+        """Align stretches that are not known yet. Those in `alone` and white space by itself are not encoded in a row with others."""
+        units, size = [[]], 0
+        for s in stretches:
+            if s in alone or s.isspace():
+                units.insert(0, [s])
+            else:
+                units[-1].append(s)
+                size += len(s)
+                if size > UNIT_BYTES:
+                    units.append([])
+                    size = 0
+        good, bad, ids = [], [], ([], [])
+        for u, a, b in self._encoded([u for u in units if u]):
+            if a is None:
+                bad += u
+            else:
+                good += u
+                ids[0].extend(a)
+                ids[1].extend(b)
+        facts, groups, pairs = self._aligned(good, *(np.array(x, np.int64) for x in ids))
+        facts[:, 4] += len(self.pairs)
+        first = len(self.groups)
+        self.numbers.update(zip(good + bad, range(first, first + len(stretches))))
+        self.groups += groups + [b""] * len(bad)
+        self.facts = np.concatenate([self.facts, facts, np.zeros((len(bad), 6), np.int64)])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.size += 300 * len(stretches) + sum(map(len, stretches)) + sum(map(len, groups)) + 8 * len(pairs)
+
+    def _aligned(self, stretches: list[bytes], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Facts, texts of groups and linked pairs of stretches that lie one after the other, so no group goes over two."""
+        n = len(stretches)
+        bounds = np.cumsum([len(s) for s in stretches])
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_start, b_start = a_end - self.a_size[a], b_end - self.b_size[b]
+        ids, start, end = np.concatenate([a, b]), np.concatenate([a_start, b_start]), np.concatenate([a_end, b_end])
+        kind = np.repeat([0, 1], [len(a), len(b)])
         order = np.lexsort((kind, start))
-        group = np.empty(len(flat), np.int64)
+        group = np.empty(len(ids), np.int64)
         group[order] = coalesced(start[order], end[order])
-        i, j = overlapping(starts[0], ends[0], starts[1], ends[1])
-        pairs = ids[0][i] * len(self.b_bytes) + ids[1][j]
-        cuts = np.searchsorted(owner[0][i], np.arange(len(good) + 1))
+        own = np.searchsorted(bounds, end)
+        i, j = overlapping(a_start, a_end, b_start, b_end)
+        links = np.bincount(own[i], minlength=n)
         told = np.lexsort((start, kind, group))
-        text, whose = self._told(flat[told], kind[told], group[told], own[told])
-        places = np.searchsorted(whose, np.arange(len(good) + 1))
-        n_groups = np.bincount(own[told][np.append(True, np.diff(group[told]) > 0)], minlength=len(good))
-        n_a, n_b = (np.bincount(x, minlength=len(good)) for x in owner)
-        for k, at in enumerate(good):
-            out[at] = Stretch(True, int(n_a[k]), int(n_b[k]), int(n_groups[k]),
-                              b"".join(text[places[k]:places[k + 1]])[:-1], pairs[cuts[k]:cuts[k + 1]].copy())
-        return out
-
-    @staticmethod
-    def _told(ids: np.ndarray, kind: np.ndarray, group: np.ndarray, own: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """Each token as decimal id and the sign after it: , within a side, | between the sides, ; after a group."""
-        last = np.append(group[1:] != group[:-1], True)
-        sign = np.where(last, b";", np.where(np.append(kind[1:] != kind[:-1], True), b"|", b","))
-        return [b"%d%s" % x for x in zip(ids.tolist(), sign.tolist())], own
-
-    def _known(self, stretch: bytes) -> Stretch | None:
-        found = self.young.get(stretch)
-        if found is None and (found := self.old.get(stretch)) is not None:
-            self._keep(stretch, found)
-        return found
-
-    def _keep(self, stretch: bytes, found: Stretch) -> None:
-        self.young[stretch] = found
-        self.size += len(stretch) + len(found)
+        ids, kind, group, own = ids[told], kind[told], group[told], own[told]
+        last = np.append(group[1:] != group[:-1], True)[:len(ids)]
+        sign = np.where(last, b";", np.where(np.append(kind[1:] != kind[:-1], True)[:len(ids)], b"|", b","))
+        words = [b"%d%s" % x for x in zip(ids.tolist(), sign.tolist())]
+        text = b"".join(words)
+        cuts = np.cumsum(np.bincount(own, [len(w) for w in words], n)).astype(np.int64).tolist()
+        groups = [text[lo:hi - 1] for lo, hi in zip([0, *cuts], cuts)]  # without the last sign
+        facts = np.stack([np.ones(n, np.int64), np.bincount(own[kind == 0], minlength=n), np.bincount(own[kind == 1], minlength=n),
+                          np.bincount(own[last], minlength=n), np.cumsum(links) - links, links], axis=1)
+        return facts, groups, a[i] * len(self.b_bytes) + b[j]
+
+    def align(self, texts: list[bytes]) -> tuple[np.ndarray, list[str], list[bytes], list[bytes]]:
+        """For texts (space + text is aligned; an empty text has no tokens): n_a, n_b, n_groups and n_links in columns, the
+        digests of the groups, the distinct linked pairs as sorted 64-bit numbers and how often each is linked."""
         if self.size > self.kept_bytes:
-            self.old, self.young, self.size = self.young, {}, 0
-
-    def align(self, texts: list[bytes]) -> Iterator[list[Stretch]]:
-        """The stretches of each text, space + text; an empty text has none."""
-        parts = []
+            self._forget()
+        parts, alone = [], set()
         for t in texts:
-            whole = not self.cuts or OTHER_SPACE(t.decode("utf-8", "replace"))
-            parts.append([] if not t else [b" " + t] if whole else STRETCHES(b" " + t))
-        held = {s: k for s in set().union(*parts) if (k := self._known(s)) is not None}
-        new = [s for s in set().union(*parts) if s not in held]
-        at = 0
-        while at < len(new):  # bounded groups
-            upto, size = at, 0
-            while upto < len(new) and (upto == at or (upto - at < 2000 and size + len(new[upto]) <= 1 << 18)):
-                size += len(new[upto])
-                upto += 1
-            for s, found in zip(new[at:upto], self._aligned(new[at:upto])):
-                held[s] = found
-                if len(s) <= LONGEST_KEPT:
-                    self._keep(s, found)
-            at = upto
-        for p in parts:
-            yield [held[s] for s in p]
+            if t and (not self.cuts or OTHER_SPACE(t.decode("utf-8", "replace"))):
+                alone.add(b" " + t)
+                parts.append([b" " + t])
+            else:
+                parts.append(STRETCHES(b" " + t) if t else [])
+        flat = list(itertools.chain.from_iterable(parts))
+        numbers = list(map(self.numbers.get, flat))
+        if None in numbers:
+            self._learn(list(dict.fromkeys(s for s, i in zip(flat, numbers) if i is None)), alone)
+            numbers = list(map(self.numbers.__getitem__, flat))
+        at = np.array(numbers, np.int64)
+        doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        facts = self.facts[at]
+        whole = np.bincount(doc, facts[:, 0] == 0, len(parts)) == 0
+        keep = whole[doc]
+        at, facts, doc = at[keep], facts[keep], doc[keep]
+        sums = np.stack([np.bincount(doc, facts[:, c], len(parts)) for c in (1, 2, 3, 5)]).astype(np.int64)
+        n = facts[:, 5]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(facts[:, 4], n)
+        width = len(self.a_bytes) * len(self.b_bytes)
+        found, times = np.unique(np.repeat(doc, n) * width + self.pairs[place], return_counts=True)
+        ends = np.searchsorted(found, np.arange(len(parts) + 1) * width)
+        pairs, times = (found % width).astype("<i8"), times.astype("<u4")
+        digests, done = [], 0
+        for p, fine in zip(parts, whole):
+            own = numbers[done:done + len(p)]
+            done += len(p)
+            digests.append(hashlib.sha256(b";".join(map(self.groups.__getitem__, own))).hexdigest() if fine and p else "")
+        cut = lambda x: [x[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:])]
+        return sums, digests, cut(pairs), cut(times)
 
 
 @functools.lru_cache(1)
@@ -197,32 +233,24 @@ ALIGNED_DDL = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, gr
                "pairs binary, times binary")
 
 
-def documents_aligned(docs: DataFrame, path_a: str, path_b: str, group: int = 100) -> DataFrame:
+def documents_aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per document the counts, the digest of its groups, and its distinct linked pairs (A id times B's vocabulary plus B id,
     64-bit) with how often each is linked."""
     def align(parts):
         work = aligner(path_a, path_b)
         for batch in parts:
-            for at in range(0, batch.num_rows, group):
-                some = batch.slice(at, group)
-                rows = [_row(*x) for x in zip(some["doc_id"].to_pylist(), work.align(some["text"].to_pylist()))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ALIGNED)], schema=ALIGNED)
+            sizes = pc.binary_length(batch["text"]).to_numpy()
+            at = 0
+            while at < batch.num_rows:  # bounded groups, or one text
+                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:at + GROUP_TEXTS]), GROUP_BYTES, "right")))
+                sums, *columns = work.align(batch["text"].slice(at, n).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(at, n), *map(pa.array, sums),
+                                                  *(pa.array(c, f.type) for c, f in zip(columns, list(ALIGNED)[5:]))], schema=ALIGNED)
+                at += n
 
     return texts_of(docs).mapInArrow(align, ALIGNED_DDL)
 
 
-def _row(doc_id: int | None, found: list[Stretch]) -> tuple:
-    if not found or not all(s.ok for s in found):
-        return doc_id, 0, 0, 0, 0, "", b"", b""
-    links = np.concatenate([s.pairs for s in found])
-    pairs, times = np.unique(links, return_counts=True)
-    digest = hashlib.sha256(found[0].groups)
-    for s in found[1:]:
-        digest.update(b";" + s.groups)
-    return (doc_id, sum(s.n_a for s in found), sum(s.n_b for s in found), sum(s.n_groups for s in found), len(links),
-            digest.hexdigest(), pairs.astype("<i8").tobytes(), times.astype("<u4").tobytes())
-
-
 def pair_counts(aligned: DataFrame, vocabulary_b: int) -> DataFrame:
     """pair, n (documents that hold it linked), best (no other pair of its A id is in more documents)."""
     def count(parts):
