@@ -63,6 +63,20 @@ def anomalies(windows: DataFrame, as_of: datetime | str, recent_s: int = RECENT_
     return anomaly_messages(anomaly_scores(windows, as_of, recent_s), rating_threshold, share_threshold)
 
 
+def check_sums(windows: DataFrame, bucket: Column) -> DataFrame:
+    """Per product and bucket w of window starts: rating sum in hundredths, number of windows, number of negative ones."""
+    hundredths = F.rint(F.col("avg_rating") * 100.0).cast("long")
+    return (_named(windows).groupBy("product_id", bucket.alias("w"))
+            .agg(F.sum(hundredths).alias("h"), F.count("*").alias("c"),
+                 F.count_if(F.col("avg_rating") < NEGATIVE_BELOW).alias("neg")))
+
+
+def check_scores() -> list[Column]:
+    """The scores of a check from the sums of its windows."""
+    return [(F.col("h").cast("double") / F.col("c") / 100.0).alias("mean_rating"), F.col("neg").alias("negative"),
+            F.col("c").alias("windows")]
+
+
 def anomaly_history(windows: DataFrame, recent_s: int = RECENT_S, every_s: int = CHECK_EVERY_S,
                     rating_threshold: float = RATING_THRESHOLD,
                     share_threshold: float = NEGATIVE_SHARE_THRESHOLD) -> DataFrame:
@@ -74,17 +88,13 @@ def anomaly_history(windows: DataFrame, recent_s: int = RECENT_S, every_s: int =
     if every_s > recent_s:
         raise ValueError("checks further apart than the recent stretch would skip windows")
     pane_s = gcd(recent_s, every_s)
-    hundredths = F.rint(F.col("avg_rating") * 100.0).cast("long")
-    panes = (_named(windows).groupBy("product_id", F.window("window_start", f"{pane_s} seconds").alias("w"))
-             .agg(F.sum(hundredths).alias("h"), F.count("*").alias("c"),
-                  F.count_if(F.col("avg_rating") < NEGATIVE_BELOW).alias("neg"))
+    panes = (check_sums(windows, F.window("window_start", f"{pane_s} seconds"))
              .select("product_id", F.col("w.start").alias("pane"), "h", "c", "neg"))
     scores = (hopping_panes(panes, "pane", pane_s, recent_s, every_s)
               .groupBy("product_id", "hop_start")
-              .agg((F.sum("h").cast("double") / F.sum("c") / 100.0).alias("mean_rating"),
-                   F.sum("neg").alias("negative"), F.sum("c").alias("windows"))
+              .agg(*[F.sum(c).alias(c) for c in ("h", "c", "neg")])
               .select("product_id", (F.col("hop_start") + F.make_dt_interval(secs=F.lit(recent_s)))
-                      .alias("check_at"), "mean_rating", "negative", "windows"))
+                      .alias("check_at"), *check_scores()))
     return anomaly_messages(scores, rating_threshold, share_threshold)
 
 

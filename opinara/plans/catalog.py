@@ -15,7 +15,7 @@ from opinara.plans import fixtures as fx
 from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
 from opinara.session import durable, shared_dir
 from opinara.sources import codec, writers
-from opinara.streaming import jobs
+from opinara.streaming import jobs, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -460,14 +460,24 @@ def _dealt(spark: SparkSession, sf: str, *by: str) -> DataFrame:
     return _source(spark, root, placed.schema)
 
 
-def _in_order(spark: SparkSession, reviews: DataFrame, files: int = 5) -> DataFrame:
-    """Reviews as a stream of files in the order of arrival: a file per batch, named by a range of arrival."""
-    root = _fresh(spark)
-    cuts = reviews.select(F.unix_micros("arrival_ts").alias("t")).approxQuantile("t", [i / files for i in range(1, files)], 0.01)
-    stretch = sum((F.unix_micros("arrival_ts") > c).cast("int") for c in cuts)
-    for i in range(files):  # written one after the other, so their times give the order
-        reviews.filter(stretch == i).coalesce(1).write.mode("append").parquet(root)
-    return _source(spark, root, reviews.schema)
+def _fed(spark: SparkSession, rows: DataFrame, ts: str, run: Callable[[DataFrame], None], disorder_s: int = 0,
+         mark: Callable[[T.StructType], DataFrame] | None = None, batches: int = 4) -> None:
+    """Feed rows to a stream in `batches` stretches of time; the stream stops and starts again after each of them.
+
+    The rows are written once, by ranges of their time; the number of files follows from the data. A row may come up to
+    `disorder_s` late: into a later stretch than its time says. `mark` gives rows to add at the end.
+    """
+    root, source = _fresh(spark), _fresh(spark)
+    late_s = F.pmod(F.xxhash64(*[c for c in rows.columns if c in ("id", "product_id", "seq")]), F.lit(max(1, disorder_s)))
+    read_at = F.unix_micros(ts) + 1_000_000 * late_s
+    cuts = rows.select(read_at.alias("t")).approxQuantile("t", [i / batches for i in range(1, batches)], 0.01)
+    placed = rows.withColumn("stretch", sum(((read_at > c).cast("int") for c in cuts), F.lit(0)))
+    placed.hint("rebalance", F.col("stretch")).write.partitionBy("stretch").parquet(root)
+    stored = spark.read.schema(placed.schema).parquet(root)
+    parts = [stored.filter(F.col("stretch") == i).drop("stretch") for i in range(batches)]
+    for part in [*parts, *([mark(rows.schema)] if mark else [])]:
+        part.write.mode("append").parquet(source)
+        run(spark.readStream.schema(rows.schema).parquet(source))
 
 
 def _fresh(spark: SparkSession) -> str:
@@ -572,4 +582,33 @@ def stream_dedup(spark, sf):
 @query
 def stream_dedup_refetched(spark, sf):
     """Ids that are used again after the horizon, over several batches in the order of arrival."""
-    return _accepted(spark, _in_order(spark, fx.reviews_refetched(spark, sf)), 6 * HOUR).select("id", "arrival_ts", "seq", "rating")
+    root, reviews = _fresh(spark), fx.reviews_refetched(spark, sf)
+    _fed(spark, reviews, "arrival_ts",
+         lambda stream: jobs.run_dedup(stream, f"{root}/dedup", f"{root}/state", 6 * HOUR, final=True).awaitTermination())
+    return spark.read.schema(reviews.schema).parquet(f"{root}/dedup/accepted").select("id", "arrival_ts", "seq", "rating")
+
+
+# --- streams with timers ----------------------------------------------------
+
+@query
+def stream_closing(spark, sf):
+    """Windows published when they end and corrected by late reviews; read out of order, with a restart after each batch."""
+    root, reviews = _fresh(spark), fx.reviews(spark, sf).select("product_id", "rating", "likes", "date", "arrival_ts", "seq")
+    newest = reviews.agg(F.max("arrival_ts").alias("at"))
+    _fed(spark, reviews, "arrival_ts",
+         lambda stream: timers.run_closing(stream, f"{root}/log", f"{root}/state", fx.WIDTH_S, fx.LATENESS_S, HOUR, salts=2, final=True).awaitTermination(),
+         disorder_s=HOUR, mark=lambda schema: timers.end_mark(schema, newest, 2 * DAY))
+    return timers.emitted(spark, f"{root}/log", writers.run_of(spark, f"{root}/state"))
+
+
+@query
+def stream_alerts(spark, sf):
+    """Alerts of a stream of windows, with a restart after each batch."""
+    root, seen = _fresh(spark), fx.windows(spark, sf)
+    newest = seen.agg(F.max("window_start").alias("at"))
+    ends = {"product_id": F.lit("(end)"), "window_start": F.col("at") + F.make_dt_interval(days=F.lit(30))}
+    mark = lambda schema: newest.select(*[ends.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    _fed(spark, seen, "window_start",
+         lambda stream: timers.run_alerts(stream, f"{root}/log", f"{root}/state", fx.RECENT_S, fx.CHECK_S, fx.COOLDOWN_S, final=True).awaitTermination(),
+         mark=mark)
+    return timers.logged_alerts(spark, f"{root}/log", writers.run_of(spark, f"{root}/state"))

@@ -357,3 +357,5 @@ ORACLE["tumbling_changelog_split"] = ORACLE["tumbling_changelog"]
 ORACLE["dedup_reviews_by_id"] = ORACLE["dedup_reviews"]
 ORACLE["stream_tumbling_shuffled"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_dedup_refetched"] = ORACLE["dedup_within_horizon"]
+ORACLE["stream_closing"] = ORACLE["tumbling_changelog"]
+ORACLE["stream_alerts"] = ORACLE["alert_cooldown"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -76,15 +77,21 @@ def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, run: str =
      .partitionBy("day", *VERSION).parquet(root))
 
 
+def days_of(rows: DataFrame, ts: str) -> list[date]:
+    """The days that some rows touch; a stray old row adds its day, not all the days since."""
+    return [r[0] for r in rows.select(F.to_date(ts)).distinct().collect() if r[0] is not None]
+
+
 def read_versions(spark: SparkSession, root: str, schema: T.StructType, first_day: date | None = None,
-                  last_day: date | None = None) -> DataFrame:
-    """All versions between two days (or of all days), with day, run and batch_id. No rows if nothing is there yet."""
+                  last_day: date | None = None, days: Iterable[date] | None = None) -> DataFrame:
+    """All versions between two days, of some days, or of all days, with day, run and batch_id. No rows if nothing is there yet."""
     stored = T.StructType([*schema.fields, T.StructField("day", T.DateType()), T.StructField("run", T.StringType()),
                            T.StructField("batch_id", T.LongType())])
     path = root
     if first_day is not None and last_day is not None and first_day <= last_day:
-        days = [str(first_day + timedelta(days=n)) for n in range((last_day - first_day).days + 1)]
-        path = f"{root}/day={{{','.join(days)}}}"
+        days = [first_day + timedelta(days=n) for n in range((last_day - first_day).days + 1)]
+    if days is not None:
+        path = f"{root}/day={{{','.join(sorted(map(str, days)))}}}"
     try:
         versions = spark.read.schema(stored).option("basePath", root).parquet(path)
     except AnalysisException as problem:

@@ -138,14 +138,18 @@ def test_window_table_prunes_days(spark, tmp_path):
 
 
 def test_a_busy_day_is_written_by_several_tasks(spark, tmp_path):
-    root = str(tmp_path / "table")
-    rows = spark.range(2000).select(F.concat(F.lit("p"), "id").alias("product_id"),
-                                    F.lit("2024-01-01").cast("timestamp").alias("window_start"),
-                                    F.lit(1.0).alias("avg_rating"), F.lit(1).cast("long").alias("total_likes"),
-                                    F.lit(1).cast("long").alias("review_count"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these tasks are tiny
+    """A day beyond the advisory size is split; how often follows from its bytes."""
+    root, size = str(tmp_path / "table"), 64 << 10
+    rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("product_id"),
+                                      F.lit("2024-01-01").cast("timestamp").alias("window_start"),
+                                      F.lit(1.0).alias("avg_rating"), F.lit(1).cast("long").alias("total_likes"),
+                                      F.lit(1).cast("long").alias("review_count"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
     try:
         append(rows, root, 0)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(writers.read_versions(spark, root, WINDOW_SERVED).inputFiles()) > 1
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = writers.read_versions(spark, root, WINDOW_SERVED)
+    # Ids of 64 random digits shrink to a half at best, so there are over 40,000 * 32 bytes to write.
+    assert len(stored.inputFiles()) >= 4 and 40_000 * 32 > 4 * size
+    assert stored.count() == 40_000

@@ -1,0 +1,133 @@
+"""Timer streams: the handlers with a stand-in for Spark's state, and the log of emissions batch by batch."""
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from opinara.streaming import timers
+
+SECOND = 1_000_000
+
+
+class Store:
+    """Value and list state of one key, and its timers."""
+
+    def __init__(self):
+        self.kept, self.timers, self.now = {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return Kept(self.kept, name)
+
+    def getListState(self, name, schema):
+        return Kept(self.kept, name)
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.discard(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+class Kept:
+    def __init__(self, kept, name):
+        self.kept, self.name = kept, name
+
+    def get(self):
+        return self.kept.get(self.name, [] if self.name == "late" else None)
+
+    def update(self, value):
+        self.kept[self.name] = value
+
+    put = update
+
+    def appendList(self, rows):
+        self.kept[self.name] = [*self.get(), *rows]
+
+    def clear(self):
+        self.kept.pop(self.name, None)
+
+
+class Runner:
+    """Calls the handlers as Spark does: rows first, then the timers that the watermark has passed."""
+
+    def __init__(self, processor, key):
+        self.store, self.processor, self.key = Store(), processor, key
+        processor.init(self.store)
+
+    def batch(self, rows, passed_s):
+        out = []
+        if len(rows):
+            out += [p for p in self.processor.handleInputRows(self.key, iter([rows]), self.store)]
+        self.store.now = passed_s * 1000
+        while due := sorted(t for t in self.store.timers if t < self.store.now):
+            out += [p for p in self.processor.handleExpiredTimer(self.key, self.store, None)]
+            self.store.timers.discard(due[0])
+        return [tuple(r) for p in out for r in p.itertuples(index=False)]
+
+
+def reviews(*rows):
+    return pd.DataFrame([(at * SECOND, seq, late, r, 1) for at, seq, late, r in rows], columns=["at_us", "seq", "is_late", "r", "l"])
+
+
+def test_a_window_closes_once_and_late_reviews_follow_in_time():
+    run = Runner(timers.HoldUntilDue(60), ("p", 0, 0))
+    assert run.batch(reviews((10, 1, False, 4), (60, 2, False, 2)), 60) == []  # another may still arrive at the very end
+    assert run.batch(reviews((30, 0, False, 3), (61, 5, True, 1)), 61) == [("p", 0, True, 60 * SECOND, 2, 9, 3, 3)]
+    assert run.batch(reviews((90, 7, True, 5), (70, 6, True, 2)), 80) == [
+        ("p", 0, False, 61 * SECOND, 5, 1, 1, 1), ("p", 0, False, 70 * SECOND, 6, 2, 1, 1)]
+    assert run.batch(reviews(), 91) == [("p", 0, False, 90 * SECOND, 7, 5, 1, 1)]
+    assert not run.store.kept and not run.store.timers  # nothing is left behind
+
+
+def test_a_window_with_late_reviews_only_never_closes():
+    run = Runner(timers.HoldUntilDue(60), ("p", 0, 0))
+    assert run.batch(reviews((65, 1, True, 4)), 500) == [("p", 0, False, 65 * SECOND, 1, 4, 1, 1)]
+
+
+def hits(*checks):
+    return pd.DataFrame([(t * SECOND, rule) for t, rule in checks], columns=["check_us", "rule"]).assign(
+        mean_rating=1.0, negative=1, windows=1, message="m")
+
+
+def test_a_product_keeps_silent_after_an_alert():
+    run = Runner(timers.KeepSilent(300), ("p",))
+    sent = lambda rows: [(r[1] // SECOND, r[5]) for r in rows]
+    assert sent(run.batch(hits((60, "a"), (60, "b"), (120, "a"), (359, "b")), 359)) == [(60, "a"), (60, "b")]
+    assert sent(run.batch(hits((360, "a"), (420, "a")), 600)) == [(360, "a")]
+    assert run.store.timers == {660_000}
+    assert run.batch(hits(), 661) == [] and not run.store.kept  # its life is over
+    assert sent(run.batch(hits((700, "a")), 700)) == [(700, "a")]
+
+
+DUE = "product_id string, start_us long, at_close boolean, at_us long, seq long, r long, l long, c long"
+
+
+def test_emissions_go_on_from_the_log_and_a_repeated_batch_changes_nothing(spark, tmp_path):
+    write = timers.emit_into(str(tmp_path / "log"), "0")
+    batch = lambda *rows: spark.createDataFrame([(p, s * SECOND, c, a * SECOND, q, r, 1, n) for p, s, c, a, q, r, n in rows], DUE)
+    write(batch(("x", 0, True, 60, 3, 9, 3), ("x", 0, True, 60, 5, 4, 1), (None, 0, True, 60, 4, 5, 1)), 0)  # one window in two parts
+    second = batch(("x", 0, False, 70, 6, 1, 1), ("y", 60, False, 130, 8, 2, 1), ("z", 60, False, 125, 7, 3, 1), (None, 0, False, 71, 9, 3, 1))
+    write(second, 1)
+    rows = lambda: sorted((r.product_id or "", r.seq, r.avg_rating, r.review_count, r.is_update)
+                          for r in timers.emitted(spark, str(tmp_path / "log"), "0").collect())
+    expected = [("", 4, 5.0, 1, False), ("", 9, 4.0, 2, True), ("x", 5, 3.25, 4, False), ("x", 6, 2.8, 5, True),
+                ("y", 8, 2.0, 1, True), ("z", 7, 3.0, 1, False)]
+    assert rows() == expected
+    write(second, 1)
+    assert rows() == expected
+    write(second.limit(0), 2)
+    assert rows() == expected
+
+
+def test_end_mark_of_an_empty_source_adds_nothing(spark):
+    schema = spark.createDataFrame([], "product_id string, date timestamp, arrival_ts timestamp").schema
+    none = spark.createDataFrame([], "at timestamp").agg(F.max("at").alias("at"))
+    assert timers.end_mark(schema, none, 60).count() == 0
+
+
+def test_days_are_read_one_by_one(spark, tmp_path):
+    """A stray old row adds its own day, not all the days since."""
+    rows = spark.createDataFrame([("1999-05-01",), ("2024-01-01",), (None,)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    assert len(timers.days_of(rows, "t")) == 2
