@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +25,8 @@ from opinara.operators.windows import (
 )
 from opinara.schemas import WINDOW_AGG
 from opinara.session import durable
-from opinara.sources.writers import append_batch, before, latest_windows, publish_counters, read_versions, run_of
+from opinara.sources.levels import LevelledLog
+from opinara.sources.writers import append_batch, before, days_of, latest_windows, publish_counters, read_versions, run_of
 
 # Fixed values of the flush policy.
 FLUSH_ROWS = 100
@@ -56,8 +57,14 @@ def admissible(reviews: DataFrame, width_s: int, lateness_s: int) -> tuple[DataF
 
 PARTIAL = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("window_start", T.TimestampType()),
-    T.StructField("r", T.LongType()), T.StructField("l", T.LongType()), T.StructField("c", T.LongType()),
-    T.StructField("last_arrival", T.TimestampType())])
+    T.StructField("r", T.LongType()), T.StructField("l", T.LongType()), T.StructField("c", T.LongType())])
+
+
+def partial_log(spark: SparkSession, root: str, run: str) -> LevelledLog:
+    """The partial sums of a run; segments are merged by adding up."""
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("product_id", "window_start", "_to", "day").agg(*[F.sum(c).alias(c) for c in "rlc"])
+    return LevelledLog(spark, f"{root}/_partials/run={run}", PARTIAL, merge)
 
 
 def tumbling_partials(reviews: DataFrame, width_s: int, lateness_s: int) -> DataFrame:
@@ -72,29 +79,26 @@ def add_partials(root: str, run: str, width_s: int, lateness_s: int) -> Callable
     """foreachBatch body: store what the batch adds, then publish the new totals of the windows it touched.
 
     Totals are sums over the run's stored partials, so there is no state, no watermark and no need of any order. Only
-    the days that the batch touches are read. A version is an update if its window was published before and the
+    the days that the batch touches are read, and of these as many files as the logarithm of their batches. A version is an update if its window was published before and the
     batch has a review that came after the window had closed. Reviews that cannot be placed go to `root`/_quarantine.
     """
     publish_versions = upsert_into(root, run)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, partials = batch.sparkSession, None
         batch.persist()
         try:
             append_batch(unplaced(batch).withColumn("seen", F.coalesce("arrival_ts", "date", F.lit(0).cast("timestamp"))),
                          f"{root}/_quarantine", batch_id, "seen", run)
-            partials = tumbling_partials(batch, width_s, lateness_s)
-            append_batch(partials.select(*PARTIAL.fieldNames()), f"{root}/_partials", batch_id, "window_start", run)
-            day = F.to_date("window_start")
-            first, last = partials.agg(F.min(day), F.max(day)).first()
-            if first is None:
+            partials = tumbling_partials(batch, width_s, lateness_s).persist()
+            log = partial_log(spark, root, run)
+            days = log.add(partials.select(*PARTIAL.fieldNames()), batch_id, "window_start")
+            if not days:
                 return
-            known = (read_versions(spark, f"{root}/_partials", PARTIAL, first, last)
-                     .filter((F.col("run") == F.lit(run)) & (F.col("batch_id") <= batch_id)))
-            own = F.col("batch_id") == batch_id
-            totals = (known.groupBy("product_id", "window_start")
-                      .agg(F.sum("r").alias("r"), F.sum("l").alias("l"), F.sum("c").alias("c"),
-                           F.max(F.when(own, F.col("last_arrival"))).alias("last_arrival"), F.bool_or(own).alias("own"))
+            earlier = log.read(days, before=batch_id).withColumn("last_arrival", F.lit(None).cast("timestamp"))
+            totals = (partials.withColumn("own", F.lit(True)).unionByName(earlier.withColumn("own", F.lit(False)))
+                      .groupBy("product_id", "window_start")
+                      .agg(*[F.sum(c).alias(c) for c in "rlc"], F.max("last_arrival").alias("last_arrival"), F.bool_or("own").alias("own"))
                       .filter("own"))
             closed = F.col("window_start") + F.make_dt_interval(secs=F.lit(width_s))
             publish_versions(totals.select("product_id", "window_start",
@@ -102,6 +106,8 @@ def add_partials(root: str, run: str, width_s: int, lateness_s: int) -> Callable
                                            (F.col("last_arrival") > closed).alias("corrects")), batch_id)
         finally:
             batch.unpersist()
+            if partials is not None:
+                partials.unpersist()
     return write
 
 
@@ -126,11 +132,10 @@ def upsert_into(root: str, run: str = "0") -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            day = F.to_date("window_start")
-            first_day, last_day = batch.agg(F.min(day), F.max(day)).first()
-            if first_day is None:
+            days = days_of(batch, "window_start")
+            if not days:
                 return
-            earlier = before(read_versions(batch.sparkSession, root, WINDOW_AGG, first_day, last_day), run, batch_id)
+            earlier = before(read_versions(batch.sparkSession, root, WINDOW_AGG, days=days), run, batch_id)
             corrects = "corrects" if "corrects" in batch.columns else None
             marked = mark_updates(batch, earlier, corrects=corrects)
             append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start", run)
@@ -193,24 +198,29 @@ def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callabl
             lost = batch.filter("arrival_ts is null").withColumn("seen", F.lit(0).cast("timestamp"))
             append_batch(lost, f"{root}/quarantine", batch_id, "seen", run)
             dated = batch.filter("arrival_ts is not null")
-            reach = F.min("arrival_ts") - F.make_dt_interval(secs=F.lit(horizon_s))
-            first, last = dated.agg(F.to_date(reach), F.to_date(F.max("arrival_ts"))).first()
-            if first is None:
-                return
-            own = F.lit(True).alias("own")
-            past = (before(read_versions(spark, f"{root}/log", SEEN, first, last), run, batch_id)
-                    .filter(F.col("run") == F.lit(run)).select(*SEEN.fieldNames(), F.lit(False).alias("own")))
-            both = durable(dated.select(*SEEN.fieldNames(), own).unionByName(past))
-            fresh = durable(dedup_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
+            back = F.make_dt_interval(secs=F.lit(horizon_s))
+            reach = {d for r in dated.select(F.to_date("arrival_ts").alias("d"), F.to_date(F.col("arrival_ts") - back).alias("e")).distinct().collect()
+                     for d in _days_between(r.e, r.d)}
+            log = LevelledLog(spark, f"{root}/log/run={run}", SEEN)
+            past = log.read(reach, before=batch_id).withColumn("own", F.lit(False))
+            both = dated.select(*SEEN.fieldNames(), F.lit(True).alias("own")).unionByName(past).persist()
+            try:
+                fresh = durable(dedup_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
+            finally:
+                both.unpersist()
             same = dated["id"].eqNullSafe(fresh["id"]) & (dated["arrival_ts"] == fresh["arrival_ts"]) & (dated["seq"] == fresh["seq"])
             accepted = dated.join(fresh, same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
             append_batch(accepted, f"{root}/accepted", batch_id, "arrival_ts", run)
-            append_batch(fresh, f"{root}/log", batch_id, "arrival_ts", run)
+            log.add(fresh, batch_id, "arrival_ts")
         finally:
             batch.unpersist()
     return write
 
 
+def _days_between(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
 def run_dedup(reviews: DataFrame, root: str, checkpoint: str, horizon_s: int = DEDUP_HORIZON_S,
               final: bool = False) -> StreamingQuery:
     run = run_of(reviews.sparkSession, checkpoint)
