@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import exact_mean, fixed_text
-from opinara.operators.scaling import hopping_panes
+from opinara.operators.scaling import hopping_sums
 from opinara.operators.tables import retain_since
 
 # Fixed values of the alert contract.
@@ -83,16 +83,14 @@ def anomaly_history(windows: DataFrame, recent_s: int = RECENT_S, every_s: int =
     """What a check every `every_s` seconds would have raised, over all of history.
 
     A check at t looks at windows starting in [t - recent, t). Windows are
-    reduced to panes first, so only small sums are copied into the checks.
+    reduced to panes first, and checks come from running totals over these.
     """
     if every_s > recent_s:
         raise ValueError("checks further apart than the recent stretch would skip windows")
     pane_s = gcd(recent_s, every_s)
     panes = (check_sums(windows, F.window("window_start", f"{pane_s} seconds"))
              .select("product_id", F.col("w.start").alias("pane"), "h", "c", "neg"))
-    scores = (hopping_panes(panes, "pane", pane_s, recent_s, every_s)
-              .groupBy("product_id", "hop_start")
-              .agg(*[F.sum(c).alias(c) for c in ("h", "c", "neg")])
+    scores = (hopping_sums(panes, "product_id", "pane", recent_s, every_s, ["h", "c", "neg"])
               .select("product_id", (F.col("hop_start") + F.make_dt_interval(secs=F.lit(recent_s)))
                       .alias("check_at"), *check_scores()))
     return anomaly_messages(scores, rating_threshold, share_threshold)

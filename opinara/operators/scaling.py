@@ -75,17 +75,48 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for c in columns])
 
 
-def hopping_panes(df: DataFrame, pane_start: str, pane_s: int, size_s: int, slide_s: int) -> DataFrame:
-    """Assign pre-aggregated panes to the overlapping windows [hop_start, hop_start + size_s).
+def hopping_sums(panes: DataFrame, key: str, pane_start: str, size_s: int, slide_s: int,
+                 sums: Sequence[str], maxima: Sequence[str] = ()) -> DataFrame:
+    """Sums and maxima of panes over the overlapping windows [hop_start, hop_start + size_s): key, hop_start and these columns.
 
-    `pane_start` is a timestamp on a grid of `pane_s` seconds that divides both
-    size and slide; windows start on multiples of `slide_s` since 1970.
+    `pane_start` is a timestamp on a grid that divides both size and slide; windows start on multiples of `slide_s` since
+    1970, and those without a pane are left out. A pane may come in several rows.
+
+    Time is cut into blocks of one window's length. A window that starts in a block takes what lies at or after its start
+    there, a running total from the block's end, and what lies before its end in the next block, one from that block's
+    beginning. So a pane is shuffled twice, for its block and the one before, however many windows it is in; the windows
+    themselves are made after the shuffle, and each costs two look-ups in running totals.
     """
     at = F.unix_seconds(pane_start)
-    first = F.ceil((at + pane_s - size_s) / slide_s) * slide_s
-    last = F.floor(at / slide_s) * slide_s
-    starts = F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(slide_s).cast("long")))
-    return df.withColumn("_hop", starts).withColumn("hop_start", F.timestamp_seconds("_hop")).drop("_hop")
+    block = F.floor(at / size_s).cast("long")
+    later = F.explode(F.array(F.lit(0), F.lit(1)))  # 1: the block that the windows of the one before reach into
+    rows = (panes.withColumn("_later", later)
+            .select(F.col(key).alias("_key"), (block - F.col("_later")).alias("_block"), "_later",
+                    F.pmod(at, F.lit(size_s)).alias("_offset"), *sums, *maxima))
+    group = Window.partitionBy("_key", "_block")
+    start = F.col("_block") * size_s
+    values = ["_later", "_offset", *sums, *maxima]
+    own = F.array(F.struct(*values))
+    starts = F.sequence((F.ceil(start / slide_s) * slide_s).cast("long"),
+                        (F.floor((start + size_s - 1) / slide_s) * slide_s).cast("long"), F.lit(slide_s).cast("long"))
+    grid = F.transform(starts, lambda s: F.struct(
+        F.lit(2).alias("_later"), (s - start).alias("_offset"),
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in (*sums, *maxima)]))
+    after = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, -1)
+    filled = (rows.withColumn("_first", F.row_number().over(group.orderBy("_offset")) == 1)
+              .withColumn("_row", F.explode(F.when(F.col("_first"), F.concat(own, grid)).otherwise(own)))
+              .select("_key", "_block", "_row.*"))
+
+    def over(f, c: str, role: int, window) -> Column:
+        return f(F.when(F.col("_later") == role, F.col(c))).over(window)
+
+    totals = filled.select(
+        "_key", "_later", F.timestamp_seconds(start + F.col("_offset")).alias("hop_start"),
+        (over(F.count, "_later", 0, after) + over(F.count, "_later", 1, before)).alias("_panes"),
+        *[(F.coalesce(over(F.sum, c, 0, after), F.lit(0)) + F.coalesce(over(F.sum, c, 1, before), F.lit(0))).alias(c) for c in sums],
+        *[F.greatest(over(F.max, c, 0, after), over(F.max, c, 1, before)).alias(c) for c in maxima])
+    return totals.filter("_later = 2 and _panes > 0").select(F.col("_key").alias(key), "hop_start", *sums, *maxima)
 
 
 def timeline_totals(df: DataFrame, at: str, column: str, block: Column) -> DataFrame:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.operators.scaling import MAX_BROADCAST_ROWS, attach_small
+from opinara.operators.membership import FILTER_BLOCKS, bloom_filter, split_by_filter
 from opinara.operators.spacing import keep_spaced
-from opinara.session import durable
 
 WINDOW_KEY = ("product_id", "window_start")
 
@@ -37,43 +36,40 @@ def merge_latest(existing: DataFrame, batch: DataFrame, order: Sequence[str],
     return keep_last(existing.unionByName(batch), keys, order)
 
 
-def split_repeated(reviews: DataFrame, key: str = "id",
-                   max_repeated: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame | None, DataFrame]:
+def split_repeated(reviews: DataFrame, key: str = "id", blocks: int = FILTER_BLOCKS) -> tuple[DataFrame, DataFrame]:
     """(rows whose key occurs once, the other rows), from a pass over the keys alone.
 
-    If the repeated keys are few enough to broadcast, the single rows need no
-    shuffle, so their text is never moved. Otherwise nothing is split off.
+    The keys that occur more than once go into a Bloom filter of fixed size. Rows that it does not know need no shuffle,
+    so their text is never moved. A few single rows may be among the others; all rows of a key are on one side.
     """
-    repeated = durable(reviews.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key))
-    if repeated.count() > max_repeated:
-        return None, reviews
-    # A null key equals no other in a plain join.
-    same = reviews[key].eqNullSafe(repeated[key])
-    return (reviews.join(F.broadcast(repeated), same, "left_anti"),
-            reviews.join(F.broadcast(repeated), same, "left_semi"))
+    repeated = reviews.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key)
+    copies, single = split_by_filter(reviews, key, bloom_filter(repeated, blocks), blocks)
+    return single, copies
 
 
-def dedup_reviews(reviews: DataFrame, max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def dedup_reviews(reviews: DataFrame, blocks: int = FILTER_BLOCKS) -> DataFrame:
     """First arrival per review id, over all time."""
-    single, copies = split_repeated(reviews, "id", max_repeated)
-    first = keep_first(copies, ["id"], ["arrival_ts", "seq"])
-    return first if single is None else single.unionByName(first)
+    single, copies = split_repeated(reviews, "id", blocks)
+    return single.unionByName(keep_first(copies, ["id"], ["arrival_ts", "seq"]))
 
 
-def dedup_within(reviews: DataFrame, horizon_s: int = 120,
-                 max_repeated: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def dedup_within(reviews: DataFrame, horizon_s: int = 120, blocks: int = FILTER_BLOCKS) -> DataFrame:
     """Drop a review whose id was accepted less than `horizon_s` earlier.
 
     Dropped copies do not extend the horizon, so an id that is used again
     later counts as a new review.
     """
-    single, copies = split_repeated(reviews, "id", max_repeated)
-    at_once = keep_first(copies, ["id", "arrival_ts"], ["seq"])
-    accepted = keep_spaced(copies, "id", "arrival_ts", horizon_s).withColumnsRenamed(
+    single, copies = split_repeated(reviews, "id", blocks)
+    return single.unionByName(first_within(copies, horizon_s))
+
+
+def first_within(reviews: DataFrame, horizon_s: int) -> DataFrame:
+    """The rule of `dedup_within` alone, for rows without text or whose ids mostly repeat: all of them are shuffled."""
+    at_once = keep_first(reviews, ["id", "arrival_ts"], ["seq"])
+    accepted = keep_spaced(reviews, "id", "arrival_ts", horizon_s).withColumnsRenamed(
         {"id": "_id", "arrival_ts": "_at"})
-    kept = at_once.join(accepted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")),
+    return at_once.join(accepted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")),
                         "left_semi")
-    return kept if single is None else single.unionByName(kept)
 
 
 def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("window_start",),
@@ -87,7 +83,7 @@ def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("
     flag = F.col("_known").isNotNull()
     if corrects is not None:
         flag = flag & F.col(corrects)
-    marked = attach_small(batch.drop("is_update"), known, keys).withColumn("is_update", flag)
+    marked = batch.drop("is_update").join(known, list(keys), "left").withColumn("is_update", flag)
     return marked.drop("_known", *([corrects] if corrects else []))
 
 
@@ -111,15 +107,47 @@ def retain_since(df: DataFrame, as_of: datetime | str, max_age_s: int, ts: str =
     return df.filter(F.col(ts) >= oldest)
 
 
+#: Rows are told apart by so many 64-bit hashes, summed as whole numbers.
+ROW_HASHES = 4
+#: Where two results differ, they are compared row by row in those of so many ranges of the hash that differ.
+HASH_RANGES = 4096
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Hashes of a whole row. Absent values are marked, since the hash function itself steps over them."""
+    absent = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in df.columns])
+    return [F.xxhash64(F.lit(i), absent, *df.columns) for i in range(ROW_HASHES)]
+
+
+def multiset_hash(df: DataFrame, *by: Column) -> DataFrame:
+    """Number of rows and sums of their hashes, over all rows or by a column. Order does not matter, multiplicity does."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"),
+                               *[F.sum(h.cast("decimal(20,0)")).alias(f"h{i}") for i, h in enumerate(row_hashes(df))])
+
+
+def hash_range(df: DataFrame) -> Column:
+    return F.shiftrightunsigned(row_hashes(df)[0], 64 - HASH_RANGES.bit_length() + 1).cast("int")
+
+
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row telling whether two results hold the same rows with the same multiplicity.
+    """One row telling whether two results hold the same rows with the same multiplicity, and how many are in one only.
 
-    Counts +1 and -1 per distinct row in one shuffle instead of two EXCEPT ALL.
+    First both are summed up to one multiset hash each; a task sends one row. Only if these differ are rows shuffled:
+    those whose hash lies in a range where the two sums differ, and so the counts are exact.
     """
-    columns = left.columns
-    signed = (left.withColumn("_sign", F.lit(1).cast("long"))
-              .unionByName(right.withColumn("_sign", F.lit(-1).cast("long"))))
-    balance = signed.groupBy(*columns).agg(F.sum("_sign").alias("_balance"))
+    right = right.select(left.columns)
+    # Types must agree as in a union, or equal values would hash differently.
+    types = left.limit(0).unionByName(right.limit(0)).schema
+    left, right = (df.select(*[F.col(f.name).cast(f.dataType) for f in types.fields]) for df in (left, right))
+    spark = left.sparkSession
+    result = "only_left long, only_right long, equal boolean"
+    if multiset_hash(left).first() == multiset_hash(right).first():
+        return spark.createDataFrame([(0, 0, True)], result)
+    ranges = [multiset_hash(df, hash_range(df).alias("range")) for df in (left, right)]
+    differ = [r[0] for r in ranges[0].unionByName(ranges[1]).groupBy(*ranges[0].columns).agg(F.count("*").alias("sides"))
+              .filter("sides = 1").select("range").distinct().collect()]
+    signed = [df.filter(hash_range(df).isin(differ)).withColumn("_sign", F.lit(sign).cast("long")) for df, sign in ((left, 1), (right, -1))]
+    balance = signed[0].unionByName(signed[1]).groupBy(*left.columns).agg(F.sum("_sign").alias("_balance"))
     zero = F.lit(0).cast("long")
     return (balance.agg(F.coalesce(F.sum(F.greatest("_balance", zero)), zero).alias("only_left"),
                         F.coalesce(F.sum(F.greatest(-F.col("_balance"), zero)), zero).alias("only_right"))

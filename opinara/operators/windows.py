@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import half_even, half_up
-from opinara.operators.scaling import MAX_GROUP_ROWS, attach_small, hopping_panes, running_totals
+from opinara.operators.scaling import MAX_GROUP_ROWS, attach_small, hopping_sums, running_totals
 
 # Seconds from 0001-01-01 to 1970-01-01: window boundaries count from year 1.
 YEAR_ONE_TO_EPOCH = 62_135_596_800
@@ -111,12 +111,12 @@ def sliding(reviews: DataFrame, size_s: int = 300, slide_s: int = 60,
     """Overlapping windows by arrival, valid ratings only.
 
     A review without product counts for "unknown", one without date as fresh.
-    Reviews are first reduced to panes of gcd(size, slide); only those small
-    rows are copied into the windows they belong to, never the reviews.
+    Reviews are first reduced to panes of gcd(size, slide); windows come from
+    running totals over them, so nothing is copied once per window.
     """
     check_sliding(size_s, slide_s)
     pane_s = gcd(size_s, slide_s)
-    return slide_panes(sliding_panes(reviews, pane_s, ts), pane_s, size_s, slide_s)
+    return slide_panes(sliding_panes(reviews, pane_s, ts), size_s, slide_s)
 
 
 def sliding_panes(reviews: DataFrame, pane_s: int, ts: str = "arrival_ts") -> DataFrame:
@@ -126,12 +126,9 @@ def sliding_panes(reviews: DataFrame, pane_s: int, ts: str = "arrival_ts") -> Da
             .select("product_id", F.col("w.start").alias("pane"), "c", "r", "neg", "newest"))
 
 
-def slide_panes(panes: DataFrame, pane_s: int, size_s: int, slide_s: int) -> DataFrame:
+def slide_panes(panes: DataFrame, size_s: int, slide_s: int) -> DataFrame:
     """Windows from panes; a pane may come in several rows."""
-    merged = (hopping_panes(panes, "pane", pane_s, size_s, slide_s)
-              .groupBy("product_id", "hop_start")
-              .agg(F.sum("c").alias("c"), F.sum("r").alias("r"), F.sum("neg").alias("neg"),
-                   F.max("newest").alias("newest"))
+    merged = (hopping_sums(panes, "product_id", "pane", size_s, slide_s, ["c", "r", "neg"], ["newest"])
               .withColumn("hop_end", F.col("hop_start") + F.make_dt_interval(secs=F.lit(size_s))))
     return finish_sliding(merged, "hop_start", "hop_end")
 

@@ -50,6 +50,17 @@ def sliding_agg(spark, sf):
     return fx.slides(spark, sf)
 
 
+@query
+def sliding_fine(spark, sf):
+    """Windows of a day, a new one every 80 seconds (1,080 overlap at any time), summed up per product and day of their start."""
+    fine = windows.sliding(fx.reviews(spark, sf), DAY, 80)
+    hundredths = lambda c, n: F.sum(F.rint(F.col(c) * n).cast("long"))
+    return (fine.groupBy("product_id", F.to_date("window_start").alias("day"))
+            .agg(F.count("*").alias("n_windows"), F.sum("review_count").alias("reviews"), F.max("review_count").alias("busiest"),
+                 hundredths("avg_rating", 100).alias("ratings"), hundredths("negative_share", 10000).alias("negative"),
+                 F.max("max_review_date").alias("newest"), F.max("latency_sec").alias("slowest")))
+
+
 @query
 def late_classes(spark, sf):
     return (windows.classify_arrival(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S)
@@ -393,8 +404,8 @@ def dedup_reviews(spark, sf):
 
 @query
 def dedup_reviews_by_id(spark, sf):
-    """The same dedup by the way taken when very many ids repeat."""
-    return tables.dedup_reviews(fx.reviews_replayed(spark, sf), max_repeated=0).drop("rating_f")
+    """The same dedup when the filter of repeated ids is far too small and lets most single ids through."""
+    return tables.dedup_reviews(fx.reviews_replayed(spark, sf), blocks=1).drop("rating_f")
 
 
 @query
@@ -443,9 +454,15 @@ def alert_cooldown(spark, sf):
 
 # --- streams, drained once --------------------------------------------------
 
-def _event_stream(spark: SparkSession, sf: str, files_per_batch: int = 1) -> DataFrame:
-    """The events table as a stream. A pattern matches both one file and a folder of files; a plain path must be a folder."""
-    return fx.as_reviews(_source(spark, f"{sf}/event[s].parquet", fx.EVENTS, files_per_batch))
+def _event_stream(spark: SparkSession, sf: str, batches: int = 4) -> DataFrame:
+    """The events as a stream of several batches, each a stretch of event ids; the number of files in each follows from the data."""
+    root = _fresh(spark)
+    events = spark.read.schema(fx.EVENTS).parquet(f"{sf}/events.parquet")
+    first, last = events.agg(F.coalesce(F.min("event_id"), F.lit(0)), F.coalesce(F.max("event_id"), F.lit(0))).first()
+    part = F.floor((F.col("event_id") - first) * batches / (last - first + 1)).cast("int").alias("part")
+    events.select("*", part).hint("rebalance", F.col("part")).write.partitionBy("part").parquet(root)
+    n_files = len(spark.read.schema(fx.EVENTS).parquet(root).inputFiles())
+    return fx.as_reviews(_source(spark, root, fx.EVENTS, -(-n_files // batches)))
 
 
 def _source(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:

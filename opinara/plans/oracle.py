@@ -359,3 +359,15 @@ ORACLE["stream_tumbling_shuffled"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_dedup_refetched"] = ORACLE["dedup_within_horizon"]
 ORACLE["stream_closing"] = ORACLE["tumbling_changelog"]
 ORACLE["stream_alerts"] = ORACLE["alert_cooldown"]
+ORACLE["sliding_fine"] = f"""with {_REVIEWS}, hops as (
+    select *, time_bucket(interval 80 seconds, arrival_ts, timestamp '1970-01-01') - to_seconds(80 * k.k) as window_start
+    from reviews, (select unnest(range(1080)) as k) k where rating between 1 and 5),
+grouped as (
+    select product_id, window_start, window_start + interval 24 hours as window_end, count(*) as c,
+           sum(rating)::double as r, count(*) filter (rating < 3) as neg, max(date) as newest
+    from hops group by all)
+select product_id, window_start::date as day, count(*) as n_windows, sum(c)::bigint as reviews, max(c) as busiest,
+       sum(round_even(r / c * 100, 0)::bigint)::bigint as ratings, sum(round_even(neg / c * 10000, 0)::bigint)::bigint as negative,
+       max(newest) as newest,
+       max(round_even(greatest(0.0::double, (epoch_us(window_end) - epoch_us(newest)) / 1e6) * 100, 0) / 100) as slowest
+from grouped group by all"""

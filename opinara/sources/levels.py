@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FANOUT = 4
+#: Spark's name for the folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Segment(NamedTuple):
@@ -35,11 +37,8 @@ class Segment(NamedTuple):
         return f"{self.first}-{self.last}"
 
 
-MANIFEST = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
-    T.StructField("level", T.LongType()), T.StructField("live", T.BooleanType())])
-#: The last row of a manifest: a manifest without it was not written to the end.
-END = (None, -1, -1, -1, False)
+#: The last line of a manifest.
+END = "end"
 
 
 class LevelledLog:
@@ -62,16 +61,31 @@ class LevelledLog:
 
     def segments(self, before: int | None = None) -> list[Segment]:
         """The segments of the newest manifest, or the newest of a batch before `before`."""
-        for batch_id in reversed(self._manifests()):
-            if before is None or batch_id < before:
-                rows = [tuple(r) for r in self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/batch={batch_id}").collect()]
-                if END in rows:
-                    return [Segment(*r) for r in rows if r != END]
-        return []
+        known = [b for b in self._manifests() if before is None or b < before]
+        if not known:
+            return []
+        fs, place = self._fs(f"{self.root}/manifest/batch={known[-1]}")
+        stream = fs.open(place)
+        try:
+            *lines, end = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+        finally:
+            stream.close()
+        assert end == END, f"manifest {known[-1]} is cut"
+        return [Segment(date.fromisoformat(d) if d else None, int(first), int(last), int(level), live == "live")
+                for d, first, last, level, live in (line.split(",") for line in lines)]
 
     def _publish(self, batch_id: int, segments: list[Segment]) -> None:
-        rows = self.spark.createDataFrame([*segments, END], MANIFEST)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/batch={batch_id}")
+        """Written beside and then renamed, so a manifest is there as a whole or not at all."""
+        lines = [f"{s.day or ''},{s.first},{s.last},{s.level},{'live' if s.live else 'replaced'}" for s in segments]
+        fs, place = self._fs(f"{self.root}/manifest/batch={batch_id}")
+        _, draft = self._fs(f"{self.root}/_manifest-{batch_id}")
+        out = fs.create(draft, True)
+        out.write(bytearray("\n".join([*lines, END]).encode()))
+        out.close()
+        fs.mkdirs(place.getParent())
+        fs.delete(place, False)
+        if not fs.rename(draft, place):
+            raise OSError(f"cannot publish {place}")
 
     def _forget(self, batch_id: int, replaced: Iterable[Segment]) -> None:
         """Delete what no manifest before `batch_id` needs any more, and manifests but the last two."""
@@ -80,8 +94,14 @@ class LevelledLog:
             fs, place = self._fs(path)
             fs.delete(place, True)
 
+    def _days(self, name: str) -> list[date | None]:
+        """The days that a segment's folder holds."""
+        fs, place = self._fs(f"{self.root}/_to={name}")
+        found = [f.getPath().getName().removeprefix("day=") for f in fs.listStatus(place)] if fs.exists(place) else []
+        return [None if d == NO_DAY else date.fromisoformat(d) for d in found]
+
     def _folder(self, s: Segment) -> str:
-        return f"{self.root}/_to={s.name}/day={s.day or '__HIVE_DEFAULT_PARTITION__'}"
+        return f"{self.root}/_to={s.name}/day={s.day or NO_DAY}"
 
     # --- rows -------------------------------------------------------------------
 
@@ -103,10 +123,11 @@ class LevelledLog:
     def add(self, rows: DataFrame, batch_id: int, ts: str) -> list[date | None]:
         """Add the rows of a batch, each to the day of its `ts`; returns the days. Adding a batch again replaces it."""
         known = self.segments(batch_id)
-        placed = rows.withColumn("day", F.to_date(ts)).withColumn("_to", F.lit(f"{batch_id}-{batch_id}"))
-        days = [r[0] for r in placed.select("day").distinct().collect()]
-        if days:
-            self._write(placed)
+        name = f"{batch_id}-{batch_id}"
+        fs, place = self._fs(f"{self.root}/_to={name}")
+        fs.delete(place, True)  # of an attempt that broke off
+        self._write(rows.withColumn("day", F.to_date(ts)).withColumn("_to", F.lit(name)))
+        days = self._days(name)
         live, replaced = [s for s in known if s.live and s.day not in days], []
         merges: list[tuple[list[Segment], Segment]] = []
         for day in days:

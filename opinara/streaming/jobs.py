@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from opinara.operators.alerts import COOLDOWN_S, RECENT_S, anomalies
 from opinara.operators.stats import review_stats
-from opinara.operators.tables import dedup_within, mark_updates
+from opinara.operators.tables import first_within, mark_updates
 from opinara.operators.windows import (
     check_sliding,
     classify_arrival,
@@ -60,6 +60,11 @@ PARTIAL = T.StructType([
     T.StructField("r", T.LongType()), T.StructField("l", T.LongType()), T.StructField("c", T.LongType())])
 
 
+def _set_apart(rows: DataFrame, root: str, batch_id: int, run: str) -> None:
+    if not rows.isEmpty():  # mostly there are none, and writing nothing is a job too
+        append_batch(rows, root, batch_id, "seen", run)
+
+
 def partial_log(spark: SparkSession, root: str, run: str) -> LevelledLog:
     """The partial sums of a run; segments are merged by adding up."""
     def merge(rows: DataFrame) -> DataFrame:
@@ -88,8 +93,8 @@ def add_partials(root: str, run: str, width_s: int, lateness_s: int) -> Callable
         spark, partials = batch.sparkSession, None
         batch.persist()
         try:
-            append_batch(unplaced(batch).withColumn("seen", F.coalesce("arrival_ts", "date", F.lit(0).cast("timestamp"))),
-                         f"{root}/_quarantine", batch_id, "seen", run)
+            _set_apart(unplaced(batch).withColumn("seen", F.coalesce("arrival_ts", "date", F.lit(0).cast("timestamp"))),
+                       f"{root}/_quarantine", batch_id, run)
             partials = tumbling_partials(batch, width_s, lateness_s).persist()
             log = partial_log(spark, root, run)
             days = log.add(partials.select(*PARTIAL.fieldNames()), batch_id, "window_start")
@@ -175,7 +180,7 @@ def sliding_windows(spark: SparkSession, root: str, run: str, size_s: int = 300,
                     closed_by: datetime | str | None = None) -> DataFrame:
     """Windows from the stored panes of a run: those closed by a time, or with None all, as published on stop."""
     panes = read_versions(spark, root, PANE).filter(F.col("run") == F.lit(run)).select(*PANE.fieldNames())
-    windows = slide_panes(panes, gcd(size_s, slide_s), size_s, slide_s)
+    windows = slide_panes(panes, size_s, slide_s)
     return windows if closed_by is None else windows.filter(F.col("window_end") <= F.lit(closed_by).cast("timestamp"))
 
 
@@ -195,8 +200,8 @@ def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callabl
         spark = batch.sparkSession
         batch.persist()
         try:
-            lost = batch.filter("arrival_ts is null").withColumn("seen", F.lit(0).cast("timestamp"))
-            append_batch(lost, f"{root}/quarantine", batch_id, "seen", run)
+            _set_apart(batch.filter("arrival_ts is null").withColumn("seen", F.lit(0).cast("timestamp")),
+                       f"{root}/quarantine", batch_id, run)
             dated = batch.filter("arrival_ts is not null")
             back = F.make_dt_interval(secs=F.lit(horizon_s))
             reach = {d for r in dated.select(F.to_date("arrival_ts").alias("d"), F.to_date(F.col("arrival_ts") - back).alias("e")).distinct().collect()
@@ -205,7 +210,7 @@ def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callabl
             past = log.read(reach, before=batch_id).withColumn("own", F.lit(False))
             both = dated.select(*SEEN.fieldNames(), F.lit(True).alias("own")).unionByName(past).persist()
             try:
-                fresh = durable(dedup_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
+                fresh = durable(first_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
             finally:
                 both.unpersist()
             same = dated["id"].eqNullSafe(fresh["id"]) & (dated["arrival_ts"] == fresh["arrival_ts"]) & (dated["seq"] == fresh["seq"])

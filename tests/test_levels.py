@@ -33,6 +33,7 @@ def test_two_hundred_batches_stay_in_few_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(log, "segments", lambda before=None: state.get("s", []))
     monkeypatch.setattr(log, "_publish", lambda b, s: state.update(s=s))
     monkeypatch.setattr(log, "_write", lambda r: None)
+    monkeypatch.setattr(log, "_days", lambda name: [dt.date(2024, 1, 1)])
     monkeypatch.setattr(log, "_forget", lambda b, s: None)
     merged = []
     monkeypatch.setattr(log, "_merge", lambda m: merged.extend((target, len(parts)) for parts, target in m))
@@ -92,9 +93,11 @@ def test_a_batch_that_breaks_off_is_repeated(spark, tmp_path, monkeypatch, step)
     assert sums(log.read()) == {("a", 1): 11_111}
 
 
-def test_a_manifest_that_was_not_written_to_the_end_does_not_count(spark, tmp_path):
+def test_a_manifest_that_was_not_finished_does_not_count(spark, tmp_path):
     log = log_at(spark, tmp_path)
     log.add(rows(spark, ("a", 1, 1)), 0, "t")
-    spark.createDataFrame([], levels.MANIFEST).write.parquet(f"{log.root}/manifest/batch=1")
+    (tmp_path / "log" / "_manifest-1").write_text("2024-01-01,0,1,1,live")
     assert sums(log.read()) == {("a", 1): 1}
+    log.add(rows(spark, ("a", 1, 1)), 1, "t")
+    assert sums(log.read()) == {("a", 1): 2}
     assert sums(log_at(spark, tmp_path / "other").read()) == {}

@@ -61,3 +61,22 @@ def test_timeline_total_and_lag(spark):
     key = lambda r: r[0]
     assert sorted(map(tuple, lagged.select("t", "prev_t", "prev_v").collect()), key=key) == sorted(
         map(tuple, expected.select("t", "prev_t", "prev_v").collect()), key=key)
+
+
+@pytest.mark.parametrize("size, slide, pane", [(60, 10, 10), (60, 25, 5), (7, 7, 7), (100, 1, 1), (30, 20, 10)])
+def test_hopping_sums_equal_the_windows_one_by_one(spark, size, slide, pane):
+    rng = random.Random(size + slide)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(-40, 60) * pane, rng.randint(-3, 9), rng.choice([None, 1, 5, 9])) for _ in range(150)]
+    rows += [("far", 5000 * pane, 1, None)]
+    df = spark.createDataFrame(rows, "k string, at long, v long, m int").withColumn("pane", F.timestamp_seconds("at"))
+    got = {(r.k, r.start): (r.v, r.m) for r in scaling.hopping_sums(df, "k", "pane", size, slide, ["v"], ["m"])
+           .select("k", F.unix_seconds("hop_start").alias("start"), "v", "m").collect()}
+    expected = {}
+    for k, at, v, m in rows:
+        first = -((size - 1 - at) // slide) * slide
+        for start in range(first, at + 1, slide):
+            held = expected.setdefault((k, start), [0, None])
+            held[0] += v
+            held[1] = m if held[1] is None else held[1] if m is None else max(m, held[1])
+    assert got == {key: tuple(x) for key, x in expected.items()}
+    assert scaling.hopping_sums(df.limit(0), "k", "pane", size, slide, ["v"], ["m"]).count() == 0

@@ -37,11 +37,11 @@ def test_of_nothing(spark):
     assert keep_spaced(empty, "k", "ts", 30).count() == 0
 
 
-@pytest.mark.parametrize("max_repeated", [1000, 0])
-def test_dedup_horizon_counts_from_the_accepted_copy(spark, max_repeated):
+@pytest.mark.parametrize("blocks", [4096, 1])
+def test_dedup_horizon_counts_from_the_accepted_copy(spark, blocks):
     seconds = [("a", 0), ("a", 119), ("a", 120), ("a", 121), ("a", 239), ("a", 240), ("b", 5), ("a", 0), (None, 1), (None, 2)]
     df = spark.createDataFrame([(i, s, n) for n, (i, s) in enumerate(seconds)], "id string, s long, seq long")
     df = df.withColumn("arrival_ts", F.timestamp_seconds("s"))
-    got = tables.dedup_within(df, 120, max_repeated=max_repeated)
+    got = tables.dedup_within(df, 120, blocks=blocks)
     assert got.columns == df.columns
     assert sorted(r.seq for r in got.collect()) == [0, 2, 5, 6, 8]

@@ -1,9 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import tables
+from opinara.operators import membership, tables
 from opinara.schemas import WINDOW_SERVED
 from opinara.sources import writers
 from tests.conftest import at
@@ -36,13 +37,13 @@ def test_keep_last_reduces_before_the_shuffle(spark):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
-@pytest.mark.parametrize("max_repeated", [100, 0])
-def test_dedup_keeps_first_arrival(spark, max_repeated):
+@pytest.mark.parametrize("blocks", [4096, 1])
+def test_dedup_keeps_first_arrival(spark, blocks):
     df = spark.createDataFrame([("x", at("2024-01-01 00:02"), 1, "late"), ("x", at("2024-01-01 00:01"), 2, "first"),
                                 ("x", at("2024-01-01 00:01"), 3, "tie"), ("y", at("2024-01-01"), 4, "only"),
                                 (None, at("2024-01-01"), 5, "none"), (None, at("2024-01-02"), 6, "none again")],
                                "id string, arrival_ts timestamp, seq long, what string")
-    got = tables.dedup_reviews(df, max_repeated)
+    got = tables.dedup_reviews(df, blocks)
     assert sorted((r.id or "", r.what) for r in got.collect()) == [("", "none"), ("x", "first"), ("y", "only")]
     assert got.columns == df.columns
 
@@ -50,9 +51,12 @@ def test_dedup_keeps_first_arrival(spark, max_repeated):
 def test_dedup_does_not_shuffle_single_reviews(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit(at("2024-01-01")).alias("arrival_ts"),
                                  F.col("id").alias("seq"), F.lit("text").alias("text"))
-    single, copies = tables.dedup_reviews(df)._jdf.queryExecution().executedPlan().toString().split("LeftSemi")
-    assert "LeftAnti" in single and "Exchange hashpartitioning" not in single.split("LeftAnti")[1].split("Sort")[0]
-    assert "BroadcastHashJoin" in single
+    for side in tables.split_repeated(df):  # the filter is broadcast, rows stay where they are
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    whole = tables.dedup_reviews(df)._jdf.queryExecution().executedPlan().toString()
+    single, copies = whole.split("BroadcastHashJoin")[:2]
+    assert whole.count("Exchange hashpartitioning") == 1 and "partial_min_by" in whole and "Exchange hashpartitioning" not in single
 
 
 def test_updates_are_flagged_per_window(spark):
@@ -153,3 +157,45 @@ def test_a_busy_day_is_written_by_several_tasks(spark, tmp_path):
     # Ids of 64 random digits shrink to a half at best, so there are over 40,000 * 32 bytes to write.
     assert len(stored.inputFiles()) >= 4 and 40_000 * 32 > 4 * size
     assert stored.count() == 40_000
+
+
+KINDS = "a string, b string, n long, x double"
+
+
+def test_equality_of_multisets(spark):
+    rng = random.Random(4)
+    value = lambda: (rng.choice(["p", "q", "", None]), rng.choice(["p", None]), rng.choice([1, 2, None]), rng.choice([0.0, 1.5, float("nan"), None]))
+    base = [value() for _ in range(3000)]
+    shuffled = rng.sample(base, len(base))
+    frame = lambda rows, parts: spark.createDataFrame(rows, KINDS).repartition(parts)
+    one = lambda l, r: tuple(tables.same_rows(l, r).first())
+    assert one(frame(base, 3), frame(shuffled, 7)) == (0, 0, True)
+    assert one(frame(base, 3), frame(base[1:], 3)) == (1, 0, False)
+    assert one(frame([*base, base[0]], 3), frame(base, 3)) == (1, 0, False)  # multiplicity counts
+    others = [("only", None, 5, 1.0), ("only", None, 5, 1.0)]
+    assert one(frame([*base, *others], 3), frame([*base[5:], others[0]], 3)) == (6, 0, False)
+    assert one(frame([(None, "p", 1, None)], 1), frame([("p", None, 1, None)], 1)) == (1, 1, False)  # absent values have a place
+    none = frame(base, 1).limit(0)
+    assert one(none, none) == (0, 0, True) and one(none, frame(base[:4], 2)) == (0, 4, False)
+    assert one(frame(base, 2), frame(base, 2).select("x", "n", "b", "a")) == (0, 0, True)
+    assert one(spark.range(3).toDF("v"), spark.range(3).selectExpr("cast(id as int) as v")) == (0, 0, True)
+
+
+def test_equal_results_are_not_shuffled(spark):
+    """Every task sends one row of sums."""
+    plan = tables.multiset_hash(spark.range(100).withColumn("t", F.lit("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange SinglePartition" in plan and "hashpartitioning" not in plan and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("blocks", [4096, 3, 1])
+def test_filter_of_keys(spark, blocks):
+    keys = spark.range(0, 3000, 3).select(F.concat(F.lit("k"), "id").alias("id")).union(spark.createDataFrame([(None,)], "id string"))
+    rows = spark.range(6000).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"), F.lit("x").alias("block")).union(
+        spark.createDataFrame([(None, -1, "x"), (None, -2, "x")], "id string, n long, block string"))
+    maybe, others = membership.split_by_filter(rows, "id", membership.bloom_filter(keys, blocks), blocks)
+    inside, outside = ({r.n for r in side.collect()} for side in (maybe, others))
+    assert len(inside) + len(outside) == 6002 and not inside & outside
+    assert inside >= {*range(0, 3000, 3), -1, -2}
+    assert len(inside) - 1002 <= {4096: 5, 3: 100, 1: 600}[blocks]
+    none = membership.bloom_filter(keys.limit(0), blocks)
+    assert membership.split_by_filter(rows, "id", none, blocks)[0].count() == 0

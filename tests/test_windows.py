@@ -146,10 +146,12 @@ def test_sliding_panes_equal_plain_windows(spark, size, slide):
 
 
 def test_sliding_copies_panes_not_reviews(spark):
+    """Reviews become panes, a pane is shuffled for two blocks, and windows are made only after that, whatever their number."""
     data = spark.createDataFrame(random_reviews(9, 50), SCHEMA)
-    plan = w.sliding(data, 300, 60)._jdf.queryExecution().executedPlan().toString()
-    above, below = plan.split("Generate", 1)
-    assert "HashAggregate" in above and "HashAggregate" in below
+    for slide in (60, 1):
+        plan = w.sliding(data, 300, slide)._jdf.queryExecution().executedPlan().toString()
+        windows, shuffle, blocks = (plan.index(x) for x in ("Generate explode(CASE", "Exchange hashpartitioning(_key", "Generate explode([0,1])"))
+        assert windows < shuffle < blocks < plan.index("HashAggregate")
 
 
 def test_absent_fields(spark):
