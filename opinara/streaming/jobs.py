@@ -213,8 +213,8 @@ def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callabl
                 fresh = durable(first_within(both, horizon_s).filter("own").select(*SEEN.fieldNames()))
             finally:
                 both.unpersist()
-            same = dated["id"].eqNullSafe(fresh["id"]) & (dated["arrival_ts"] == fresh["arrival_ts"]) & (dated["seq"] == fresh["seq"])
-            accepted = dated.join(fresh, same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
+            same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")) & F.col("seq").eqNullSafe(F.col("_seq"))
+            accepted = dated.join(fresh.toDF("_id", "_at", "_seq"), same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
             append_batch(accepted, f"{root}/accepted", batch_id, "arrival_ts", run)
             log.add(fresh, batch_id, "arrival_ts")
         finally:
