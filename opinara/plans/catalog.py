@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.functions import parse_instant, register_sql_functions, strip_prefix
-from opinara.operators import alerts, dashboards, quality, serving, stats, tables, windows
+from opinara.operators import alerts, dashboards, quality, serving, sketches, stats, tables, windows
 from opinara.plans import fixtures as fx
 from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
 from opinara.session import durable, shared_dir
@@ -323,6 +323,34 @@ def parse_window_start(spark, sf):
     return fx.windows_mixed_time(spark, sf).withColumn("window_start", parse_instant(F.col("raw_start")))
 
 
+# --- sketches ----------------------------------------------------------------
+
+def _weeks(spark: SparkSession, reviews: DataFrame) -> DataFrame:
+    """Sketches per day, stored, and merged over every span of seven days."""
+    days = durable(sketches.interval_sketches(reviews, DAY))
+    return sketches.rolling(days, DAY, 7)
+
+
+@query
+def approx_distinct(spark, sf):
+    """Distinct ids and products of every seven days from stored sketches, beside the exact numbers."""
+    reviews = fx.reviews_refetched(spark, sf).withColumn("id", F.concat_ws("-", "id", (F.col("seq") % 500).cast("string")))
+    counts = sketches.distinct_counts(_weeks(spark, reviews))
+    day = windows.tumbling_bucket("date", DAY)["start"]
+    spans = F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda d: day - F.make_dt_interval(days=d)))
+    exact = (reviews.select("id", "product_id", spans.alias("span_start"))
+             .groupBy("span_start").agg(F.count_distinct("id").alias("n_ids"), F.count_distinct("product_id").alias("n_products")))
+    return counts.join(exact, "span_start").select(
+        "span_start", "reviews", "n_ids", "n_products", F.col("n_ids").between(F.col("ids_low"), F.col("ids_high")).alias("ids_in_bounds"),
+        F.col("n_products").between(F.col("products_low"), F.col("products_high")).alias("products_in_bounds"))
+
+
+@query
+def approx_top_products(spark, sf):
+    """Most reviewed products of every seven days from stored sketches."""
+    return sketches.top_counts(_weeks(spark, fx.reviews(spark, sf)), "span_start")
+
+
 # --- serving and encoding ---------------------------------------------------
 
 @query

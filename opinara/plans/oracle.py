@@ -371,3 +371,13 @@ select product_id, window_start::date as day, count(*) as n_windows, sum(c)::big
        max(newest) as newest,
        max(round_even(greatest(0.0::double, (epoch_us(window_end) - epoch_us(newest)) / 1e6) * 100, 0) / 100) as slowest
 from grouped group by all"""
+
+_SPANS = f"""{_REVIEWS}, spans as (
+    select *, time_bucket(interval 1 day, date, timestamp '1970-01-01') - to_days(k.k::int) as span_start
+    from reviews, (select unnest([0, 1, 2, 3, 4, 5, 6]) as k) k)"""
+ORACLE["approx_distinct"] = f"""with {_SPANS} select span_start, count(*) as reviews,
+    count(distinct product_id || '-' || (seq % 3)::varchar || '-' || (seq % 500)::varchar) as n_ids,
+    count(distinct product_id) as n_products, true as ids_in_bounds, true as products_in_bounds from spans group by 1"""
+ORACLE["approx_top_products"] = f"""with {_SPANS}, counts as (select span_start, product_id, count(*) as n from spans group by all),
+    ranked as (select *, row_number() over (partition by span_start order by n desc, product_id)::int as rank from counts)
+    select span_start, rank, product_id, n, 0::bigint as max_error from ranked where rank <= 5"""
