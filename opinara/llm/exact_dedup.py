@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from opinara.llm.common import likely_members, split_by, stored, unused_name
 from opinara.session import shared_dir
 
+#: Micro-batches that the records of a table are read in.
+BATCHES = 3
 STATE = "spark.sql.streaming.stateStore."
 #: State on disk; no file space reserved ahead in every partition; only changes are written per batch.
 STATE_STORE = {STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -82,9 +84,12 @@ def drain(spark: SparkSession, path: str, schema, root: str, files_per_batch: in
                                         F.max_by("copies", "version").alias("copies"))
 
 
-def copies(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+def copies(docs: DataFrame, files_per_batch: int | None = None, batches: int = BATCHES) -> DataFrame:
     """Every row of `docs` with the document that stays for it.
 
+    The records go through the stream in about `batches` micro-batches, or with so many files in each, so that later ones
+    meet the state that earlier ones left on disk.
+
     docs: doc_id, text; other columns are ignored. Returns doc_id, keep_id (smallest doc_id with the same normalised
     text), group_size, kept, text_sha256 and the locator (file, row) of the row. Of rows that repeat the smallest
     doc_id with the same text, the first by locator is kept. A null text counts as empty. A null doc_id sorts last;
@@ -96,7 +101,8 @@ def copies(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
     known = records(rows)
     known.write.parquet(f"{root}/records")
     known = spark.read.schema(known.schema).parquet(f"{root}/records")
-    state = stored(drain(spark, f"{root}/records", known.schema, root, files_per_batch))
+    per_batch = files_per_batch or max(1, -(-len(known.inputFiles()) // batches))
+    state = stored(drain(spark, f"{root}/records", known.schema, root, per_batch))
 
     matched = known.join(state, "digest")
     hit = matched.where("copies > 1")
@@ -112,7 +118,15 @@ def copies(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """Rows of `docs` (a file scan) that stay, all columns unchanged: one of each group of equal texts."""
+    """Rows of `docs` that stay, all columns unchanged: one of each group of equal texts.
+
+    Null texts count as empty, a null doc_id stays only if no copy has an id, of repeated rows one stays, an empty table
+    stays empty. What is not a plain file scan is stored first, so that its rows have places.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs)
     gone = stored(copies(docs).where("not kept").select("doc_id", "file", "row"))
     file, row = unused_name(docs, "file"), unused_name(docs, "row")
     rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))

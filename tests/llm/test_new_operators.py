@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from opinara.llm import alignment, queries, search, warc
+from opinara.llm import alignment, exact_dedup, queries, search, warc
 from tests.duck import connect, difference
 
 ODD = [None, "", " \t\n", "one", "two  words", "TWO words", "x" * 70_000, "word " * 20_000, "é" * 50 + "\n" + "ñandú 中文 " * 9,
@@ -270,3 +270,30 @@ def test_digests_that_prove_nothing_stop_the_archive(spark, pages, tmp_path, mon
 
 def test_archive_of_an_empty_table(spark, pages, tmp_path):
     assert warc.archived(pages.limit(0), str(tmp_path / "a")).count() == 0
+
+
+# --- exact dedup, in several batches and on any DataFrame -----------------------------------------------------------
+
+def test_copies_meet_the_state_of_earlier_batches(spark, tmp_path, monkeypatch):
+    seen = []
+    real = exact_dedup.drain
+
+    def watch(spark, path, schema, root, files_per_batch=None):
+        state = real(spark, path, schema, root, files_per_batch)
+        seen.append(state.sparkSession.read.parquet(f"{root}/states/*").select("version").distinct().count())
+        return state
+
+    monkeypatch.setattr(exact_dedup, "drain", watch)
+    docs = spark.range(60).select("id", (F.col("id") % 7).cast("string").alias("text")).repartition(6).withColumnRenamed("id", "doc_id")
+    docs.write.parquet(str(tmp_path / "docs"))
+    rows = exact_dedup.copies(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert seen[0] > 1
+    assert all(r.keep_id == r.doc_id % 7 and r.group_size == len(range(r.doc_id % 7, 60, 7)) and r.kept == (r.doc_id < 7) for r in rows) and len(rows) == 60
+
+
+def test_rows_that_stay_on_any_frame(spark):
+    rows = [(3, "a  b", "x"), (1, "a b", "y"), (2, None, "z"), (None, "", "w"), (5, "c", "v"), (5, "c", "v"), (None, "only", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, file string")
+    stays = Counter(map(tuple, exact_dedup.without_copies(docs.filter("true")).collect()))
+    assert stays == Counter([(1, "a b", "y"), (2, None, "z"), (5, "c", "v"), (None, "only", "u")])
+    assert exact_dedup.without_copies(docs.limit(0)).count() == 0
