@@ -67,6 +67,6 @@ def test_changes_and_ratios(spark):
 
 
 def test_texts(spark):
-    assert one(spark, fn.fixed_text(F.col("x"), 2), x=3.14159) == "3.14"
+    assert one(spark, fn.fixed_text(F.col("x"), 2), x=7.12963) == "7.13"
     assert one(spark, fn.percent_text(F.col("x"), 1), x=0.3333) == "33.3%"
     assert math.isclose(float(one(spark, fn.fixed_text(F.col("x"), 0), x=2.5)), 2.0)
