@@ -108,7 +108,7 @@ def split_by(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> tuple[Data
     """Rows of `docs` whose doc_id may be in `ids` (one long column), and those where it is not.
 
     The filter is a bit array of fixed size. It may let others through, never takes a member for another; join the first
-    part afterwards. A null doc_id is never a member.
+    part afterwards. A null doc_id is never a member. Only ids go through Python.
     """
     name = ids.columns[0]
 
@@ -119,17 +119,14 @@ def split_by(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> tuple[Data
 
     flags = docs.sparkSession.sparkContext.broadcast(fixed_array(ids, fill, bits // 32, "or"))
 
-    def keep(likely: bool):
-        def some(parts):
-            for batch in parts:
-                ids = batch["doc_id"].cast(pa.int64())
-                at = mixed(ids.fill_null(0).to_numpy(zero_copy_only=False)) % np.uint64(bits)
-                hit = flags.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)
-                member = (hit & np.uint32(1)).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(member == likely))
-        return docs.mapInArrow(some, docs.schema)
-
-    return keep(True), keep(False)
+    @F.arrow_udf("boolean")
+    def member(ids: pa.Array) -> pa.Array:
+        at = mixed(ids.fill_null(0).to_numpy(zero_copy_only=False)) % np.uint64(bits)
+        hit = flags.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)
+        return pa.array((hit & np.uint32(1)).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False))
+
+    known = member(F.col("doc_id").cast("long"))
+    return docs.where(known), docs.where(~known)
 
 
 def unused_name(df: DataFrame, name: str) -> str:

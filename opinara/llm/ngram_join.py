@@ -228,6 +228,11 @@ def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame
             .mapInArrow(find, "a long, b long").distinct())
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """The sids that occur in pairs (a, b)."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Compare each pair (a, b) on the full shingle sets; adds `linked`. texts: sid, text."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
@@ -327,19 +332,25 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, count_links: bool
     postings = _postings(classes)
     lists = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = stored(postings.join(lists, "key"))
-    involved = stored(shared.select("sid").distinct().join(classes.select("sid", "doc_id", "digest"), "sid"))
-    bodies = stored(_class_texts(likely_members(texts, involved.select("doc_id")), involved, words))
     members = shared.join(classes.select("sid", "bits"), "sid")
 
-    tried = stored(verified(candidate_pairs(members.withColumn("comp", F.col("sid")), percent, True),
-                            bodies, words, percent))
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Only the texts of classes in some pair are moved."""
+        pairs = stored(pairs)
+        return stored(verified(pairs, bodies(ends(pairs)), words, percent))
+
+    def bodies(sids: DataFrame) -> DataFrame:
+        involved = stored(sids.join(classes.select("sid", "doc_id", "digest"), "sid"))
+        return stored(_class_texts(likely_members(texts, involved.select("doc_id")), involved, words))
+
+    tried = compared(candidate_pairs(members.withColumn("comp", F.col("sid")), percent, True))
     links = tried.where("linked").select("a", "b")
     if not tried.where("not linked").isEmpty():
         known = components(links)
         labelled = (members.join(known.withColumnRenamed("node", "sid"), "sid", "left")
                     .withColumn("comp", F.coalesce("component", "sid")).drop("component"))
         more = candidate_pairs(labelled, percent, False).join(tried, ["a", "b"], "left_anti")
-        links = links.union(stored(verified(more, bodies, words, percent)).where("linked").select("a", "b"))
+        links = links.union(compared(more).where("linked").select("a", "b"))
 
     found = components(links)
     reps = classes.select("sid", "digest", F.col("doc_id").alias("class_id"))
@@ -347,19 +358,19 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, count_links: bool
         .withColumn("component", F.coalesce("component", "sid"))
     smallest = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     by_digest = named.join(smallest, "component").select("digest", "class_id", "component_id")
-    links = []
+    more_columns = []
     if count_links:
         docs_of = whole.groupBy("digest").agg(F.count("*").alias("docs"))
         linked = found.withColumnRenamed("node", "sid").join(classes.select("sid", "digest"), "sid").join(docs_of, "digest")
-        counted = link_counts(linked.select("sid", "component", "docs"), bodies, words, percent)
+        counted = link_counts(linked.select("sid", "component", "docs"), bodies(ends(links)), words, percent)
         per_class = (docs_of.join(classes.select("sid", "digest").join(counted, "sid"), "digest", "left")
                      .select("digest", (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
         by_digest = by_digest.join(per_class, "digest")
-        links = [F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")]
+        more_columns = [F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")]
     return (signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
             .join(by_digest, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"), *links))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), *more_columns))
 
 
 def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
