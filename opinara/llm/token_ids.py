@@ -11,59 +11,88 @@ import numpy as np
 
 #: Latin letters, then ASCII punctuation: such a chunk is one word, or one word and one run of signs.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)").fullmatch
+#: What may stand inside such a chunk.
+INSIDE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*[!-/:-@\\[-`{-~]*").fullmatch
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+SYMBOLS = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
 
 
 class ChunkIds:
     """Encode texts (bytes) as the tokenizer of `path` does, without special tokens being added.
 
-    For tokenizers that drop white space, treat what stands between independently and mark the end of a word in its
-    last token: a text is then the concatenation of its chunks, the maximal runs without ASCII white space. The ids
-    of chunks are kept and forgotten in two generations of up to `limit` chunks, so memory is bounded.
+    For byte-level tokenizers that put text into lower case, drop white space, treat what stands between independently
+    and mark the end of a word in its last token: a text is then the concatenation of its chunks, the maximal runs
+    without ASCII white space. A chunk that is a word and a run of signs is put together from both, which are chunks
+    of their own; they are encoded by the tokenizer's model alone. The ids of chunks are kept and forgotten in two
+    generations, each of up to `limit` chunks or `limit_bytes` bytes and what one group of texts adds.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000, limit_bytes: int = 32 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each Spark task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
+        self.model = Tokenizer(self.tokenizer.model)
+        self.limit, self.limit_bytes = limit, limit_bytes
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Not used if an added token could stand inside a plain chunk.
+        self.plain = (lambda text: None) if any(map(INSIDE, added)) else PLAIN
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, chunks: list[str], words: list[int]) -> list[bytes]:
-        """Chunks of known numbers of words, encoded as one text and cut at the ends of words."""
-        ids = self._ids([" ".join(chunks)])[0]
-        ends = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
-        last = np.cumsum(words)
-        if len(ends) != last[-1]:
-            return self._ids(chunks)
-        cuts = [*(4 * ends[last[:-1] - 1]).tolist(), len(ids)]
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words and runs of signs, encoded side by side and cut at the ends of words."""
+        symbols = b"\0".join(words).decode("latin-1").translate(SYMBOLS).split(SYMBOLS[0])
+        ids = np.array(self.model.encode_batch_fast([symbols], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) != len(words):
+            return self._ids([w.decode() for w in words])
+        ids = ids.tobytes()
         return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        plain, other = [], []
-        for c in chunks.difference(self.young):
-            if c in self.old:
-                self.young[c] = self.old[c]
+        if len(self.young) > self.limit or self.held > self.limit_bytes:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old, plain = self.young, self.old, self.plain
+        split: dict[bytes, tuple[bytes, bytes]] = {}
+        other: list[bytes] = []
+        fresh = chunks.difference(young)
+        for c in fresh:
+            if c in old:
+                young[c] = old[c]
+            elif m := plain(c.decode("utf-8", "replace")):
+                split[c] = m[1].lower().encode(), m[2].encode()
             else:
-                text = c.decode("utf-8", "replace")
-                if m := PLAIN(text):
-                    plain.append((c, text, 1 + bool(m[2])))
-                else:
-                    other.append((c, text))
-        for at in range(0, len(plain), 500):
-            keys, texts, words = zip(*plain[at:at + 500])
-            self.young.update(zip(keys, self._plain(list(texts), list(words))))
+                other.append(c)
+        words = {w for own in split.values() for w in own if w and w not in young}
+        known = words.intersection(old)
+        young.update((w, old[w]) for w in known)
+        missing = list(words - known)
+        for at in range(0, len(missing), 500):
+            young.update(zip(missing[at:at + 500], self._words(missing[at:at + 500])))
         for at in range(0, len(other), 500):
-            keys, texts = zip(*other[at:at + 500])
-            self.young.update(zip(keys, self._ids(list(texts))))
+            some = other[at:at + 500]
+            young.update(zip(some, self._ids([c.decode("utf-8", "replace") for c in some])))
+        for c, (word, signs) in split.items():
+            if signs:
+                young[c] = young[word] + young[signs]
+            elif c != word:
+                young[c] = young[word]
+        self.held += sum(len(c) + len(young[c]) for c in fresh) + sum(len(w) + len(young[w]) for w in words)
 
     def encode(self, texts: list[bytes], group: int = 200) -> Iterator[np.ndarray]:
         """An array of ids for each text."""
