@@ -17,27 +17,21 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from opinara.llm.common import batches, texts_of
-from opinara.llm.token_ids import PLAIN
+from opinara.llm.token_ids import PLAIN, SYMBOLS
 
-# The tokenizer's word pattern and its byte alphabet.
+# The tokenizer's word pattern.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WORDS = regex.compile("|".join(CONTRACTIONS) + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class PrefixTable:
     """Token counts of all prefixes of words, for a vocabulary with merges and word ends."""
 
@@ -48,7 +42,6 @@ class PrefixTable:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {pair: i for i, pair in enumerate(merges)}
         self.parts = {a + b: (a, b) for a, b in merges}
-        self.symbols = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
         self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         self.follows: dict[tuple[str, str], bool] = {}
         self.edges: dict[tuple[str, int], list] = {}
@@ -56,6 +49,11 @@ class PrefixTable:
         self.kinds: dict[str, list[bool]] = {}
         for token in filter(self._is_whole, self.vocab):
             self.kinds.setdefault(token.removesuffix(END), [False, False])[token.endswith(END)] = True
+        #: Finds the tokens that end at each place of a word, longest first: size, token inside a word, token that closes it.
+        self.endings = ahocorasick.Automaton()
+        for text, (inside, closing) in self.kinds.items():
+            self.endings.add_word(text, (len(text), text if inside else "", text + END if closing else ""))
+        self.endings.make_automaton()
 
     def _edge(self, token: str, side: int) -> list[tuple[str, int]]:
         """What stands at the left (0) or right (1) end of `token` while it is built: parts and the rank that ends each."""
@@ -100,56 +98,50 @@ class PrefixTable:
 
         A word takes over the table of the one before as far as both begin alike.
         """
-        kinds, follows, may_follow, longest = self.kinds, self.follows, self.may_follow, self.longest
+        known, may_follow, longest, endings = self.follows.get, self.may_follow, self.longest, self.endings.iter
         before, last, inner, closed = "", [""], [0], []
         for word in sorted(words):
-            s = word.decode("latin-1").translate(self.symbols)
+            s = word.decode("latin-1").translate(SYMBOLS)
             same = 0
             for x, y in zip(s, before):
                 if x != y:
                     break
                 same += 1
-            del last[same + 1:], inner[same + 1:], closed[same:]
-            before = s
-            for i in range(same + 1, len(s) + 1):
-                inside = ends = 0
-                for j in range(i - longest if i > longest else 0, i):
-                    token = s[j:i]
-                    kind = kinds.get(token)
-                    if kind is None:
-                        continue
-                    if kind[0] and not inside:
-                        if not j or (follows[last[j], token] if (last[j], token) in follows else may_follow(last[j], token)):
-                            last.append(token)
-                            inside = inner[j] + 1
-                    if kind[1] and not ends:
-                        close = token + END
-                        if not j or (follows[last[j], close] if (last[j], close) in follows else may_follow(last[j], close)):
-                            ends = inner[j] + 1
-                    if inside and ends:
-                        break
-                inner.append(inside)
-                closed.append(ends)
+            before, size = s, len(s)
+            last[same + 1:], inner[same + 1:], closed[same:] = [""] * (size - same), [0] * (size - same), [0] * (size - same)
+            for at, (width, token, close) in endings(s, max(0, same + 1 - longest)):
+                if at < same:
+                    continue
+                j = at + 1 - width
+                if token and not inner[at + 1]:
+                    if not j or ((ok := known((last[j], token))) is None and may_follow(last[j], token)) or ok:
+                        last[at + 1], inner[at + 1] = token, inner[j] + 1
+                if close and not closed[at]:
+                    if not j or ((ok := known((last[j], close))) is None and may_follow(last[j], close)) or ok:
+                        closed[at] = inner[j] + 1
             yield word, closed
 
 
 class PrefixCounts:
     """Differences of token counts per byte of a text."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 350_000, limit_bytes: int = 32 << 20):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.table = PrefixTable(path)
-        self.limit = limit
+        self.limit, self.limit_bytes = limit, limit_bytes
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _learn(self, chunks: set[bytes]) -> None:
-        """Chunks are runs without ASCII white space; their differences are kept in two generations."""
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+        """Chunks are runs without ASCII white space; their differences are kept in two generations, each of up to
+        `limit` chunks or `limit_bytes` bytes and what one group of texts adds. Words are chunks of their own."""
+        if len(self.young) > self.limit or self.held > self.limit_bytes:
+            self.old, self.young, self.held = self.young, {}, 0
         split: dict[bytes, list[str]] = {}
-        for chunk in chunks.difference(self.young):
+        fresh = chunks.difference(self.young)
+        for chunk in fresh:
             if chunk in self.old:
                 self.young[chunk] = self.old[chunk]
                 continue
@@ -161,11 +153,21 @@ class PrefixCounts:
                 split[chunk] = WORDS.findall("".join(c.lower() for c in text))
             else:
                 self.young[chunk] = self._by_encoding(text)
-        words = {w for own in split.values() for w in own} | {"'"}
-        known = {w.decode(): list(counts) for w, counts in self.table.words([w.encode() for w in words])}
-        steps = {w: _differences(w.encode(), self._cut_short(w, counts)) for w, counts in known.items()}
+        steps: dict[str, bytes] = {}
+        missing = []
+        for w in {w for own in split.values() for w in own}:
+            word = w.encode()
+            known = self.young.get(word) or self.old.get(word)
+            if known is None:
+                missing.append(word)
+            else:
+                steps[w] = known
+        for word, counts in self.table.words(missing):
+            w = word.decode()
+            steps[w] = self.young[word] = _differences(word, self._cut_short(w, counts))
         for chunk, own in split.items():
             self.young[chunk] = b"".join([steps[w] for w in own])
+        self.held += 2 * (sum(map(len, fresh)) + sum(map(len, missing)))
 
     def _cut_short(self, word: str, counts: list[int]) -> list[int]:
         """A contraction of three signs that is cut after the second is two words: a sign and a letter."""
@@ -209,6 +211,8 @@ def prefix_counts(path: str) -> PrefixCounts:
 
 def _differences(word: bytes, counts: list[int]) -> bytes:
     """Of token counts; a prefix that ends inside a character counts as the one before the character."""
+    if word.isascii():
+        return bytes([(n - m) & 255 for n, m in zip(counts, [0, *counts])])
     out, before = bytearray(len(word)), 0
     for i, n in enumerate(counts):
         if i + 1 == len(word) or word[i + 1] & 0xC0 != 0x80:
