@@ -146,13 +146,19 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 
 
 def accepted(docs: DataFrame, dictionaries: dict[str, bytes], least_margin: float) -> DataFrame:
-    """Rows of `docs` whose language is known with at least this margin, all columns unchanged."""
+    """Rows of `docs` whose language is known with at least this margin, all columns unchanged.
+
+    A null or empty text, or one without letters, goes, and so does every row if there are no dictionaries; repeated
+    rows stay or go together, whatever their doc_id; an empty table gives an empty result. Only texts go to Python and
+    one boolean a row comes back.
+    """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
-    def keep(parts):
+    @F.arrow_udf("boolean")
+    def known(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classifier = Classifier(held.value)
-        for batch in parts:
-            found = [classifier.classify((t or "").encode()) for t in batch["text"].to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and margin >= least_margin for lang, _, margin in found], pa.bool_()))
+        for texts in parts:
+            found = (classifier.classify(t.as_py()) for t in texts)
+            yield pa.array([lang != UNKNOWN and margin >= least_margin for lang, _, margin in found], pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(known(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
