@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from opinara.llm import (byte_bpe, components, exact_dedup, fingerprints, language, licenses, ngram_join, packing, quality,
-                         queries, token_counts, toxicity)
+                         queries, token_counts, token_ids, toxicity)
 from opinara.llm.shingles import LONG_WORD, STRETCH, WordHashes, shingle_set, word_hashes
 from tests.duck import connect, difference
 
@@ -472,3 +472,21 @@ def test_word_hashes_do_not_depend_on_place_or_neighbours():
 def test_shingle_sets(text, size):
     found = shingle_set(text, 3)
     assert len(found) == size and (np.diff(found.astype(object)) > 0).all()
+
+
+def test_memos_forget_by_bytes_and_stay_exact():
+    texts = [f"Word{i}, word é{i}É!! {'lines ' * (i % 7)}it's <|endoftext|> ab. Ab. ab".encode() for i in range(300)]
+    library = Tokenizer.from_file(queries.WORD_BPE)
+    want = [library.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    ids, counts = token_ids.ChunkIds(queries.WORD_BPE, limit_bytes=400), token_counts.PrefixCounts(queries.WORD_BPE, limit_bytes=400)
+    assert [x.tolist() for x in ids.encode(texts, group=5)] == want
+    assert [int(d.sum(dtype=np.int64)) for d in counts.texts(texts, group=5)] == [len(w) for w in want]
+    assert len(ids.young) + len(ids.old) < 200 and len(counts.young) + len(counts.old) < 200
+
+
+def test_language_stage_on_odd_rows(spark, odd, none):
+    held = {"en": b"the and one two word words", "es": b"el y uno dos palabra"}
+    kept = language.accepted(odd, held, 0.0)
+    assert kept.columns == odd.columns and kept.where("text is null or trim(text) = ''").isEmpty()
+    assert kept.where("text = 'one'").count() == 4
+    assert language.accepted(none, held, 0.0).isEmpty() and language.accepted(odd, {}, 0.0).isEmpty()
