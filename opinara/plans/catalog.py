@@ -14,7 +14,7 @@ from opinara.operators import alerts, dashboards, quality, serving, sketches, st
 from opinara.plans import fixtures as fx
 from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
 from opinara.session import durable, shared_dir
-from opinara.sources import codec, writers
+from opinara.sources import codec, messages, writers
 from opinara.streaming import jobs, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -633,6 +633,32 @@ def stream_dedup_refetched(spark, sf):
     return spark.read.schema(reviews.schema).parquet(f"{root}/dedup/accepted").select("id", "arrival_ts", "seq", "rating")
 
 
+@query
+def stream_messages(spark, sf):
+    """Review messages appended to a topic in two goes, decoded in polls by record offset, with a restart in between."""
+    root, sent = _fresh(spark), fx.review_messages(spark, sf)
+    n = sent.count()
+    for half in (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0):
+        messages.append_messages(sent.filter(half), f"{root}/topic", ["seq"])
+        jobs.drain(jobs.run_decoded(spark, f"{root}/topic", f"{root}/out", f"{root}/state", per_batch=max(1, -(-n // 6))))
+    stored = T.StructType([*REVIEW.fields, T.StructField(codec.CORRUPT, T.StringType())])
+    return (spark.read.schema(stored).parquet(f"{root}/out")
+            .select(F.col(codec.CORRUPT).isNotNull().alias("corrupt"), "id", "product_id", "rating", "likes", "dislikes", "date",
+                    F.char_length("text").alias("text_chars")))
+
+
+@query
+def stream_flushed(spark, sf):
+    """Window messages in the order of emission through a topic into the window table, a flush per full buffer and one on stop."""
+    root = _fresh(spark)
+    emitted = windows.tumbling_changelog(fx.reviews(spark, sf), fx.WIDTH_S, fx.LATENESS_S)
+    n = messages.append_messages(codec.encode_windowed(emitted, "emitted_at", "seq"), f"{root}/topic", ["emitted_at", "seq"])
+    run, rows = writers.run_of(spark, f"{root}/state"), max(jobs.FLUSH_ROWS, n // 5 + 1)
+    for seconds in (DAY, 0):  # what is left of the last buffer stays until the stream stops
+        jobs.drain(jobs.run_flushed(spark, f"{root}/topic", f"{root}/state", jobs.upsert_into(f"{root}/table", run), rows=rows, seconds=seconds))
+    return serving.serve_projection(writers.latest_windows(spark, f"{root}/table", WINDOW_AGG))
+
+
 # --- streams with timers ----------------------------------------------------
 
 @query

@@ -358,6 +358,8 @@ ORACLE["dedup_reviews_by_id"] = ORACLE["dedup_reviews"]
 ORACLE["stream_tumbling_shuffled"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_dedup_refetched"] = ORACLE["dedup_within_horizon"]
 ORACLE["stream_closing"] = ORACLE["tumbling_changelog"]
+ORACLE["stream_messages"] = f"select * exclude (seq) from ({ORACLE['json_quarantine']})"
+ORACLE["stream_flushed"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_alerts"] = ORACLE["alert_cooldown"]
 ORACLE["sliding_fine"] = f"""with {_REVIEWS}, hops as (
     select *, time_bucket(interval 80 seconds, arrival_ts, timestamp '1970-01-01') - to_seconds(80 * k.k) as window_start

@@ -28,10 +28,10 @@ def encode_raw(reviews: DataFrame) -> DataFrame:
     return reviews.select(F.col("product_id").alias("key"), json_value(reviews, RAW_FIELDS).alias("value"))
 
 
-def encode_windowed(windows: DataFrame) -> DataFrame:
-    """Messages identified by product and window start in nanoseconds."""
+def encode_windowed(windows: DataFrame, *keep: str) -> DataFrame:
+    """Messages identified by product and window start in nanoseconds; `keep` names columns to keep beside them."""
     key = F.concat_ws("-", "product_id", to_epoch_ns(F.col("window_start")).cast("string"))
-    return windows.select(key.alias("key"), json_value(windows, WINDOW_FIELDS).alias("value"))
+    return windows.select(key.alias("key"), json_value(windows, WINDOW_FIELDS).alias("value"), *keep)
 
 
 def encode_sliding(slides: DataFrame) -> DataFrame:

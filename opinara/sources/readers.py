@@ -1,4 +1,4 @@
-"""Batch and streaming readers. The message transport is a parameter: kafka or files."""
+"""Batch and streaming readers. The message transport is a parameter: kafka, a topic kept as files (messages), or plain files."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from opinara.schemas import REVIEW, SLIDING_AGG, WINDOW_AGG
 from opinara.sources.codec import decode_json
+from opinara.sources.messages import FORMAT, MessageSource
 
 # Topic names and poll size of the message contract.
 RAW_TOPIC = "reviews.raw"
@@ -29,10 +30,19 @@ def kafka_options(servers: str, topic: str, start: str, per_batch: int | None =
     return options | ({"maxOffsetsPerTrigger": str(per_batch)} if per_batch else {})
 
 
+def topic_options(path: str, start: str = "earliest", per_batch: int = MAX_POLL_RECORDS, at_least: int = 1,
+                  wait_s: float = 0) -> dict[str, str]:
+    """Options of the `messages` transport: polls of at most `per_batch` records (0: all), held back until there are
+    `at_least` or `wait_s` seconds have gone by."""
+    return {"path": path, "startingOffsets": start, "maxRecords": str(per_batch), "minRecords": str(at_least), "maxDelay": str(wait_s)}
+
+
 def message_stream(spark: SparkSession, transport: str, options: dict[str, str]) -> DataFrame:
-    """Stream of (key, value). Kafka has its own schema; file streams (json, parquet) get ours."""
+    """Stream of (key, value). Kafka and topics kept as files have schemas of their own; file streams (json, parquet) get ours."""
+    if transport == FORMAT:
+        spark.dataSource.register(MessageSource)
     reader = spark.readStream.format(transport).options(**options)
-    return reader.load() if transport == "kafka" else reader.schema(MESSAGE).load()
+    return reader.load() if transport in ("kafka", FORMAT) else reader.schema(MESSAGE).load()
 
 
 def raw_review_stream(spark: SparkSession, transport: str, options: dict[str, str],

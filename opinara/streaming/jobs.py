@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from opinara.operators.alerts import COOLDOWN_S, RECENT_S, anomalies
 from opinara.operators.stats import review_stats
-from opinara.operators.tables import first_within, mark_updates
+from opinara.operators.tables import WINDOW_KEY, first_within, keep_last, mark_updates
 from opinara.operators.windows import (
     check_sliding,
     classify_arrival,
@@ -23,9 +23,12 @@ from opinara.operators.windows import (
     total,
     unplaced,
 )
-from opinara.schemas import WINDOW_AGG
+from opinara.schemas import REVIEW, WINDOW_AGG
 from opinara.session import durable
+from opinara.sources.codec import CORRUPT
 from opinara.sources.levels import LevelledLog
+from opinara.sources.messages import FORMAT
+from opinara.sources.readers import raw_review_stream, topic_options, window_stream
 from opinara.sources.writers import append_batch, before, days_of, latest_windows, publish_counters, read_versions, run_of
 
 # Fixed values of the flush policy.
@@ -42,10 +45,44 @@ ALERT = T.StructType([
 
 
 def flush_every(writer: DataStreamWriter, seconds: int = FLUSH_S, final: bool = False) -> DataStreamWriter:
-    """Flush on a timer; `final` drains what is there and stops. Rows per flush are capped at the source."""
+    """Flush on a timer; `final` drains what is there and stops. By rows or time: `run_flushed`."""
     return writer.trigger(availableNow=True) if final else writer.trigger(processingTime=f"{seconds} seconds")
 
 
+def run_decoded(spark: SparkSession, topic: str, out: str, checkpoint: str, schema: T.StructType = REVIEW, start: str = "earliest",
+                per_batch: int = 500) -> StreamingQuery:
+    """Decode a topic of messages into a table at `out`; rows whose `_corrupt_record` is not null are the messages set apart."""
+    decoded = raw_review_stream(spark, FORMAT, topic_options(topic, start, per_batch), schema)
+    return (decoded.writeStream.option("checkpointLocation", checkpoint).format("parquet").option("path", out)
+            .trigger(processingTime="0 seconds").start())
+
+
+def run_flushed(spark: SparkSession, topic: str, checkpoint: str, *writes: Callable[[DataFrame, int], None], rows: int = FLUSH_ROWS,
+                seconds: float = FLUSH_S) -> StreamingQuery:
+    """Hand the windows of a topic to the writers whenever `rows` of them are there, and what there is after `seconds`.
+
+    No batch has more than `rows` messages; of one window it keeps the last. Unreadable ones are left out. A query with `seconds` 0 on the same checkpoint,
+    drained, is the last flush of a stream that stops.
+    """
+    windows = window_stream(spark, FORMAT, topic_options(topic, per_batch=rows, at_least=rows, wait_s=seconds))
+    readable = windows.filter(F.col(CORRUPT).isNull()).select(*WINDOW_AGG.fieldNames(), "offset")
+    write_all = fan_out(*writes)
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        write_all(keep_last(batch, WINDOW_KEY, ["offset"]).drop("offset"), batch_id)  # a window has one partition
+
+    return (readable.writeStream.option("checkpointLocation", checkpoint).foreachBatch(flush)
+            .trigger(processingTime="0 seconds").start())
+
+
+def drain(query: StreamingQuery) -> None:
+    """Take all polls that are there, then stop."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def admissible(reviews: DataFrame, width_s: int, lateness_s: int) -> tuple[DataFrame, DataFrame]:
     """(reviews the windows accept, reviews without date or arrival, with the reason)
 
