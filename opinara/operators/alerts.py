@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinara.functions import exact_mean, fixed_text
 from opinara.operators.scaling import hopping_sums
 from opinara.operators.tables import retain_since
+from opinara.session import durable
 
 # Fixed values of the alert contract.
 RATING_THRESHOLD = 3.0
@@ -97,43 +98,34 @@ def anomaly_history(windows: DataFrame, recent_s: int = RECENT_S, every_s: int =
 
 
 def alert_cooldown(history: DataFrame, every_s: int = CHECK_EVERY_S, cooldown_s: int = COOLDOWN_S,
-                   block_steps: int = 1440) -> DataFrame:
+                   block_steps: int = 1440, fanout: int = 64) -> DataFrame:
     """Alerts that go out when a product stays silent for `cooldown_s` after each one sent.
 
     Which alerts are sent depends on the one sent before, but only through how
     many checks are still to be skipped. So each block of `block_steps` checks
-    is first summarized as "skips left before -> skips left after" for every
-    possible value, the short summaries are chained per product, and then each
-    block is replayed on its own. No list is longer than a block of checks or
-    the number of blocks in the history, however many windows there are.
+    is summarized as "skips left before -> skips left after" for every possible
+    value. Such maps compose, so `fanout` blocks are summarized to one of the
+    next level and so on; going down again, each block learns what it begins
+    with and is replayed on its own. No list is longer than `block_steps` or
+    `fanout`, however long the history is.
     """
     skip = -(-cooldown_s // every_s)
     block_steps = max(block_steps, skip)
     step = F.floor(F.unix_seconds("check_at") / every_s)
-    checks = (history.select("product_id", step.alias("step")).distinct()
-              .groupBy("product_id", F.floor(F.col("step") / block_steps).alias("block"))
-              .agg(F.array_sort(F.collect_set((F.col("step") % block_steps).cast("int"))).alias("steps")))
+    checks = durable(history.select("product_id", step.alias("step")).distinct()
+                     .groupBy("product_id", F.floor(F.col("step") / block_steps).alias("block"))
+                     .agg(F.array_sort(F.collect_set(F.pmod("step", F.lit(block_steps)).cast("int"))).alias("steps")))
 
     def free_after(start: Column) -> Column:
         """First step free again after the block, given the first free step in it."""
         return F.aggregate("steps", start.cast("int"),
                            lambda free, s: F.when(s >= free, s + skip).otherwise(free))
 
-    outcome = F.transform(F.sequence(F.lit(0), F.lit(max(skip - 1, 0))),
-                          lambda start: F.greatest(free_after(start) - block_steps, F.lit(0)))
-    chained = (checks.select("product_id", F.struct("block", outcome.alias("outcome")).alias("b"))
-               .groupBy("product_id").agg(F.array_sort(F.collect_list("b")).alias("blocks")))
-    start = F.struct(F.lit(None).cast("long").alias("block"), F.lit(0).alias("free"),
-                     F.array().cast("array<struct<block:bigint,free:int>>").alias("entry"))
-
-    def enter(state: Column, b: Column) -> Column:
-        free = F.when(b["block"] == state["block"] + 1, state["free"]).otherwise(F.lit(0))
-        return F.struct(b["block"].alias("block"), F.element_at(b["outcome"], free + 1).alias("free"),
-                        F.concat(state["entry"], F.array(F.struct(b["block"].alias("block"),
-                                                                  free.alias("free")))).alias("entry"))
-
-    entries = (chained.select("product_id", F.explode(F.aggregate("blocks", start, enter)["entry"]).alias("e"))
-               .select("product_id", "e.block", "e.free"))
+    starts = F.sequence(F.lit(0), F.lit(max(skip - 1, 0)))
+    outcome = F.transform(starts, lambda start: F.greatest(free_after(start) - block_steps, F.lit(0)))
+    first, last = checks.agg(F.min("block"), F.max("block")).first()
+    entries = _entries(checks.select("product_id", "block", outcome.alias("outcome")), starts, fanout,
+                       first or 0, last or 0)
     replay_start = F.struct(F.col("free").alias("free"), F.array().cast("array<int>").alias("sent"))
 
     def replay(state: Column, s: Column) -> Column:
@@ -147,3 +139,41 @@ def alert_cooldown(history: DataFrame, every_s: int = CHECK_EVERY_S, cooldown_s:
             .select("product_id", (F.col("block") * block_steps + F.col("s")).alias("_step")))
     return (history.withColumn("_step", step).join(sent, ["product_id", "_step"], "left_semi")
             .select(*history.columns))
+
+
+def _entries(blocks: DataFrame, starts: Column, fanout: int, first: int, last: int) -> DataFrame:
+    """The skips left at the beginning of every block (`free`), from each block's `outcome` per number of skips left.
+
+    first, last: of all block numbers. A block that is missing has no alert, and a block is at
+    least as long as the cooldown, so nothing is left to skip after it.
+    """
+    many = last - first >= fanout
+    up = (F.floor(F.col("block") / fanout) if many else F.lit(0)).cast("long").alias("up")
+    groups = (blocks.groupBy("product_id", up)
+              .agg(F.array_sort(F.collect_list(F.struct("block", "outcome"))).alias("blocks")))
+
+    def entry(state: Column, b: Column) -> Column:
+        return F.when(b["block"] == state["next"], state["free"]).otherwise(F.lit(0))
+
+    def after(state: Column, b: Column) -> Column:
+        return F.struct((b["block"] + 1).alias("next"), F.element_at(b["outcome"], entry(state, b) + 1).alias("free"))
+
+    def listed(state: Column, b: Column) -> Column:
+        reached = after(state, b)
+        return F.struct(reached["next"].alias("next"), reached["free"].alias("free"), F.concat(state["entry"], F.array(
+            F.struct(b["block"].alias("block"), entry(state, b).alias("free")))).alias("entry"))
+
+    begin = F.col("up") * fanout
+    if many:
+        def outcome(start: Column) -> Column:
+            end = F.aggregate("blocks", F.struct(begin.alias("next"), start.cast("int").alias("free")), after)
+            return F.when(end["next"] == begin + fanout, end["free"]).otherwise(F.lit(0))
+        above = _entries(groups.select("product_id", F.col("up").alias("block"), F.transform(starts, outcome).alias("outcome")),
+                         starts, fanout, first // fanout, last // fanout)
+        groups = groups.join(above.withColumnRenamed("block", "up"), ["product_id", "up"])
+    else:
+        begin, groups = F.lit(None).cast("long"), groups.withColumn("free", F.lit(0))
+    none = F.struct(begin.alias("next"), F.col("free").alias("free"),
+                    F.array().cast("array<struct<block:bigint,free:int>>").alias("entry"))
+    return (groups.select("product_id", F.explode(F.aggregate("blocks", none, listed)["entry"]).alias("e"))
+            .select("product_id", "e.block", "e.free"))

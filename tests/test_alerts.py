@@ -83,3 +83,29 @@ def test_cooldown_equals_greedy(spark, every, cooldown, block):
     expected = {(p, BASE + dt.timedelta(seconds=s * every), rule) for p, ss in steps.items()
                 for s in greedy(ss, every, cooldown) for rule in ("low_rating", "negative_share")}
     assert sent == expected
+
+
+@pytest.mark.parametrize("fanout", [6, 64])
+def test_cooldown_over_many_levels_and_gaps(spark, fanout):
+    """Blocks of five checks, stretches without alerts, times before 1970; groups of blocks of every size."""
+    rng = random.Random(fanout)
+    steps = {"dense": list(range(-400, 400)), "gaps": sorted(rng.sample(range(-5000, 5000), 900)), "one": [-7]}
+    rows = [(p, s, "low_rating") for p, ss in steps.items() for s in ss]
+    history = (spark.createDataFrame(rows, "product_id string, s long, rule string")
+               .select("product_id", F.timestamp_seconds(F.col("s") * 60).alias("check_at"), "rule", "s"))
+    got = {(r.product_id, r.s) for r in alerts.alert_cooldown(history, 60, 300, 5, fanout).collect()}
+    assert got == {(p, s) for p, ss in steps.items() for s in greedy(ss, 60, 300)}
+
+
+def test_cooldown_over_ten_thousand_blocks(spark):
+    """A product that could alert at every check: no list grows with the history."""
+    checks = 50_000
+    history = spark.range(checks).select(F.lit("a").alias("product_id"), F.timestamp_seconds(F.col("id") * 60).alias("check_at"),
+                                         F.lit("low_rating").alias("rule"))
+    got = alerts.alert_cooldown(history, 60, 300, 5)
+    assert got.agg(F.count("*"), F.max(F.unix_seconds("check_at"))).first() == (checks // 5, (checks - 5) * 60)
+
+
+def test_cooldown_of_no_alerts(spark):
+    history = spark.createDataFrame([], "product_id string, check_at timestamp, rule string")
+    assert alerts.alert_cooldown(history).collect() == []
