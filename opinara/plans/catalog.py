@@ -363,6 +363,15 @@ def filter_exact(spark, sf):
     return serving.filter_exact(fx.windows(spark, sf), "WB-002")
 
 
+@query
+def filter_stored(spark, sf):
+    """The prefix filter on the stored window table, which is written in two batches, clustered by product."""
+    root, seen = _fresh(spark), fx.windows(spark, sf).withColumn("is_update", F.lit(False))
+    for batch_id, kept in enumerate(("review_count > 1", "review_count > 0")):  # the second replaces rows of the first
+        writers.append_batch(seen.filter(kept).select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start", cluster=tables.WINDOW_KEY)
+    return serving.filter_prefix(writers.latest_windows(spark, root, WINDOW_AGG), "WB-00").drop("is_update")
+
+
 @query
 def ticket_filter(spark, sf):
     return serving.query_windows(fx.windows(spark, sf), serving.ticket_for_path(["windows", "OZ-"]))

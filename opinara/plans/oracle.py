@@ -358,6 +358,7 @@ ORACLE["dedup_reviews_by_id"] = ORACLE["dedup_reviews"]
 ORACLE["stream_tumbling_shuffled"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_dedup_refetched"] = ORACLE["dedup_within_horizon"]
 ORACLE["stream_closing"] = ORACLE["tumbling_changelog"]
+ORACLE["filter_stored"] = ORACLE["filter_prefix"]
 ORACLE["stream_messages"] = f"select * exclude (seq) from ({ORACLE['json_quarantine']})"
 ORACLE["stream_flushed"] = ORACLE["stream_tumbling_table"]
 ORACLE["stream_alerts"] = ORACLE["alert_cooldown"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -69,12 +69,20 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, run: str = "0") -> None:
-    """Write one batch. Files per day follow from the size of the day's rows: large days are split, small ones joined."""
-    (rows.withColumns({"day": F.to_date(ts), "run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
-     .hint("rebalance", F.col("day"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day", *VERSION).parquet(root))
+def append_batch(rows: DataFrame, root: str, batch_id: int, ts: str, run: str = "0", cluster: Sequence[str] = ()) -> None:
+    """Write one batch. Files per day follow from the size of the day's rows: large days are split, small ones joined.
+
+    cluster: columns that the rows of a file are sorted by. A filter on the first of them reads only the row groups and
+    pages that may hold its value: prefixes by the least and greatest values, single values by a Bloom filter too.
+    """
+    placed = rows.withColumns({"day": F.to_date(ts), "run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+    placed = placed.hint("rebalance", F.col("day"))
+    if cluster:
+        placed = placed.sortWithinPartitions("day", *VERSION, *cluster)
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if cluster:
+        writer = writer.options(**{f"parquet.bloom.filter.enabled#{cluster[0]}": "true", "parquet.bloom.filter.adaptive.enabled": "true"})
+    writer.partitionBy("day", *VERSION).parquet(root)
 
 
 def days_of(rows: DataFrame, ts: str) -> list[date]:
@@ -123,4 +131,4 @@ def compact_windows(spark: SparkSession, root: str, schema: T.StructType, target
     """
     newest = read_versions(spark, root, schema).agg(F.max(F.struct(*VERSION))).first()[0]
     if newest is not None:
-        append_batch(latest_windows(spark, root, schema, first_day), target, newest.batch_id, "window_start", newest.run)
+        append_batch(latest_windows(spark, root, schema, first_day), target, newest.batch_id, "window_start", newest.run, WINDOW_KEY)

@@ -180,7 +180,7 @@ def upsert_into(root: str, run: str = "0") -> Callable[[DataFrame, int], None]:
             earlier = before(read_versions(batch.sparkSession, root, WINDOW_AGG, days=days), run, batch_id)
             corrects = "corrects" if "corrects" in batch.columns else None
             marked = mark_updates(batch, earlier, corrects=corrects)
-            append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start", run)
+            append_batch(marked.select(*WINDOW_AGG.fieldNames()), root, batch_id, "window_start", run, WINDOW_KEY)
         finally:
             batch.unpersist()
     return write
