@@ -133,3 +133,13 @@ def test_sliding_messages_without_value_are_kept_apart(spark, tmp_path):
     jobs.drain(jobs.run_decoded(spark, root, out, str(tmp_path / "state"), SLIDING_AGG))
     got = spark.read.parquet(out).select("product_id", "_corrupt_record").collect()
     assert sorted(map(tuple, got), key=str) == sorted([("a", None), (None, ""), (None, "nope")], key=str)
+
+
+def test_an_empty_append_publishes_nothing(spark, tmp_path):
+    root, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    assert messages.append_messages(numbered(spark, 0), root, ["at"]) == 0
+    jobs.drain(jobs.run_decoded(spark, root, out, str(tmp_path / "state")))
+    assert spark.read.schema("id string").parquet(out).count() == 0
+    assert messages.append_messages(numbered(spark, 3), root, ["at"]) == 3
+    assert messages.append_messages(numbered(spark, 4), root, ["at"]) == 4
+    assert sum(messages.Topic(root).ends().values()) == 7
