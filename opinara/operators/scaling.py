@@ -32,6 +32,11 @@ def attach_small(df: DataFrame, lookup: DataFrame, on: Sequence[str],
     return spread.join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 
+def few_or_shuffled(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A stored table for the right side of a join: broadcast if it has few rows."""
+    return F.broadcast(lookup) if lookup.count() <= max_rows else lookup
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS,
                    chunks: int | None = None, sizes: DataFrame | None = None) -> DataFrame:

@@ -45,3 +45,24 @@ def test_dedup_horizon_counts_from_the_accepted_copy(spark, blocks):
     got = tables.dedup_within(df, 120, blocks=blocks)
     assert got.columns == df.columns
     assert sorted(r.seq for r in got.collect()) == [0, 2, 5, 6, 8]
+
+
+@pytest.mark.parametrize("max_dense", [100_000, 3])
+def test_busy_keys_over_several_levels_equal_a_loop(spark, max_dense):
+    rng = random.Random(3)
+    keys = {"long": rng.sample(range(-400_000, 400_000), 4000), None: rng.sample(range(200_000), 2500), "even": list(range(0, 60_000, 15)),
+            "first": [0, *range(5 * 30 * 32, 5 * 30 * 32 + 900)], "within": [5, 6, 7, 30]}
+    rows = [(k, t) for k, ts in keys.items() for t in ts]
+    df = spark.createDataFrame(rows, "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = keep_spaced(df, "k", "ts", 30, 100, 3, max_dense).select("k", F.unix_seconds("ts").alias("s")).collect()
+    expected = [(k, t) for k, ts in keys.items() for t in greedy(ts, 30)]
+    order = lambda r: (r[0] or "", r[1])
+    assert sorted(map(tuple, got), key=order) == sorted(expected, key=order)
+
+
+def test_a_busy_key_is_walked_in_few_rounds(spark, monkeypatch):
+    """The number of jobs follows from the levels of blocks, not from the doubling of pointers over all instants."""
+    from opinara.operators import spacing
+    monkeypatch.setattr(spacing, "_reach", lambda *_: pytest.fail("pointers were doubled over all instants"))
+    df = spark.range(50_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 7).alias("ts"))
+    assert keep_spaced(df, "k", "ts", 60).count() == 50_000 // 9 + 1
