@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators.membership import FILTER_BLOCKS, bloom_filter, split_by_filter
+from opinara.operators.scaling import few_or_shuffled
 from opinara.operators.spacing import keep_spaced
+from opinara.session import durable
 
 WINDOW_KEY = ("product_id", "window_start")
 
@@ -64,12 +66,23 @@ def dedup_within(reviews: DataFrame, horizon_s: int = 120, blocks: int = FILTER_
 
 
 def first_within(reviews: DataFrame, horizon_s: int) -> DataFrame:
-    """The rule of `dedup_within` alone, for rows without text or whose ids mostly repeat: all of them are shuffled."""
-    at_once = keep_first(reviews, ["id", "arrival_ts"], ["seq"])
-    accepted = keep_spaced(reviews, "id", "arrival_ts", horizon_s).withColumnsRenamed(
-        {"id": "_id", "arrival_ts": "_at"})
-    return at_once.join(accepted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")),
-                        "left_semi")
+    """The rule of `dedup_within` alone, for rows without text or whose ids mostly repeat: all of them are shuffled.
+
+    An id whose reviews all arrived within the horizon keeps its first one, which an aggregate finds; only others are spaced.
+    """
+    dated = reviews.filter("arrival_ts is not null")
+    firsts = durable(dated.groupBy("id").agg(
+        F.min_by(F.struct(*reviews.columns), F.struct("arrival_ts", "seq")).alias("row"),
+        (F.unix_micros(F.max("arrival_ts")) - F.unix_micros(F.min("arrival_ts")) >= horizon_s * 1_000_000).alias("wide")))
+    single = firsts.filter("not wide").select("row.*")
+    wide = firsts.filter("wide").select(F.col("id").alias("_id"))
+    if wide.isEmpty():
+        return single
+    spread = dated.join(few_or_shuffled(wide), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    kept = durable(keep_spaced(spread, "id", "arrival_ts", horizon_s).withColumnsRenamed({"id": "_id", "arrival_ts": "_at"}))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at"))
+    at_once = spread.join(few_or_shuffled(kept), same, "left_semi")
+    return single.unionByName(keep_first(at_once, ["id", "arrival_ts"], ["seq"]))
 
 
 def mark_updates(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("window_start",),

@@ -199,3 +199,11 @@ def test_filter_of_keys(spark, blocks):
     assert len(inside) - 1002 <= {4096: 5, 3: 100, 1: 600}[blocks]
     none = membership.bloom_filter(keys.limit(0), blocks)
     assert membership.split_by_filter(rows, "id", none, blocks)[0].count() == 0
+
+
+def test_ids_within_the_horizon_are_not_spaced(spark, monkeypatch):
+    """An aggregate finds the first review of an id whose reviews lie within the horizon; no pointers, no lists."""
+    monkeypatch.setattr(tables, "keep_spaced", lambda *_: pytest.fail("ids within the horizon were spaced"))
+    rows = spark.createDataFrame([("a", 5, 2), ("a", 5, 1), ("a", 100, 3), ("b", 7, 4), (None, 9, 6), (None, 8, 5), ("c", None, 7)],
+                                 "id string, s long, seq long").withColumn("arrival_ts", F.timestamp_seconds("s"))
+    assert sorted(r.seq for r in tables.first_within(rows, 120).collect()) == [1, 4, 5]
