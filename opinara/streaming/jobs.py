@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from opinara.operators.alerts import COOLDOWN_S, RECENT_S, anomalies
+from opinara.operators.scaling import few_or_shuffled
 from opinara.operators.stats import review_stats
 from opinara.operators.tables import WINDOW_KEY, first_within, keep_last, mark_updates
 from opinara.operators.windows import (
@@ -251,7 +252,7 @@ def dedup_into(root: str, run: str, horizon_s: int = DEDUP_HORIZON_S) -> Callabl
             finally:
                 both.unpersist()
             same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("arrival_ts") == F.col("_at")) & F.col("seq").eqNullSafe(F.col("_seq"))
-            accepted = dated.join(fresh.toDF("_id", "_at", "_seq"), same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
+            accepted = dated.join(few_or_shuffled(fresh.toDF("_id", "_at", "_seq")), same, "left_semi").dropDuplicates(SEEN.fieldNames())  # rows may be repeated whole
             append_batch(accepted, f"{root}/accepted", batch_id, "arrival_ts", run)
             log.add(fresh, batch_id, "arrival_ts")
         finally:
