@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from opinara.session import shared_dir
 
 BLOCK = 1 << 16
+#: Texts are made Python objects so many at a time, so that a worker's memory does not follow from the rows of a batch.
+SLICE_ROWS = 200
+
+
+def slices(parts: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches that share the memory of the large ones."""
+    for batch in parts:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches, fixed_array, likely_members, mixed, split_by, stored, texts_of
+from opinara.llm.common import batches, fixed_array, likely_members, mixed, slices, split_by, stored, texts_of
 from opinara.llm.components import components
 from opinara.llm.shingles import distinct, shingle_set
 
@@ -50,9 +50,10 @@ def least_overlap(total: int | np.ndarray, percent: int):
 def rank_order(texts: DataFrame, words: int) -> np.ndarray:
     """By bucket of hash: the number of documents with such shingles, on a logarithmic scale of a byte."""
     def fill(batch, total):
-        sets = [shingle_set(t, words) for t in batch["text"].to_pylist()]
-        at = (np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        total += np.bincount(at, minlength=1 << BUCKET_BITS).astype(np.uint32)
+        for part in slices([batch]):
+            sets = [shingle_set(t, words) for t in part["text"].to_pylist()]
+            at = (np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+            total += np.bincount(at, minlength=1 << BUCKET_BITS).astype(np.uint32)
 
     counts = fixed_array(texts.select("text"), fill, 1 << BUCKET_BITS)
     return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
@@ -79,7 +80,7 @@ def signatures(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) ->
 
     def sign(parts):
         def rows() -> Iterator[dict]:
-            for batch in parts:
+            for batch in slices(parts):
                 for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                     s = shingle_set(text, words)
                     row = {"doc_id": doc_id, "n": len(s), "digest": b"", "prefix": b"", "bits": b""}
@@ -88,7 +89,7 @@ def signatures(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) ->
                         row |= {"digest": xxhash.xxh3_128_digest(s.tobytes()), "bits": parities(s),
                                 "prefix": in_order(s, held.value)[:keep].tobytes()}
                     yield row
-        yield from batches(rows(), schema, 2000)
+        yield from batches(rows(), schema, 500)
 
     return texts.mapInArrow(sign, "doc_id long, n long, digest binary, prefix binary, bits binary")
 
@@ -239,7 +240,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
     def compare(parts):
         def rows():
-            for batch in parts:
+            for batch in slices(parts):
                 for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "x", "y"))):
                     s, t = shingle_set(x, words), shingle_set(y, words)
                     both = len(s) + len(t) - len(distinct(np.concatenate([s, t])))
@@ -383,7 +384,7 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _class_texts(texts: DataFrame, involved: DataFrame, words: int) -> DataFrame:
     """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest."""
     def check(parts):
-        for batch in parts:
+        for batch in slices(parts):
             same = [xxhash.xxh3_128_digest(shingle_set(t, words).tobytes()) == d
                     for t, d in zip(batch["text"].to_pylist(), batch["digest"].to_pylist())]
             yield batch.select(["sid", "text"]).filter(pa.array(same, pa.bool_()))

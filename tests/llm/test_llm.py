@@ -490,3 +490,29 @@ def test_language_stage_on_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and kept.where("text is null or trim(text) = ''").isEmpty()
     assert kept.where("text = 'one'").count() == 4
     assert language.accepted(none, held, 0.0).isEmpty() and language.accepted(odd, {}, 0.0).isEmpty()
+
+
+def test_shingle_counts_hold_few_sets_at_a_time(monkeypatch):
+    """A worker's memory follows from a slice of a batch, not from the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from opinara.llm import ngram_join
+    kept = []
+    monkeypatch.setattr(ngram_join, "fixed_array", lambda df, fill, size: kept.append(fill) or np.zeros(size, np.uint32))
+
+    class Texts:
+        def select(self, *_):
+            return self
+    ngram_join.rank_order(Texts(), 3)
+    texts = [b" ".join(b"w%d" % (i * 7 + j * j) for j in range(250)) for i in range(4000)]
+    batch, total = pa.record_batch({"text": pa.array(texts, pa.binary())}), np.zeros(1 << ngram_join.BUCKET_BITS, np.uint32)
+    tracemalloc.start()
+    try:
+        kept[0](batch, total)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total.sum() == sum(len(ngram_join.shingle_set(t, 3)) for t in texts)
+    assert peak < 20_000_000
