@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,10 @@ HELD = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("start_us", T.LongType()), T.StructField("at_close", T.BooleanType()),
     T.StructField("at_us", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("r", T.LongType()),
     T.StructField("l", T.LongType()), T.StructField("c", T.LongType())])
+#: A late review as it is kept in the state; `known` is false where seq is null.
+LATE = np.dtype([("at_us", "<i8"), ("seq", "<i8"), ("r", "<i8"), ("l", "<i8"), ("known", "?")])
+#: Most reviews of a block.
+LATE_ROWS = 10_000
 EMISSION = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("window_start", T.TimestampType()),
     T.StructField("emitted_at", T.TimestampType()), T.StructField("seq", T.LongType()), T.StructField("r", T.LongType()),
@@ -50,7 +55,8 @@ def state_store(spark: SparkSession) -> Iterator[None]:
 class HoldUntilDue(StatefulProcessor):
     """Part of one product's window: sums of on-time reviews until the window ends, late ones until all earlier arrivals are in.
 
-    A row is due once the watermark has passed its time: then nothing that arrived before it can still come.
+    A row is due once the watermark has passed its time: then nothing that arrived before it can still come. Late reviews are
+    held as packed blocks, one per batch of rows, and come out as arrays: what a review costs is a few bytes, not objects.
     """
 
     def __init__(self, width_s: int):
@@ -59,11 +65,11 @@ class HoldUntilDue(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.on_time = handle.getValueState("on_time", "r long, l long, c long, seq long")
-        self.late = handle.getListState("late", "at_us long, seq long, r long, l long")
+        self.late = handle.getListState("late", "block binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         r, l, c, seq = self.on_time.get() or (0, 0, 0, None)
-        held, before_c = [], c
+        held, first, before_c = [], None, c
         for part in rows:
             on = part[~part["is_late"]]
             if len(on):
@@ -72,38 +78,66 @@ class HoldUntilDue(StatefulProcessor):
                 if len(known):
                     seq = int(known.max()) if seq is None else max(seq, int(known.max()))
             after = part[part["is_late"]]
-            held += zip(after["at_us"].astype(int).tolist(), [None if pd.isna(s) else int(s) for s in after["seq"]],
-                        after["r"].astype(int).tolist(), after["l"].astype(int).tolist())
+            for at in range(0, len(after), LATE_ROWS):
+                block = packed_late(after.iloc[at:at + LATE_ROWS])
+                held.append((block.tobytes(),))
+                first = int(block["at_us"].min()) if first is None else min(first, int(block["at_us"].min()))
         if c > before_c:
             self.on_time.update((r, l, c, seq))
             self.handle.registerTimer((key[1] + self.width_us) // 1000)
         if held:
             self.late.appendList(held)
-            self.handle.registerTimer(min(h[0] for h in held) // 1000)
+            self.handle.registerTimer(first // 1000)
         yield pd.DataFrame([], columns=HELD.names)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         product, start_us = key[0], key[1]
         passed = timerValues.getCurrentWatermarkInMs()
-        out = []
         closes = start_us + self.width_us
         sums = self.on_time.get()
         if sums is not None and closes // 1000 < passed:
-            out.append((product, start_us, True, closes, sums[3], *sums[:3]))
+            yield pd.DataFrame([(product, start_us, True, closes, sums[3], *sums[:3])], columns=HELD.names)
             self.on_time.clear()
-        held = list(self.late.get())
-        rest = [h for h in held if h[0] // 1000 >= passed]
-        if len(rest) < len(held):
-            out += [(product, start_us, False, at, seq, r, l, 1) for at, seq, r, l in held if at // 1000 < passed]
+        rest, waits, due = [], None, False
+        for (data,) in self.late.get():
+            block = np.frombuffer(data, LATE)
+            now = block["at_us"] // 1000 < passed
+            if now.any():
+                due = True
+                yield unpacked_late(product, start_us, block[now])
+                block = block[~now]
+            if len(block):
+                rest.append((block.tobytes(),))
+                waits = int(block["at_us"].min()) if waits is None else min(waits, int(block["at_us"].min()))
+        if due:
             self.late.put(rest) if rest else self.late.clear()
         if rest:
-            self.handle.registerTimer(min(h[0] for h in rest) // 1000)
-        yield pd.DataFrame(out, columns=HELD.names)
+            self.handle.registerTimer(waits // 1000)
 
     def close(self) -> None:
         pass
 
 
+def packed_late(rows: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(rows), LATE)
+    known = rows["seq"].notna().to_numpy()
+    out["seq"] = 0
+    out["seq"][known] = rows["seq"].to_numpy()[known].astype(np.int64)
+    out["known"] = known
+    for c in ("at_us", "r", "l"):
+        out[c] = rows[c].to_numpy()
+    return out
+
+
+def unpacked_late(product: str | None, start_us: int, block: np.ndarray) -> pd.DataFrame:
+    """Rows of HELD for some late reviews."""
+    n = len(block)
+    seq = pd.array(block["seq"].copy(), "Int64")
+    seq[~block["known"]] = pd.NA
+    return pd.DataFrame({"product_id": [product] * n, "start_us": np.full(n, start_us), "at_close": np.zeros(n, bool), "at_us": block["at_us"].copy(),
+                         "seq": seq, "r": block["r"].copy(), "l": block["l"].copy(), "c": np.ones(n, np.int64)}, columns=HELD.names)
+
+
 def due_rows(reviews: DataFrame, width_s: int, lateness_s: int, disorder_s: int, salts: int = SALTS) -> DataFrame:
     """What windows have to emit, each row once its time has come: sums at the end of a window (in up to `salts` parts), then
     one row per late review. `disorder_s`: so much later than a review that arrived after it a review may still be read."""

@@ -131,3 +131,18 @@ def test_days_are_read_one_by_one(spark, tmp_path):
     """A stray old row adds its own day, not all the days since."""
     rows = spark.createDataFrame([("1999-05-01",), ("2024-01-01",), (None,)], "t string").select(F.col("t").cast("timestamp").alias("t"))
     assert len(timers.days_of(rows, "t")) == 2
+
+
+def test_late_reviews_are_held_as_blocks():
+    """A batch of late reviews is one value of the state, not one per review; what comes out is the same."""
+    run = Runner(timers.HoldUntilDue(60), ("a", 0, 0))
+    at = [(70 + i) * SECOND for i in range(300)]
+    seq = pd.array([None if i % 7 == 0 else i for i in range(300)], "Int64")
+    rows = pd.DataFrame({"at_us": at, "seq": seq, "is_late": True, "r": range(300), "l": -1})
+    assert run.batch(rows, 0) == []
+    assert len(run.store.kept["late"]) == 1
+    first = run.batch(pd.DataFrame(), 170)
+    rest = run.batch(pd.DataFrame(), 1000)
+    assert "late" not in run.store.kept and len(first) == 100
+    assert [(r[3], None if pd.isna(r[4]) else r[4], r[5], r[6], r[7]) for r in first + rest] == \
+        [(a, None if i % 7 == 0 else i, i, -1, 1) for i, a in enumerate(at)]
