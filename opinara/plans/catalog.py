@@ -642,13 +642,33 @@ def stream_dedup_refetched(spark, sf):
     return spark.read.schema(reviews.schema).parquet(f"{root}/dedup/accepted").select("id", "arrival_ts", "seq", "rating")
 
 
+#: Texts of up to so many bytes are joined to messages by broadcast.
+MAX_TEXT_BYTES = 64 << 20
+
+
+def _review_messages(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame] | None]:
+    """Messages and how they get their values: once they are in order if all texts fit a broadcast, else they have them."""
+    texts = fx.texts(spark, sf)
+    n_docs, n_bytes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()
+    if n_bytes > MAX_TEXT_BYTES:
+        return fx.review_messages(spark, sf), None
+
+    def attach(placed: DataFrame) -> DataFrame:
+        base = fx.with_text(placed, F.broadcast(texts), n_docs)
+        return base.withColumn("value", fx.message_value(base))
+
+    return (fx.reviews(spark, sf).select("seq", F.col("product_id").alias("key"),
+                                         *[c for c in codec.RAW_FIELDS if c != "text"]), attach)
+
+
 @query
 def stream_messages(spark, sf):
     """Review messages appended to a topic in two goes, decoded in polls by record offset, with a restart in between."""
-    root, sent = _fresh(spark), fx.review_messages(spark, sf)
+    root = _fresh(spark)
+    sent, attach = _review_messages(spark, sf)
     n = sent.count()
     for half in (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0):
-        messages.append_messages(sent.filter(half), f"{root}/topic", ["seq"])
+        messages.append_messages(sent.filter(half), f"{root}/topic", ["seq"], attach=attach)
         jobs.drain(jobs.run_decoded(spark, f"{root}/topic", f"{root}/out", f"{root}/state", per_batch=max(1, -(-n // 6))))
     stored = T.StructType([*REVIEW.fields, T.StructField(codec.CORRUPT, T.StringType())])
     return (spark.read.schema(stored).parquet(f"{root}/out")

@@ -7,7 +7,7 @@ one-minute windows, hence the wider sizes below.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,15 +61,22 @@ def reviews_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "arrival_ts": F.when(F.col("seq") % 23 != 0, F.col("arrival_ts"))})
 
 
-def reviews_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("body"))
-    n_docs = documents.count()
-    return (reviews(spark, sf_dir).withColumn("doc_id", F.col("seq") % n_docs)
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("body"))
+
+
+def with_text(reviews: DataFrame, documents: DataFrame, n_docs: int) -> DataFrame:
+    return (reviews.withColumn("doc_id", F.col("seq") % n_docs)
             .join(documents, "doc_id")
             .withColumn("text", F.when(F.col("seq") % 13 == 0, "").otherwise(F.col("body")))
             .drop("doc_id", "body"))
 
 
+def reviews_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = texts(spark, sf_dir)
+    return with_text(reviews(spark, sf_dir), documents, documents.count())
+
+
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tumbling(reviews(spark, sf_dir), WIDTH_S)
 
@@ -97,14 +104,16 @@ def reviews_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews(spark, sf_dir).withColumn("id", F.concat_ws("-", "product_id", (F.col("seq") % 3).cast("string")))
 
 
-def review_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_value(base: DataFrame) -> Column:
     """Reviews as JSON; every fiftieth message is cut in half."""
-    base = reviews_with_text(spark, sf_dir)
     value = json_value(base, RAW_FIELDS)
-    half = (F.char_length("value") / 2).cast("int")
-    return (base.select("seq", F.col("product_id").alias("key"), value.alias("value"))
-            .withColumn("value", F.when(F.col("seq") % 50 == 0, F.col("value").substr(F.lit(1), half))
-                        .otherwise(F.col("value"))))
+    half = (F.char_length(value) / 2).cast("int")
+    return F.when(F.col("seq") % 50 == 0, value.substr(F.lit(1), half)).otherwise(value)
+
+
+def review_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = reviews_with_text(spark, sf_dir)
+    return base.select("seq", F.col("product_id").alias("key"), message_value(base).alias("value"))
 
 
 def reviews_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:

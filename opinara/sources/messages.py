@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -29,26 +29,46 @@ RECORD = T.StructType([
 ARROW = pa.schema([("key", pa.string()), ("value", pa.string()), ("partition", pa.int32()), ("offset", pa.int64())])
 STORED = ["key", "value"]
 SEGMENT_ROWS = 100_000
+#: Rows that get their values after they were placed are sorted by so many a task, values included.
+STRETCH_ROWS = 50_000
 
 
 # --- writing ----------------------------------------------------------------
 
+def in_topic_order(messages: DataFrame, order: Sequence[str | Column], partitions: int,
+                   attach: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """partition, key, value in the order of the topic, each task a stretch of it. attach: as in append_messages."""
+    by = ["partition", *order]
+    spread = F.xxhash64(F.col("key").cast("string"))
+    other = [F.col("value").cast("string")] if attach is None else [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = messages.withColumn("partition", F.pmod(F.when(F.col("key").isNotNull(), spread).otherwise(F.xxhash64(*other)),
+                                                    F.lit(partitions)).cast("int"))
+    if attach is None:
+        placed = dealt.repartitionByRange(*by)
+    else:
+        n = messages.count()
+        tasks = max(-(-n // STRETCH_ROWS), min(-(-n // 5000), messages.sparkSession.sparkContext.defaultParallelism), 1)
+        placed = attach(dealt.repartitionByRange(tasks, *by))
+    return placed.sortWithinPartitions(*by).select("partition", *[F.col(c).cast("string") for c in STORED])
+
+
 def append_messages(messages: DataFrame, root: str, order: Sequence[str | Column] = (), partitions: int = 8,
-                    segment_rows: int = SEGMENT_ROWS) -> int:
+                    segment_rows: int = SEGMENT_ROWS, attach: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Append (key, value) rows to the topic at `root`; returns how many.
 
-    Messages of one key go to one partition, in the given order; those without key are dealt out by their value. A partition
+    Values are most of a topic's bytes. With `attach`, `messages` has no value yet: its rows are put in order, then attach adds
+    the values to them and keeps their other columns; it must not move rows (a broadcast join or an expression does not).
+
+    Messages of one key go to one partition, in the given order; those without key are dealt out by their value (with
+    `attach`, by what orders them). A partition
     with a hot key is written by several tasks, each a stretch of it, and offsets follow from the counts of their files. A
     topic has one writer at a time. An append that breaks off has published a beginning of each partition, without gaps;
     appending again repeats those records, as a broker's producer does.
     """
     spark = messages.sparkSession
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    dealt = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.col("value").cast("string"))), F.lit(partitions)).cast("int")
-    by = ["partition", *order]
-    (messages.withColumn("partition", dealt).repartitionByRange(*by).sortWithinPartitions(*by)
-     .select("partition", *[F.col(c).cast("string") for c in STORED])
-     .write.partitionBy("partition").option("maxRecordsPerFile", segment_rows).parquet(staging))
+    (in_topic_order(messages, order, partitions, attach)
+     .write.partitionBy("partition").option("maxRecordsPerFile", segment_rows).option("compression", "zstd").parquet(staging))
     fs, place = _hadoop(spark, root)
     written = (spark.read.schema("key string, value string, partition int").parquet(staging)
                .groupBy("partition", F.col("_metadata.file_path").alias("path")).count().collect())  # a row per file

@@ -36,6 +36,8 @@ from opinara.sources.writers import append_batch, before, days_of, latest_window
 FLUSH_ROWS = 100
 FLUSH_S = 30
 DEDUP_HORIZON_S = 120
+#: Texts that repeat are kept once in a file of decoded messages if they are up to so many bytes in all.
+DICTIONARY, DICTIONARY_BYTES = "parquet.dictionary.page.size", 32 << 20
 
 ALERT = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("mean_rating", T.DoubleType()),
@@ -54,8 +56,14 @@ def run_decoded(spark: SparkSession, topic: str, out: str, checkpoint: str, sche
                 per_batch: int = 500) -> StreamingQuery:
     """Decode a topic of messages into a table at `out`; rows whose `_corrupt_record` is not null are the messages set apart."""
     decoded = raw_review_stream(spark, FORMAT, topic_options(topic, start, per_batch), schema)
-    return (decoded.writeStream.option("checkpointLocation", checkpoint).format("parquet").option("path", out)
-            .trigger(processingTime="0 seconds").start())
+    writer = (decoded.writeStream.option("checkpointLocation", checkpoint).format("parquet").option("path", out)
+              .option("compression", "zstd").trigger(processingTime="0 seconds"))
+    before = spark.conf.get(DICTIONARY, None)  # the file sink takes this from the session that starts it, not from its options
+    spark.conf.set(DICTIONARY, DICTIONARY_BYTES)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(DICTIONARY) if before is None else spark.conf.set(DICTIONARY, before)
 
 
 def run_flushed(spark: SparkSession, topic: str, checkpoint: str, *writes: Callable[[DataFrame, int], None], rows: int = FLUSH_ROWS,

@@ -143,3 +143,37 @@ def test_an_empty_append_publishes_nothing(spark, tmp_path):
     assert messages.append_messages(numbered(spark, 3), root, ["at"]) == 3
     assert messages.append_messages(numbered(spark, 4), root, ["at"]) == 4
     assert sum(messages.Topic(root).ends().values()) == 7
+
+
+def test_values_are_attached_after_rows_are_placed(spark, tmp_path, monkeypatch):
+    """Only keys and what orders them are shuffled; the order of a key and all values are as without `attach`."""
+    monkeypatch.setattr(messages, "STRETCH_ROWS", 1000)
+    root = str(tmp_path / "topic")
+    texts = spark.range(7).select(F.col("id").alias("which"), F.concat(F.lit("text "), "id").alias("body"))
+    rows = numbered(spark, 3000).repartition(6).drop("value").withColumn("which", F.col("at") % 7)
+
+    def attach(placed):
+        assert "value" not in placed.columns
+        return placed.join(F.broadcast(texts), "which").withColumn("value", F.concat_ws("/", "at", "body"))
+
+    plan = messages.in_topic_order(rows, ["at"], 2, attach)._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("BroadcastHashJoin") < plan.index("rangepartitioning") and plan.count("rangepartitioning") == 1
+    assert "hashpartitioning" not in plan
+    assert messages.append_messages(rows, root, ["at"], partitions=2, segment_rows=64, attach=attach) == 3000
+    got, _ = collected(spark, root, str(tmp_path / "state"), per_batch=0)
+    assert sorted((r.key or "", r.value) for r in got) == sorted((r.key or "", f"{r.at}/text {r.at % 7}") for r in rows.collect())
+    of_key = {}
+    for r in sorted(got, key=lambda r: (r.partition, r.offset)):
+        of_key.setdefault(r.key, []).append(int(r.value.split("/")[0]))
+    assert len(of_key["hot"]) > 1000 and all(at == sorted(at) for k, at in of_key.items() if k)
+
+
+def test_texts_that_repeat_are_stored_once_in_a_file(spark, tmp_path):
+    root, out = str(tmp_path / "topic"), tmp_path / "out"
+    which = F.floor(F.col("id") / 2) % 1500  # 1.9 MB of different texts, 31 MB of texts
+    noise = F.concat(*[F.sha2(F.concat_ws("-", which, F.lit(k)), 512) for k in range(10)])
+    sent = spark.range(24_000).select(F.lit("a").alias("key"), "id", F.to_json(F.struct(F.col("id").cast("string").alias("id"), noise.alias("text"))).alias("value"))
+    messages.append_messages(sent, root, ["id"], partitions=1)
+    jobs.drain(jobs.run_decoded(spark, root, str(out), str(tmp_path / "state"), per_batch=0))
+    assert spark.read.parquet(str(out)).select("text").distinct().count() == 1500
+    assert sum(f.stat().st_size for f in out.glob("*.parquet")) < 5e6
