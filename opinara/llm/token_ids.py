@@ -11,6 +11,8 @@ import numpy as np
 
 #: Latin letters, then ASCII punctuation: such a chunk is one word, or one word and one run of signs.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)").fullmatch
+#: The same of every line; others give two empty strings.
+LINES = re.compile("(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)|[^\n]+)\n").findall
 #: What may stand inside such a chunk.
 INSIDE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*[!-/:-@\\[-`{-~]*").fullmatch
 
@@ -41,7 +43,7 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = Tokenizer(self.tokenizer.model)
         self.limit, self.limit_bytes = limit, limit_bytes
-        self.young: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
         vocabulary = self.tokenizer.get_vocab()
@@ -49,7 +51,7 @@ class ChunkIds:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Not used if an added token could stand inside a plain chunk.
-        self.plain = (lambda text: None) if any(map(INSIDE, added)) else PLAIN
+        self.plain = not any(map(INSIDE, added))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -66,33 +68,33 @@ class ChunkIds:
 
     def _learn(self, chunks: set[bytes]) -> None:
         if len(self.young) > self.limit or self.held > self.limit_bytes:
-            self.old, self.young, self.held = self.young, {}, 0
-        young, old, plain = self.young, self.old, self.plain
-        split: dict[bytes, tuple[bytes, bytes]] = {}
-        other: list[bytes] = []
+            self.old, self.young, self.held = self.young, {b"": b""}, 0
+        young, old = self.young, self.old
         fresh = chunks.difference(young)
-        for c in fresh:
-            if c in old:
-                young[c] = old[c]
-            elif m := plain(c.decode("utf-8", "replace")):
-                split[c] = m[1].lower().encode(), m[2].encode()
-            else:
-                other.append(c)
-        words = {w for own in split.values() for w in own if w and w not in young}
-        known = words.intersection(old)
-        young.update((w, old[w]) for w in known)
-        missing = list(words - known)
+        known = old.keys() & fresh
+        young.update(zip(known, map(old.__getitem__, known)))
+        new = list(fresh - known)
+        parts = self._parts(new)
+        words = dict.fromkeys(w for own in parts for w in own)
+        missing = [w for w in words if w not in young]
+        known = [w for w in missing if w in old]
+        young.update(zip(known, map(old.__getitem__, known)))
+        missing = [w for w in missing if w not in young]
         for at in range(0, len(missing), 500):
             young.update(zip(missing[at:at + 500], self._words(missing[at:at + 500])))
+        other = [c for c, word in zip(new, parts[0]) if not word]
+        young.update(zip(new, map(bytes.__add__, *(map(young.__getitem__, own) for own in parts))))
         for at in range(0, len(other), 500):
             some = other[at:at + 500]
             young.update(zip(some, self._ids([c.decode("utf-8", "replace") for c in some])))
-        for c, (word, signs) in split.items():
-            if signs:
-                young[c] = young[word] + young[signs]
-            elif c != word:
-                young[c] = young[word]
-        self.held += sum(len(c) + len(young[c]) for c in fresh) + sum(len(w) + len(young[w]) for w in words)
+        self.held += sum(map(len, fresh)) + sum(map(len, map(young.__getitem__, fresh)))
+        self.held += sum(map(len, words)) + sum(map(len, map(young.__getitem__, words)))
+
+    def _parts(self, chunks: list[bytes]) -> list[list[bytes]]:
+        """The word of each chunk in lower case, and its signs; both empty if it is not plain."""
+        found = LINES(b"\n".join([*chunks, b""]).decode("utf-8", "replace")) if self.plain else [("", "")] * len(chunks)
+        words, signs = zip(*found) if found else ((), ())
+        return ["\n".join(own).encode().split(b"\n")[:len(chunks)] for own in ("\n".join(words).lower().split("\n"), signs)]
 
     def encode(self, texts: list[bytes], group: int = 200) -> Iterator[np.ndarray]:
         """An array of ids for each text."""

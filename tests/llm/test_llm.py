@@ -516,3 +516,15 @@ def test_shingle_counts_hold_few_sets_at_a_time(monkeypatch):
         tracemalloc.stop()
     assert total.sum() == sum(len(ngram_join.shingle_set(t, 3)) for t in texts)
     assert peak < 20_000_000
+
+
+def test_chunks_are_taken_apart_all_at_once():
+    """Words and signs of all chunks by one pass over them; ids as the library gives them, also for letters that only become Latin in lower case."""
+    from opinara.llm import queries, token_ids
+    ids = token_ids.ChunkIds(queries.WORD_BPE)
+    chunks = ["\u00c0B!!".encode(), b"a-b", b"Word", b"\xff\xfe", "\u212aelvin".encode(), b"(x)", b"cut\xc3", b"end..."]
+    assert ids._parts(chunks) == [["\u00e0b".encode(), b"", b"word", b"", b"", b"", b"", b"end"], [b"!!", b"", b"", b"", b"", b"", b"", b"..."]]
+    assert ids._parts([]) == [[], []]
+    library = Tokenizer.from_file(queries.WORD_BPE)
+    for text in (b" ".join(chunks), b"", b"only", b"a\x00b \x00 !"):
+        assert next(ids.encode([text])).tolist() == library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
