@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinara.llm.token_ids import forget
 from opinara.session import shared_dir
 
 BLOCK = 1 << 16
@@ -20,7 +21,8 @@ SLICE_ROWS = 200
 
 
 def slices(parts: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches that share the memory of the large ones."""
+    """The same rows in small batches that share the memory of the large ones. For operators that encode nothing."""
+    forget()
     for batch in parts:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -21,7 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches, texts_of
+from opinara.llm.common import batches, slices, texts_of
+from opinara.llm.token_ids import forget
 
 UNKNOWN = "und"
 NO_LETTERS = re.compile(r"[\W\d_]+").sub
@@ -136,7 +137,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
         classifier = Classifier(held.value)
 
         def rows() -> Iterator[dict]:
-            for batch in parts:
+            for batch in slices(parts):
                 for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                     lang, score, margin = classifier.classify(text)
                     yield {"doc_id": doc_id, "lang_pred": lang, "score": score, "margin": margin}
@@ -156,6 +157,7 @@ def accepted(docs: DataFrame, dictionaries: dict[str, bytes], least_margin: floa
 
     @F.arrow_udf("boolean")
     def known(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         classifier = Classifier(held.value)
         for texts in parts:
             found = (classifier.classify(t.as_py()) for t in texts)

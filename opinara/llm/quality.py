@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.llm.common import unused_name
+from opinara.llm.token_ids import forget
 
 STATISTICS = ["n_words", "word_bytes", "upper_share", "digit_share", "stop_share", "exclaim_share", "bar_share",
               "sign_share", "line_bytes", "distinct_share", "top_share", "repeat_share", "line_repeat_share", "short_share",
@@ -50,6 +51,7 @@ _SIGNED = frozenset(_SIGNS) | {33, 124}
 def with_statistics(docs: DataFrame, name: str = "stats") -> DataFrame:
     """`docs` (with a text column) and the column `name`, an array of STATISTICS; a null text counts as empty."""
     def compute(parts):
+        forget()
         for batch in parts:
             stats = [statistics_of((t or "").encode()) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(stats, pa.list_(pa.float64()))],

@@ -110,3 +110,9 @@ class ChunkIds:
 def chunk_ids(path: str) -> ChunkIds:
     """One for each worker process, with what it has learnt so far."""
     return ChunkIds(path)
+
+
+def forget() -> None:
+    """Drop what this worker process has learnt. Operators that encode nothing call it: workers are used again, and what an earlier
+    stage learnt would stay beside theirs."""
+    chunk_ids.cache_clear()

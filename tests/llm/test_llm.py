@@ -528,3 +528,13 @@ def test_chunks_are_taken_apart_all_at_once():
     library = Tokenizer.from_file(queries.WORD_BPE)
     for text in (b" ".join(chunks), b"", b"only", b"a\x00b \x00 !"):
         assert next(ids.encode([text])).tolist() == library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
+def test_a_worker_drops_what_it_learnt_for_the_stage_before():
+    """The next stages of the pipeline run in the same worker processes as the encoding of texts."""
+    from opinara.llm import common, queries, token_ids
+    batch = pa.RecordBatch.from_pydict({"text": [b"a b"] * 450})
+    token_ids.chunk_ids(queries.WORD_BPE)
+    assert token_ids.chunk_ids.cache_info().currsize == 1
+    assert [b.num_rows for b in common.slices([batch])] == [200, 200, 50]
+    assert token_ids.chunk_ids.cache_info().currsize == 0
