@@ -1,35 +1,47 @@
 """Which documents share nearly all their word n-grams: an exact Jaccard join.
 
 1. Documents with the same set of shingles form a class; classes are joined, copies are not.
-2. Shingles are ordered rarest first. Two sets of Jaccard similarity t or more then share one of the first
-   n - ceil(t * n) + 1 shingles, so only these prefixes are joined.
-3. In a prefix list, pairs pass a length filter, a positional filter (how many common shingles can still lie before
+2. Sets that are alike share a key. From a threshold of PARTS_FROM percent on, a key is a part of a set: two linked sets
+   of at most n shingles differ in at most d = 2 * n * (1 - t) / (1 + t) of them, so if the hash order is cut at fixed
+   points into more than d parts, one part is the same in both. A part has several shingles, so unlike sets hardly
+   ever share one, however many documents there are. Sets of one class of sizes are cut alike; a set also goes by the
+   cuts of larger classes that it may have links to. Below that threshold parts would hold too few shingles; there
+   they are ordered rarest first, and sets share one of the first n - ceil(t * n) + 1, which are the keys.
+3. In the list of a key, pairs pass a length filter, a positional filter (how many common shingles can still lie before
    and behind the shared one) and a suffix filter: the sets are cut at fixed points of the hash order, the sizes of
    the parts are kept modulo 2, and the parts that differ bound the symmetric difference from below. A pair that
    also shares the shingle just before, in both prefixes, met in that list already, where the same filters give the
    same answer; it is not looked at again. So a run of common shingles gives a pair once.
 4. What is left is compared once per pair, on the full sets.
 
-A list of m members, all alike, has m * m / 2 links. They are not listed: a list of over SHORT_LIST members gives at
-most m - 1 pairs, which connect what passed its filters. If some of these pairs turn out to be too different, a second round gives every
+A list of m members, all alike, has m * m / 2 links. They are not listed. First each member is compared with the first
+one of its list; lists whose members are connected by that are done. In others, a list of over SHORT_LIST members gives at
+most m - 1 pairs, which connect what passed its filters. If some of these pairs turn out to be too different, a last round gives every
 pair that passed the filters and is not connected yet. So components are exact, and no link between different
 components is left out. The number of links of each document, if asked for, comes from all pairs within each component.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import batches, fixed_array, likely_members, mixed, slices, split_by, stored, texts_of
 from opinara.llm.components import components
 from opinara.llm.shingles import distinct, shingle_set
 
+#: Least threshold in percent at which parts of sets are the keys.
+PARTS_FROM = 75
+#: A task sends the keys of equal sets once, as long as it remembers so many.
+SEEN = 100_000
 #: The order needs only to tell common shingles from rare ones: they are counted in so many buckets.
 BUCKET_BITS = 20
 #: A prefix list beyond this many members is worked on as pairs of blocks, each by another task.
@@ -72,44 +84,150 @@ def parities(shingles: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def signatures(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) -> DataFrame:
-    """Per row: the size of its set, a digest of the set, the ordered prefix and the parities."""
-    held = texts.sparkSession.sparkContext.broadcast(ranks)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                        ("prefix", pa.binary()), ("bits", pa.binary())])
+@lru_cache
+def size_classes(percent: int) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """The largest size of each class of set sizes; its least size, the parts of its sets, the spare ones among them.
+
+    Of the parts, one more than linked sets can differ in are needed. The spare ones make up for parts that are empty: a set
+    with no more empty parts than these has a part in common with each linked set that is not empty.
+    """
+    largest, cuts, low = [], [], 1
+    while low < 1 << 40:
+        high = max(low + 1, low * 13 // 10) - 1
+        differ = 2 * high * (100 - percent) // (100 + percent)
+        parts, least = differ + 1, percent * low / 100
+        for _ in range(3):
+            empty = parts * (1 - 1 / parts) ** least
+            parts = differ + 1 + (math.ceil(empty + 4 * math.sqrt(empty)) if empty > 0.05 else 0)
+        largest.append(high)
+        cuts.append((low, parts, parts - differ - 1))
+        low = high + 1
+    return largest, cuts
+
+
+def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """One key per part of the set that is not empty, in its class of sizes and in larger ones it may have links to."""
+    n = len(shingles)
+    sums = np.append(np.uint64(0), np.cumsum(mixed(shingles)))
+    largest, cuts = size_classes(percent)
+    out = [np.zeros(0, np.uint64)]
+    number = bisect_left(largest, n)
+    while percent * cuts[number][0] <= 100 * n:
+        _, parts, spare = cuts[number]
+        if parts - spare > 1:  # else only equal sets are linked
+            points = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts)
+            at = np.concatenate([[0], np.searchsorted(shingles, points), [n]])
+            keys = mixed(sums[at[1:]] - sums[at[:-1]] + mixed(np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)))
+            filled = at[1:] > at[:-1]
+            out.append(keys[filled] if parts - filled.sum() <= spare else keys)
+        number += 1
+    return np.concatenate(out)
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def _sid(digest: bytes) -> int:
+    """The number of a class: 64 bits of the digest of its set."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def signatures(texts: DataFrame, words: int) -> DataFrame:
+    """Per row: the size of its set, a digest of the set, the number that comes from it, the parities."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()),
+                        ("bits", pa.binary())])
 
     def sign(parts):
         def rows() -> Iterator[dict]:
             for batch in slices(parts):
                 for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                     s = shingle_set(text, words)
-                    row = {"doc_id": doc_id, "n": len(s), "digest": b"", "prefix": b"", "bits": b""}
+                    row = {"doc_id": doc_id, "n": len(s), "digest": b"", "sid": 0, "bits": b""}
                     if len(s) and doc_id is not None:
-                        keep = len(s) - -(-percent * len(s) // 100) + 1
-                        row |= {"digest": xxhash.xxh3_128_digest(s.tobytes()), "bits": parities(s),
-                                "prefix": in_order(s, held.value)[:keep].tobytes()}
+                        digest = _digest(s)
+                        row |= {"digest": digest, "sid": _sid(digest), "bits": parities(s)}
                     yield row
         yield from batches(rows(), schema, 500)
 
-    return texts.mapInArrow(sign, "doc_id long, n long, digest binary, prefix binary, bits binary")
+    return texts.mapInArrow(sign, "doc_id long, n long, digest binary, sid long, bits binary")
+
 
+def postings(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """A row per key of each set: key, sid; for prefixes also the key before it (none where pos is 0) and pos.
+
+    Copies of a set may repeat its rows. Rows without doc_id and empty sets have none.
+    """
+    prefixes = percent < PARTS_FROM
+    held = texts.sparkSession.sparkContext.broadcast(rank_order(texts, words)) if prefixes else None
+    names = ["key", "sid", "before", "pos"] if prefixes else ["key", "sid"]
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """A row per shingle of each prefix: key, the key before it (none where pos is 0), sid, n, pos."""
     def spread(parts):
+        seen: set[int] = set()
+        for batch in slices(parts):
+            keys, sids = [], []
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                s = shingle_set(text, words) if doc_id is not None else ()
+                if not len(s) or (sid := _sid(_digest(s))) in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(sid)
+                keys.append(in_order(s, held.value)[:len(s) - -(-percent * len(s) // 100) + 1] if prefixes
+                            else part_keys(s, percent))
+                sids.append(sid)
+            sizes = [len(k) for k in keys]
+            if not sum(sizes):
+                continue
+            every = np.concatenate(keys).view(np.int64)
+            columns = [every, np.repeat(np.array(sids, np.int64), sizes)]
+            if prefixes:
+                columns += [np.append(0, every[:-1]), np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return texts.mapInArrow(spread, "key long, sid long" + ", before long, pos int" * prefixes)
+
+
+def in_lists(posted: DataFrame) -> DataFrame:
+    """Rows of `posted` (key, sid) whose key another sid has too, each once; adds the smallest sid with the key."""
+    def keep(parts):
+        held, known, first = None, False, 0  # the last row, whether its key is shared, the first sid of its list
         for batch in parts:
-            prefixes = [np.frombuffer(p, np.uint64) for p in batch["prefix"].to_pylist()]
-            sizes = [len(p) for p in prefixes]
-            if sum(sizes):
-                keys = np.concatenate(prefixes).view(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys),
-                    pa.array(np.append(0, keys[:-1])),
-                    pa.array(np.repeat(batch["sid"].to_numpy(), sizes)),
-                    pa.array(np.repeat(batch["n"].to_numpy().astype(np.int32), sizes)),
-                    pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]))],
-                    ["key", "before", "sid", "n", "pos"])
-    return classes.select("sid", "n", "prefix").mapInArrow(spread, "key long, before long, sid long, n int, pos int")
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+            key, sid = (rows[c].to_numpy() for c in ("key", "sid"))
+            new = np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]))
+            rows, key, sid = rows.filter(pa.array(new)), key[new], sid[new]
+            same = key[1:] == key[:-1]
+            shared = np.append(known, same) | np.append(same, False)
+            starts = np.flatnonzero(np.append(True, ~same))
+            begins = sid[starts]
+            if held is not None:
+                begins[0] = first
+            firsts = np.repeat(begins, np.diff(starts, append=len(key)))
+            out = rows.append_column("first", pa.array(firsts))
+            last = shared.copy()
+            last[-1] = False
+            yield out.filter(pa.array(last))
+            held, known, first = rows.slice(len(key) - 1), bool(shared[-1]), firsts[-1]
+        if known:
+            yield held.append_column("first", pa.array([first]))
+
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in posted.schema)
+    return posted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(keep, f"{names}, first bigint")
+
+
+def open_lists(shared: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of the lists that are not within one component, for candidate_pairs. known: node, component; sets: sid, n, bits."""
+    own = Window.partitionBy("key")
+    labelled = (shared.drop("first").join(known.withColumnRenamed("node", "sid"), "sid", "left")
+                .withColumn("comp", F.coalesce("component", "sid")).drop("component"))
+    mixed_lists = (labelled.withColumn("c", F.count("*").over(own)).withColumn("low", F.min("comp").over(own))
+                   .withColumn("high", F.max("comp").over(own)).where("low <> high").drop("low", "high"))
+    if "pos" not in shared.columns:
+        mixed_lists = mixed_lists.withColumn("before", F.lit(0).cast("long")).withColumn("pos", F.lit(0))
+    return mixed_lists.join(sets, "sid")
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
@@ -229,6 +347,24 @@ def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame
             .mapInArrow(find, "a long, b long").distinct())
 
 
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that pass the filters by length and parities. sets: sid, n, bits."""
+    def test(parts):
+        for batch in slices(parts, 10_000):
+            k = batch.num_rows
+            none = np.zeros(2 * k, np.int64)
+            rows = {"sid": none, "n": np.concatenate([batch["na"], batch["nb"]]), "comp": np.arange(2 * k),
+                    "bits": batch["xa"].to_pylist() + batch["xb"].to_pylist()}
+            rows |= dict.fromkeys(("pos", "before", "block", "cross"), none)
+            if k:
+                ok = _Lists(pa.table(rows), percent).passing(np.arange(k), np.arange(k, 2 * k))
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("sid").alias(end), F.col("n").alias(f"n{end}"), F.col("bits").alias(f"x{end}")), end)
+    return pairs.mapInArrow(test, "a long, b long")
+
+
 def ends(pairs: DataFrame) -> DataFrame:
     """The sids that occur in pairs (a, b)."""
     return pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
@@ -324,16 +460,12 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, count_links: bool
     table gives an empty result.
     """
     texts = texts_of(docs)
-    signed = stored(signatures(texts, words, percent, rank_order(texts, words)))
+    signed = stored(signatures(texts, words))
     whole = signed.where("n > 0 and doc_id is not null")
-    keepers = whole.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    classes = stored(whole.join(keepers.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"])
-                     .dropDuplicates(["digest"]).withColumn("sid", F.monotonically_increasing_id()))
-
-    postings = _postings(classes)
-    lists = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    shared = stored(postings.join(lists, "key"))
-    members = shared.join(classes.select("sid", "bits"), "sid")
+    classes = stored(whole.groupBy("digest").agg(F.min("doc_id").alias("doc_id"),
+                                                 *(F.first(c).alias(c) for c in ("n", "sid", "bits"))))
+    sets = classes.select("sid", "n", "bits")
+    shared = stored(in_lists(postings(texts, words, percent)))
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Only the texts of classes in some pair are moved."""
@@ -344,14 +476,15 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, count_links: bool
         involved = stored(sids.join(classes.select("sid", "doc_id", "digest"), "sid"))
         return stored(_class_texts(likely_members(texts, involved.select("doc_id")), involved, words))
 
-    tried = compared(candidate_pairs(members.withColumn("comp", F.col("sid")), percent, True))
+    firsts = shared.where("first <> sid").select(F.least("first", "sid").alias("a"), F.greatest("first", "sid").alias("b"))
+    tried = compared(plausible(firsts.distinct(), sets, percent))
+    for forest in (True, False):
+        links = tried.where("linked").select("a", "b")
+        pairs = stored(candidate_pairs(open_lists(shared, components(links), sets), percent, forest))
+        tried = tried.union(compared(pairs.join(tried, ["a", "b"], "left_anti")))
+        if pairs.join(tried.where("not linked"), ["a", "b"], "left_semi").isEmpty():
+            break
     links = tried.where("linked").select("a", "b")
-    if not tried.where("not linked").isEmpty():
-        known = components(links)
-        labelled = (members.join(known.withColumnRenamed("node", "sid"), "sid", "left")
-                    .withColumn("comp", F.coalesce("component", "sid")).drop("component"))
-        more = candidate_pairs(labelled, percent, False).join(tried, ["a", "b"], "left_anti")
-        links = links.union(compared(more).where("linked").select("a", "b"))
 
     found = components(links)
     reps = classes.select("sid", "digest", F.col("doc_id").alias("class_id"))
@@ -385,7 +518,7 @@ def _class_texts(texts: DataFrame, involved: DataFrame, words: int) -> DataFrame
     """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest."""
     def check(parts):
         for batch in slices(parts):
-            same = [xxhash.xxh3_128_digest(shingle_set(t, words).tobytes()) == d
+            same = [_digest(shingle_set(t, words)) == d
                     for t, d in zip(batch["text"].to_pylist(), batch["digest"].to_pylist())]
             yield batch.select(["sid", "text"]).filter(pa.array(same, pa.bool_()))
 

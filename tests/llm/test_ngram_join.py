@@ -1,0 +1,78 @@
+"""Keys of the n-gram join: linked sets share one, unlike sets do not meet."""
+
+import random
+
+import numpy as np
+import pytest
+
+from opinara.llm import ngram_join
+from tests.llm.test_llm import brute_components, near_copies
+
+
+def members_of(spark, monkeypatch, texts) -> int:
+    """Rows that come to the lists with parities, in all rounds."""
+    seen, real = [], ngram_join.candidate_pairs
+    monkeypatch.setattr(ngram_join, "candidate_pairs", lambda m, *more: seen.append(m.count()) or real(m, *more))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.component_id == r.doc_id for r in ngram_join.near_duplicates(frame, 3, 90).collect())
+    return sum(seen)
+
+
+def test_unlike_documents_of_common_words_do_not_meet(spark, monkeypatch):
+    rng = random.Random(5)
+    lists = [" ".join(rng.choices([f"w{i}" for i in range(12)], k=rng.randint(200, 260))) for _ in range(400)]
+    assert members_of(spark, monkeypatch, lists) < 40  # 12 ** 3 shingles in all: every one occurs in many documents
+
+
+@pytest.mark.parametrize("percent", [75, 80, 90, 95, 99])
+def test_linked_sets_share_a_key(percent):
+    rng = np.random.default_rng(percent)
+    for n in [*range(5, 60), 99, 100, 101, 300, 1000, 5000]:
+        for narrow in (0, 40):  # narrow: hashes of one corner, so that most parts are empty
+            pool = np.unique(rng.integers(0, 1 << 63, 2 * n + 20, dtype=np.uint64) >> np.uint64(narrow))
+            rng.shuffle(pool)
+            a = pool[:n]
+            for gone in range(n):
+                for new in {0, gone // 2, gone}:
+                    both = n - gone
+                    if 100 * both < percent * (n + new):
+                        continue
+                    if both + new == n and not new:
+                        continue
+                    if gone < 6 or 100 * both < percent * (n + new + 1) or rng.random() < 0.02:  # few, many, some
+                        b = np.append(a[gone:], pool[n:n + new])
+                        x, y = (ngram_join.part_keys(np.sort(s), percent) for s in (a, b))
+                        assert len(np.intersect1d(x, y)), (n, gone, new)
+
+
+@pytest.mark.parametrize("words, percent", [(3, 60), (3, 75), (2, 95)])
+def test_components_at_other_thresholds(spark, monkeypatch, words, percent):
+    monkeypatch.setattr(ngram_join, "SEEN", 3)
+    texts = near_copies(7, groups=4, size=25)
+    texts |= {1000 + i: t for i, t in list(texts.items())[::4]}
+    rows = ngram_join.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), words, percent).collect()
+    expected, sizes = brute_components(texts, words, percent)
+    assert {r.doc_id: r.component_id for r in rows} == expected
+    assert {r.doc_id: r.n_shingles for r in rows} == sizes
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 10_000])
+def test_lists_over_the_edges_of_batches(spark, rows):
+    rng = random.Random(1)
+    posted = [(rng.randint(0, 40), rng.randint(0, 9)) for _ in range(90)] + [(99, 5), (99, 5)]
+    sids = {k: sorted({s for j, s in posted if j == k}) for k, _ in posted}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = ngram_join.in_lists(spark.createDataFrame(posted, "key long, sid long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == sorted((k, s, of[0]) for k, of in sids.items() if len(of) > 1 for s in of)
+
+
+def test_filters_of_pairs_keep_linked_ones(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    kinds = {1: base[:300], 2: base[10:300], 3: base[300:600], 4: base[:900]}
+    sets = spark.createDataFrame([(i, len(s), bytearray(ngram_join.parities(s))) for i, s in kinds.items()], "sid long, n long, bits binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in ngram_join.plausible(pairs, sets, 90).collect()] == [(1, 2)]
