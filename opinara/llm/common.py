@@ -20,9 +20,10 @@ BLOCK = 1 << 16
 SLICE_ROWS = 200
 
 
-def slices(parts: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches that share the memory of the large ones. For operators that encode nothing."""
-    forget()
+def slices(parts: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, encodes: bool = False) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches that share the memory of the large ones. What was learnt for encoding is kept only if `encodes`."""
+    if not encodes:
+        forget()
     for batch in parts:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -515,12 +515,16 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _class_texts(texts: DataFrame, involved: DataFrame, words: int) -> DataFrame:
-    """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest."""
+    """(sid, text) of each class in `involved` (sid, doc_id, digest): the text of its doc_id that has its digest.
+
+    The join shuffles even few rows: `texts` may come out of a Python filter, and two Python steps in one stage take two
+    workers per core, which stay and learn as much as others in later stages.
+    """
     def check(parts):
         for batch in slices(parts):
             same = [_digest(shingle_set(t, words)) == d
                     for t, d in zip(batch["text"].to_pylist(), batch["digest"].to_pylist())]
             yield batch.select(["sid", "text"]).filter(pa.array(same, pa.bool_()))
 
-    return (texts.join(involved, "doc_id").select("sid", "text", "digest")
+    return (texts.join(involved.hint("merge"), "doc_id").select("sid", "text", "digest")
             .mapInArrow(check, "sid long, text binary").dropDuplicates(["sid"]))

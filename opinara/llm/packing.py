@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import batches, stored, texts_of
-from opinara.llm.token_ids import chunk_ids
+from opinara.llm.common import batches, slices, stored, texts_of
+from opinara.llm.token_ids import CHUNKS, chunk_ids
 
 #: A use of the plan: `times` sequences, each holding one piece of every length in `lengths`.
 Use = tuple[int, tuple[int, ...]]
@@ -151,16 +151,19 @@ def slots(uses: list[Use]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece: the token ids of the text, then `end_id`."""
+def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, memo: int = CHUNKS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece: the token ids of the text, then `end_id`.
+
+    memo: so many chunks a generation a worker keeps the ids of; fewer take less memory and more time.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64())])
 
     def cut(parts):
-        ids_of = chunk_ids(vocabulary)
+        ids_of = chunk_ids(vocabulary, memo)
 
         def rows() -> Iterator[dict]:
-            for batch in parts:
+            for batch in slices(parts, encodes=True):
                 texts = batch["text"].to_pylist()
                 for doc_id, ids in zip(batch["doc_id"].to_pylist(), ids_of.encode(texts)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -173,14 +176,14 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> Data
     return texts_of(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """Every piece with its place: the columns of `pieces`, sequence_id and offset.
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, memo: int = CHUNKS) -> DataFrame:
+    """Every piece with its place: the columns of `pieces`, sequence_id and offset. memo: as in `pieces`.
 
     docs: doc_id, text; other columns are ignored. A null or empty text is the piece [end_id]. Repeated rows are
     packed as often as they occur. A null doc_id is packed like others. An empty table gives no piece.
     """
     spark = docs.sparkSession
-    cut = stored(pieces(docs, vocabulary, capacity, end_id).withColumn("slice", F.spark_partition_id())
+    cut = stored(pieces(docs, vocabulary, capacity, end_id, memo).withColumn("slice", F.spark_partition_id())
                  .withColumn("at", F.monotonically_increasing_id()))
     full = cut.where(F.col("length") == capacity)
     rest = cut.where(F.col("length") < capacity)

@@ -8,7 +8,10 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
+#: The ids of so many chunks are kept in a generation.
+CHUNKS = 400_000
 #: Latin letters, then ASCII punctuation: such a chunk is one word, or one word and one run of signs.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)").fullmatch
 #: The same of every line; others give two empty strings.
@@ -37,7 +40,7 @@ class ChunkIds:
     generations, each of up to `limit` chunks or `limit_bytes` bytes and what one group of texts adds.
     """
 
-    def __init__(self, path: str, limit: int = 400_000, limit_bytes: int = 32 << 20):
+    def __init__(self, path: str, limit: int = CHUNKS, limit_bytes: int = 32 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each Spark task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -107,12 +110,14 @@ class ChunkIds:
 
 
 @functools.lru_cache(1)
-def chunk_ids(path: str) -> ChunkIds:
+def chunk_ids(path: str, limit: int = CHUNKS) -> ChunkIds:
     """One for each worker process, with what it has learnt so far."""
-    return ChunkIds(path)
+    return ChunkIds(path, limit)
 
 
 def forget() -> None:
     """Drop what this worker process has learnt. Operators that encode nothing call it: workers are used again, and what an earlier
     stage learnt would stay beside theirs."""
-    chunk_ids.cache_clear()
+    if chunk_ids.cache_info().currsize:
+        chunk_ids.cache_clear()
+        pa.default_memory_pool().release_unused()

@@ -538,3 +538,22 @@ def test_a_worker_drops_what_it_learnt_for_the_stage_before():
     assert token_ids.chunk_ids.cache_info().currsize == 1
     assert [b.num_rows for b in common.slices([batch])] == [200, 200, 50]
     assert token_ids.chunk_ids.cache_info().currsize == 0
+
+
+def test_packing_with_a_small_memo(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 9) + str(rng.randint(0, 99)) for _ in range(30))) for i in range(500)]
+    docs = spark.createDataFrame([*rows, (500, None), (501, "")], "doc_id long, text string").coalesce(1)
+    few, many = (packing.pack(docs, queries.WORD_BPE, capacity=64, **k).drop("sequence_id", "offset") for k in ({"memo": 20}, {}))
+    assert sorted(few.collect()) == sorted(many.collect())
+
+
+def test_a_worker_that_encodes_keeps_what_it_learnt_and_few_texts():
+    from opinara.llm import common
+    batch = pa.RecordBatch.from_pydict({"text": [b"a b"] * 450})
+    ids = token_ids.chunk_ids(queries.WORD_BPE, 100)
+    assert [b.num_rows for b in common.slices([batch], encodes=True)] == [200, 200, 50]
+    assert token_ids.chunk_ids(queries.WORD_BPE, 100) is ids
+    for at in range(0, 4000, 200):
+        list(ids.encode([b"w%d" % (at + i) for i in range(200)]))
+    assert len(ids.young) + len(ids.old) < 2000  # limit and what one group adds, twice

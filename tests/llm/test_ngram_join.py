@@ -1,11 +1,14 @@
 """Keys of the n-gram join: linked sets share one, unlike sets do not meet."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 
 from opinara.llm import ngram_join
+from opinara.llm.common import likely_members, texts_of
+from opinara.llm.shingles import shingle_set
 from tests.llm.test_llm import brute_components, near_copies
 
 
@@ -76,3 +79,16 @@ def test_filters_of_pairs_keep_linked_ones(spark):
     sets = spark.createDataFrame([(i, len(s), bytearray(ngram_join.parities(s))) for i, s in kinds.items()], "sid long, n long, bits binary")
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long")
     assert [tuple(r) for r in ngram_join.plausible(pairs, sets, 90).collect()] == [(1, 2)]
+
+
+def test_texts_of_classes_take_one_worker_a_core(spark):
+    """Two Python steps in one stage take two workers per core, and all of them stay for the stages that follow."""
+    rows = spark.createDataFrame([(i, f"a b c {i}") for i in range(9)], "doc_id long, text string")
+    digest = ngram_join._digest(shingle_set(b"a b c 4", 3))
+    involved = spark.createDataFrame([(7, 4, bytearray(digest)), (8, 5, bytearray(digest))], "sid long, doc_id long, digest binary")
+    texts = ngram_join._class_texts(likely_members(texts_of(rows), involved.select("doc_id")), involved, 3)
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"Exchange|MapInArrow|ArrowEvalPython", plan)
+    assert "MapInArrow" in steps and "ArrowEvalPython" in steps
+    assert all("Exchange" in two for two in zip(steps, steps[1:]))
+    assert [(r.sid, bytes(r.text)) for r in texts.collect()] == [(7, b"a b c 4")]
