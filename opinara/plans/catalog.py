@@ -14,7 +14,7 @@ from opinara.operators import alerts, dashboards, quality, serving, sketches, st
 from opinara.plans import fixtures as fx
 from opinara.schemas import REVIEW, RUN_SUMMARY, SLIDING_AGG, WINDOW_AGG
 from opinara.session import durable, shared_dir
-from opinara.sources import codec, messages, writers
+from opinara.sources import codec, messages, texts, writers
 from opinara.streaming import jobs, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -642,34 +642,31 @@ def stream_dedup_refetched(spark, sf):
     return spark.read.schema(reviews.schema).parquet(f"{root}/dedup/accepted").select("id", "arrival_ts", "seq", "rating")
 
 
-#: Texts of up to so many bytes are joined to messages by broadcast.
-MAX_TEXT_BYTES = 64 << 20
-
-
-def _review_messages(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame] | None]:
-    """Messages and how they get their values: once they are in order if all texts fit a broadcast, else they have them."""
-    texts = fx.texts(spark, sf)
-    n_docs, n_bytes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()
-    if n_bytes > MAX_TEXT_BYTES:
-        return fx.review_messages(spark, sf), None
+def _review_messages(spark: SparkSession, sf: str, root: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Messages with the place of their text, for the texts are kept at `root`, and how they get their values once they are in order."""
+    documents = texts.keep(fx.texts(spark, sf), "body", root)
+    sent = (fx.with_document(fx.reviews(spark, sf), documents, documents.count())
+            .select("seq", F.col("product_id").alias("key"), *[c for c in codec.RAW_FIELDS if c != "text"], *texts.PLACE.fieldNames()))
 
     def attach(placed: DataFrame) -> DataFrame:
-        base = fx.with_text(placed, F.broadcast(texts), n_docs)
+        base = fx.with_body(texts.fetch(placed, root, "body"))
         return base.withColumn("value", fx.message_value(base))
 
-    return (fx.reviews(spark, sf).select("seq", F.col("product_id").alias("key"),
-                                         *[c for c in codec.RAW_FIELDS if c != "text"]), attach)
+    return sent, attach
 
 
 @query
 def stream_messages(spark, sf):
     """Review messages appended to a topic in two goes, decoded in polls by record offset, with a restart in between."""
     root = _fresh(spark)
-    sent, attach = _review_messages(spark, sf)
-    n = sent.count()
-    for half in (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0):
-        messages.append_messages(sent.filter(half), f"{root}/topic", ["seq"], attach=attach)
-        jobs.drain(jobs.run_decoded(spark, f"{root}/topic", f"{root}/out", f"{root}/state", per_batch=max(1, -(-n // 6))))
+    sent, attach = _review_messages(spark, sf, f"{root}/texts")
+    n, halves = sent.count(), (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0)
+    for half in halves:
+        messages.append_messages(sent.filter(half), f"{root}/topic", ["seq"], attach=attach, weight="text_size")
+        if half is halves[-1]:
+            texts.drop(spark, f"{root}/texts")
+        jobs.drain(jobs.run_decoded(spark, f"{root}/topic", f"{root}/out", f"{root}/state", per_batch=max(1, -(-n // 6)), delete_read=True),
+                   read_topic=f"{root}/topic")
     stored = T.StructType([*REVIEW.fields, T.StructField(codec.CORRUPT, T.StringType())])
     return (spark.read.schema(stored).parquet(f"{root}/out")
             .select(F.col(codec.CORRUPT).isNotNull().alias("corrupt"), "id", "product_id", "rating", "likes", "dislikes", "date",

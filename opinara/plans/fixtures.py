@@ -65,16 +65,18 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("body"))
 
 
-def with_text(reviews: DataFrame, documents: DataFrame, n_docs: int) -> DataFrame:
-    return (reviews.withColumn("doc_id", F.col("seq") % n_docs)
-            .join(documents, "doc_id")
-            .withColumn("text", F.when(F.col("seq") % 13 == 0, "").otherwise(F.col("body")))
-            .drop("doc_id", "body"))
+def with_document(reviews: DataFrame, documents: DataFrame, n_docs: int) -> DataFrame:
+    return reviews.withColumn("doc_id", F.col("seq") % n_docs).join(documents, "doc_id").drop("doc_id")
+
+
+def with_body(reviews: DataFrame) -> DataFrame:
+    """Every thirteenth review has an empty text, the others that of their document."""
+    return reviews.withColumn("text", F.when(F.col("seq") % 13 == 0, "").otherwise(F.col("body"))).drop("body")
 
 
 def reviews_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = texts(spark, sf_dir)
-    return with_text(reviews(spark, sf_dir), documents, documents.count())
+    return with_body(with_document(reviews(spark, sf_dir), documents, documents.count()))
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:

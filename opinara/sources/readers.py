@@ -31,10 +31,11 @@ def kafka_options(servers: str, topic: str, start: str, per_batch: int | None =
 
 
 def topic_options(path: str, start: str = "earliest", per_batch: int = MAX_POLL_RECORDS, at_least: int = 1,
-                  wait_s: float = 0) -> dict[str, str]:
+                  wait_s: float = 0, delete_read: bool = False) -> dict[str, str]:
     """Options of the `messages` transport: polls of at most `per_batch` records (0: all), held back until there are
-    `at_least` or `wait_s` seconds have gone by."""
-    return {"path": path, "startingOffsets": start, "maxRecords": str(per_batch), "minRecords": str(at_least), "maxDelay": str(wait_s)}
+    `at_least` or `wait_s` seconds have gone by. `delete_read`: what was read is deleted from the topic."""
+    return {"path": path, "startingOffsets": start, "maxRecords": str(per_batch), "minRecords": str(at_least), "maxDelay": str(wait_s),
+            "deleteRead": str(delete_read).lower()}
 
 
 def message_stream(spark: SparkSession, transport: str, options: dict[str, str]) -> DataFrame:

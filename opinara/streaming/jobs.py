@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from math import gcd
@@ -28,7 +29,7 @@ from opinara.schemas import REVIEW, WINDOW_AGG
 from opinara.session import durable
 from opinara.sources.codec import CORRUPT
 from opinara.sources.levels import LevelledLog
-from opinara.sources.messages import FORMAT
+from opinara.sources.messages import FORMAT, ZSTD, delete_records
 from opinara.sources.readers import raw_review_stream, topic_options, window_stream
 from opinara.sources.writers import append_batch, before, days_of, latest_windows, publish_counters, read_versions, run_of
 
@@ -36,8 +37,8 @@ from opinara.sources.writers import append_batch, before, days_of, latest_window
 FLUSH_ROWS = 100
 FLUSH_S = 30
 DEDUP_HORIZON_S = 120
-#: Texts that repeat are kept once in a file of decoded messages if they are up to so many bytes in all.
-DICTIONARY, DICTIONARY_BYTES = "parquet.dictionary.page.size", 32 << 20
+#: Files of decoded messages: texts that repeat in one are kept once if they are up to 32 MB in all.
+DECODED = {"parquet.dictionary.page.size": str(32 << 20), **ZSTD}
 
 ALERT = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("mean_rating", T.DoubleType()),
@@ -53,17 +54,22 @@ def flush_every(writer: DataStreamWriter, seconds: int = FLUSH_S, final: bool =
 
 
 def run_decoded(spark: SparkSession, topic: str, out: str, checkpoint: str, schema: T.StructType = REVIEW, start: str = "earliest",
-                per_batch: int = 500) -> StreamingQuery:
-    """Decode a topic of messages into a table at `out`; rows whose `_corrupt_record` is not null are the messages set apart."""
-    decoded = raw_review_stream(spark, FORMAT, topic_options(topic, start, per_batch), schema)
+                per_batch: int = 500, delete_read: bool = False) -> StreamingQuery:
+    """Decode a topic of messages into a table at `out`; rows whose `_corrupt_record` is not null are the messages set apart.
+
+    `delete_read`: a topic that nobody else reads loses its segments once the table has them, so no message is stored twice for long.
+    """
+    decoded = raw_review_stream(spark, FORMAT, topic_options(topic, start, per_batch, delete_read=delete_read), schema)
     writer = (decoded.writeStream.option("checkpointLocation", checkpoint).format("parquet").option("path", out)
               .option("compression", "zstd").trigger(processingTime="0 seconds"))
-    before = spark.conf.get(DICTIONARY, None)  # the file sink takes this from the session that starts it, not from its options
-    spark.conf.set(DICTIONARY, DICTIONARY_BYTES)
+    before = {k: spark.conf.get(k, None) for k in DECODED}  # the file sink takes these from the session that starts it, not from its options
     try:
+        for k, v in DECODED.items():
+            spark.conf.set(k, v)
         return writer.start()
     finally:
-        spark.conf.unset(DICTIONARY) if before is None else spark.conf.set(DICTIONARY, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_flushed(spark: SparkSession, topic: str, checkpoint: str, *writes: Callable[[DataFrame, int], None], rows: int = FLUSH_ROWS,
@@ -84,12 +90,16 @@ def run_flushed(spark: SparkSession, topic: str, checkpoint: str, *writes: Calla
             .trigger(processingTime="0 seconds").start())
 
 
-def drain(query: StreamingQuery) -> None:
-    """Take all polls that are there, then stop."""
+def drain(query: StreamingQuery, read_topic: str | None = None) -> None:
+    """Take all polls that are there, then stop. `read_topic`: the topic to delete the last poll's segments from, of which Spark would
+    tell the source only at the next start."""
     try:
         query.processAllAvailable()
+        done = query.lastProgress
     finally:
         query.stop()
+    if read_topic and done and (end := json.loads(done.json)["sources"][0]["endOffset"]):
+        delete_records(read_topic, end)
 
 
 def admissible(reviews: DataFrame, width_s: int, lateness_s: int) -> tuple[DataFrame, DataFrame]:

@@ -177,3 +177,44 @@ def test_texts_that_repeat_are_stored_once_in_a_file(spark, tmp_path):
     jobs.drain(jobs.run_decoded(spark, root, str(out), str(tmp_path / "state"), per_batch=0))
     assert spark.read.parquet(str(out)).select("text").distinct().count() == 1500
     assert sum(f.stat().st_size for f in out.glob("*.parquet")) < 5e6
+
+
+def test_a_last_reader_deletes_what_it_has_read(spark, tmp_path):
+    """Whole segments of batches that are done; the last one of a partition stays, so offsets go on and so does the query."""
+    root, out, state = str(tmp_path / "topic"), str(tmp_path / "out"), str(tmp_path / "state")
+
+    def go(first, last):
+        rows = spark.range(first, last).select(F.lit("a").alias("key"), F.to_json(F.struct(F.col("id").cast("string").alias("id"))).alias("value"), "id")
+        messages.append_messages(rows, root, ["id"], partitions=1, segment_rows=10)
+        stream = jobs.run_decoded(spark, root, out, state, per_batch=35, delete_read=True)
+        stream.processAllAvailable()
+        kept = messages.Topic(root).segments["0"]
+        jobs.drain(stream, read_topic=root)
+        return kept
+
+    before_stop = go(0, 100)
+    assert 1 < len(before_stop) <= 4  # the last batch is not yet told
+    topic = messages.Topic(root)
+    assert len(topic.segments["0"]) == 1 and topic.ends() == {"0": 100}
+    assert not [f for f in (tmp_path / "topic").rglob(".*.crc") if not (f.parent / f.name[1:-4]).exists()]
+    go(100, 163)
+    assert messages.Topic(root).ends() == {"0": 163} and len(messages.Topic(root).segments["0"]) == 1
+    assert sorted(int(r.id) for r in spark.read.parquet(out).select("id").collect()) == list(range(163))
+
+
+def test_records_that_were_not_read_are_not_deleted(spark, tmp_path):
+    root = str(tmp_path / "topic")
+    messages.append_messages(numbered(spark, 100), root, ["at"], partitions=1, segment_rows=10)
+    first = messages.Topic(root).segments["0"]
+    messages.delete_records(root, {"0": 25, "9": 5})
+    bases = [int(p.rsplit("/", 1)[1].split(".")[0]) for p in messages.Topic(root).segments["0"]]
+    assert bases[0] <= 25 < bases[1] and len(bases) < len(first)
+    messages.delete_records(root, {})
+    assert len(messages.Topic(root).segments["0"]) == len(bases)
+
+
+def test_heavy_values_make_more_stretches(spark):
+    rows = numbered(spark, 100).drop("value").withColumn("size", F.lit(10_000_000))
+    attach = lambda placed: placed.withColumn("value", F.lit("v"))
+    tasks = [messages.in_topic_order(rows, ["at"], 2, attach, weight).rdd.getNumPartitions() for weight in (None, "size")]
+    assert tasks == [1, -(-1_000_000_000 // messages.STRETCH_BYTES)]
